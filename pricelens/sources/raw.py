@@ -78,9 +78,11 @@ def write_landing(df: DataFrame, root: str, ts_col: str = "collected_at",
     date here).  ``partitionBy`` makes the folders prunable partitions.
     Files are capped in rows so a hot hour never becomes one huge file.
     """
+    from pricelens.sources.tables import balanced_for_write
     ts = F.col(ts_col).try_cast("timestamp_ntz")
     date_part, hour_part = landing_parts(ts)
-    (df.withColumn("date", date_part).withColumn("hour", hour_part)
+    landed = df.withColumn("date", date_part).withColumn("hour", hour_part)
+    (balanced_for_write(landed, ["date", "hour"])
        .write.mode("append")
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("date", "hour").json(root))
@@ -121,9 +123,11 @@ def load_date(spark: SparkSession, landing_root: str, out: str,
         if missing:
             raise FileNotFoundError(f"no landing folder for date(s): {missing}")
     cleaned = clean_fn(raw.drop("hour"))
+    from pricelens.sources.tables import balanced_for_write
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        cleaned.write.mode("overwrite").partitionBy("date").parquet(out)
+        (balanced_for_write(cleaned, ["date"])
+         .write.mode("overwrite").partitionBy("date").parquet(out))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
