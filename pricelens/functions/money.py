@@ -23,8 +23,8 @@ def unit_cost(units, fee, result_quantity) -> Column:
 
     Written as (units + 100·fee) / (100·out) so there is one division.
     """
-    return (_c(units) + F.lit(100) * _c(fee).cast("long")) / \
-        (F.lit(100) * _c(result_quantity).cast("long"))
+    return F.try_divide(_c(units) + F.lit(100) * _c(fee).cast("long"),
+                        (F.lit(100) * _c(result_quantity).cast("long")).cast("double"))
 
 
 def lower_bound(avg, std, k: float = 2.0) -> Column:
@@ -32,10 +32,10 @@ def lower_bound(avg, std, k: float = 2.0) -> Column:
 
 
 def discount_pct(price, avg) -> Column:
-    """round((1 − price/avg)·100, 1)."""
-    return F.round((F.lit(1.0) - _c(price) / _c(avg)) * 100, 1)
+    """round((1 − price/avg)·100, 1); NULL when avg is 0."""
+    return F.round((F.lit(1.0) - F.try_divide(_c(price), _c(avg))) * 100, 1)
 
 
 def share_pct(part, whole, scale: int = 1) -> Column:
-    """round(part / whole · 100, scale)."""
-    return F.round(_c(part) / _c(whole) * 100, scale)
+    """round(part / whole · 100, scale); NULL when whole is 0."""
+    return F.round(F.try_divide(_c(part).cast("double"), _c(whole)) * 100, scale)

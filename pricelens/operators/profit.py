@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.functions import day_label
+from pricelens.functions import day_label, share_pct
 from pricelens.operators.trend import weekday_matrix
 
 
@@ -24,7 +24,7 @@ def profit_by_weekday(p: DataFrame) -> DataFrame:
                     F.round("p", 0).alias("avg_profit"),
                     F.round("c", 0).alias("avg_craft_cost"),
                     F.round("m", 0).alias("avg_market_price"),
-                    F.round(F.col("wins") / F.col("n") * 100, 1).alias("profitable_pct"),
+                    share_pct("wins", "n").alias("profitable_pct"),
                     "route")
 
 

@@ -65,27 +65,24 @@ def _sql_list(values) -> str:
 def prepare(spark: SparkSession, raw_path: str, recipe_path: str, out: str,
             collapse: str | None = None, require_complete: bool = False) -> dict:
     """Raw JSON → ``out/auction_log`` (partitioned by date) and
-    ``out/craft_profit``.  Returns the written paths and row counts, taken
-    with ``observe`` during the writes instead of recomputing (D13)."""
+    ``out/craft_profit``.  Returns the written paths and row counts (D13).
+
+    The cost chain reads the *written* log back, so lineage is cut there and
+    the counts come from Parquet footers instead of recomputing from JSON."""
     log = clean(read_raw(spark, raw_path)).withColumn(
         "date", F.date_format("collected_at", "yyyy-MM-dd"))
     log_path, profit_path = f"{out}/auction_log", f"{out}/craft_profit"
-    from pyspark.sql import Observation
-    obs_log = Observation("auction_log")
-    write_parquet(log.observe(obs_log, F.count(F.lit(1)).alias("rows")), log_path,
-                  partition_by=["date"])
+    write_parquet(log, log_path, partition_by=["date"])
     saved = spark.read.parquet(log_path)
     recipe = read_recipe(spark, recipe_path)
     mats = material_prices(saved, MATERIAL_CATEGORIES)
     lines = cost_lines(recipe, mats, collapse=collapse)
     best = cheapest_route(route_cost(lines, recipe, require_complete=require_complete))
     market = market_prices(saved, PRODUCT_CATEGORY, PRODUCTS)
-    obs_profit = Observation("craft_profit")
-    profit = profit_rows(market, best)
-    write_parquet(profit.observe(obs_profit, F.count(F.lit(1)).alias("rows")), profit_path)
+    write_parquet(profit_rows(market, best), profit_path)
     return {"auction_log": log_path, "craft_profit": profit_path,
-            "auction_log_rows": obs_log.get["rows"],
-            "craft_profit_rows": obs_profit.get["rows"]}
+            "auction_log_rows": saved.count(),
+            "craft_profit_rows": spark.read.parquet(profit_path).count()}
 
 
 def daily_trend(spark: SparkSession, log_path: str,
