@@ -4,9 +4,10 @@ K04, K05).
 Statistics are per item over all time and include the outliers themselves
 (S11).  ``item_stats`` is a hash aggregate with map-side partial
 aggregation (one small row per item and task crosses the shuffle, so a hot
-item costs nothing extra); ``with_stats`` joins it back on the item.  That
-join is left to AQE: broadcast when the measured stats are small, otherwise
-a sort-merge join whose skewed item partitions AQE splits.  A window
+item costs nothing extra); ``with_stats`` joins it back on the item with a
+size-checked broadcast (``join_checked``): broadcast when the stats are
+proven small, otherwise a sort-merge join whose skewed item partitions AQE
+splits.  A window
 ``avg().over(partitionBy(item))`` would instead shuffle every row and put a
 hot item's rows into one task.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions import day_label, discount_pct, lower_bound, share_pct
+from pricelens.operators.joins import join_checked
 
 # ---- fixed values (chart flags of the published report) --------------------
 DEEP_DISCOUNT_PCT = 30   # K04: average discount above this is highlighted
@@ -31,9 +33,14 @@ def item_stats(df: DataFrame, key: str = "item_name", value: str = "price") -> D
                                F.count(F.lit(1)).alias("total_count"))
 
 
-def with_stats(df: DataFrame, key: str = "item_name", value: str = "price") -> DataFrame:
-    """Join every row back to its own item's statistics."""
-    return df.join(item_stats(df, key, value), key, "inner")
+def with_stats(df: DataFrame, key: str = "item_name", value: str = "price",
+               max_broadcast_rows: int | None = None) -> DataFrame:
+    """Join every row back to its own item's statistics.
+
+    The statistics (one row per item) are checked in size: a bounded item
+    set is broadcast, so the log is never shuffled; an unbounded one is
+    joined by AQE with skew splitting."""
+    return join_checked(df, item_stats(df, key, value), key, "inner", max_broadcast_rows)
 
 
 def flag_low(df: DataFrame, k: float = 2.0, value: str = "price") -> DataFrame:

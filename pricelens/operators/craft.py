@@ -17,8 +17,9 @@ Scale: because Σ_rows price·qty = qty·Σ_rows price, the material rows are
 first reduced to one row per (snapshot, material) — a partial aggregate that
 shuffles almost nothing — and only then joined with the recipe.  The result
 is exactly the fan-out join's sum, in integers, without materialising the
-fan-out.  No side is force-broadcast: the recipe grows with the catalogue,
-so the choice is AQE's, made on the measured size at runtime.
+fan-out.  The recipe and the chosen costs are joined with ``join_checked``:
+broadcast only after their row count is checked, otherwise a shuffle join
+that AQE can split on skewed keys.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.functions import line_units, unit_cost
+from pricelens.operators.joins import join_checked
 
 
 def material_prices(log: DataFrame, categories: list[str] | None = None,
@@ -57,7 +59,8 @@ def cost_lines(recipe: DataFrame, mats: DataFrame, collapse: str | None = None)
     row count of the plain join).
     """
     snap = material_snapshot(mats)
-    j = recipe.join(snap, "material_name", "inner")
+    # the recipe is the small side: broadcast once its size is checked
+    j = join_checked(snap, recipe, "material_name", "inner")
     if collapse is None:
         units = line_units("price_sum", "quantity")
         n = F.col("listings")
@@ -145,7 +148,7 @@ def profit_rows(market: DataFrame, cost: DataFrame) -> DataFrame:
     ``is_profitable`` = profit > 0 (strict).
     """
     c = cost.select("result_item", "collected_at", "craft_cost", "route")
-    return (market.join(c, ["result_item", "collected_at"], "inner")
+    return (join_checked(market, c, ["result_item", "collected_at"], "inner")
                   .withColumn("profit", F.col("market_price") - F.col("craft_cost"))
                   .withColumn("is_profitable", F.col("profit") > 0))
 

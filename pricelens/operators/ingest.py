@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricelens.operators.joins import join_checked
+
 # ---- fixed values: market category codes and the watch-list ----------------
 CATEGORY_CODES = {
     "식물채집": 90200, "벌목": 90300, "채광": 90400, "수렵": 90500,
@@ -66,11 +68,11 @@ def catalog(items: DataFrame, category_col: str = "category",
 
     The names are kept as rows, not collected into one array per category:
     a category may be arbitrarily large.  The per-category count is a small
-    aggregate joined back (AQE broadcasts it when it is small)."""
+    aggregate joined back with a size-checked broadcast."""
     names = items.select(F.col(category_col).alias("category"),
                          F.col(name_col).alias("item_name")).distinct()
     counts = names.groupBy("category").agg(F.count(F.lit(1)).alias("item_count"))
-    return names.join(counts, "category", "inner")
+    return join_checked(names, counts, "category", "inner")
 
 
 def watchlist(spark: SparkSession) -> DataFrame:
