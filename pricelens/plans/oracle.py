@@ -3,7 +3,9 @@
 Each statement runs on the driver's tables registered as views and returns
 the same columns, names and types as the Spark query.  Weekday in DuckDB is
 ``dayofweek(x) + 1`` (Spark counts Sunday as 1); DuckDB rounds when casting
-a double to an integer, so truncation is written ``trunc``.
+a double to an integer, so truncation is written ``trunc``; DuckDB's
+``round`` keeps a negative zero where Spark returns 0.0, so rounded values
+that can be tiny negatives get ``+ 0.0``.
 """
 
 from __future__ import annotations
@@ -121,7 +123,7 @@ profit AS (
   FROM market m JOIN best b ON m.result_item = b.result_item AND m.collected_at = b.collected_at)"""
 
 CORR = """
-  SELECT {key}, round(r, 4) AS r, n,
+  SELECT {key}, round(r, 4) + 0.0 AS r, n,
          CASE WHEN r IS NULL THEN NULL WHEN r > 0 THEN '양(+)' ELSE '음(-)' END AS direction,
          CASE WHEN r IS NULL THEN NULL WHEN abs(r) > 0.3 THEN '강' WHEN abs(r) > 0.1 THEN '중'
               ELSE '약' END AS strength
@@ -140,7 +142,7 @@ fl AS (
   SELECT pp.*, st.avg_price, st.std_price, st.total_count,
          st.avg_price - 2.0 * st.std_price AS lower_bound,
          pp.price < st.avg_price - 2.0 * st.std_price AS is_anomaly,
-         round((1.0 - pp.price / st.avg_price) * 100, 1) AS discount_pct
+         round((1.0 - pp.price / st.avg_price) * 100, 1) + 0.0 AS discount_pct
   FROM pp JOIN st ON pp.item_name = st.item_name),
 an AS (SELECT * FROM fl WHERE is_anomaly)"""
 
@@ -198,7 +200,7 @@ WHERE rank <= {d.PAGE_SIZE}""",
     "weekday_trend_sql": f"WITH {LP}" + TREND.format(src="lp", cats=_lst(d.TREND_TYPES)),
     "weekday_delta": f"""WITH {LP}, {TREND_RAW}
 SELECT category, item_name, day_of_week, round(avg_raw, 0) AS avg_price,
-       round((avg_raw - lag(avg_raw) OVER w) / NULLIF(lag(avg_raw) OVER w, 0) * 100, 1) AS delta_pct
+       round((avg_raw - lag(avg_raw) OVER w) / NULLIF(lag(avg_raw) OVER w, 0) * 100, 1) + 0.0 AS delta_pct
 FROM tr WINDOW w AS (PARTITION BY category, item_name ORDER BY day_of_week)""",
     "peak_days": f"""WITH {LP}, {TREND_RAW}
 SELECT category, item_name,
@@ -209,7 +211,7 @@ SELECT category, item_name,
 FROM tr GROUP BY category, item_name""",
     "reset_effect": f"""WITH {LP}
 SELECT category, item_name, round(on_raw, 0) AS reset_avg, round(off_raw, 0) AS other_avg,
-       round((on_raw - off_raw) / NULLIF(off_raw, 0) * 100, 1) AS reset_delta_pct
+       round((on_raw - off_raw) / NULLIF(off_raw, 0) * 100, 1) + 0.0 AS reset_delta_pct
 FROM (SELECT category, item_name,
              avg(CASE WHEN day_of_week = {d.RESET_DOW} THEN price END) AS on_raw,
              avg(CASE WHEN day_of_week <> {d.RESET_DOW} THEN price END) AS off_raw
@@ -229,14 +231,14 @@ SELECT result_item, collected_at, route, route_craft_cost, min_craft_cost FROM (
     "craft_profit": f"WITH {CRAFT} SELECT * FROM profit",
     "profit_by_weekday": f"""WITH {CRAFT}
 SELECT result_item, day_of_week, {LABEL.format(c='day_of_week')} AS day_label,
-       round(avg(market_price - craft_cost), 0) AS avg_profit,
+       round(avg(market_price - craft_cost), 0) + 0.0 AS avg_profit,
        round(avg(craft_cost), 0) AS avg_craft_cost,
        round(avg(market_price), 0) AS avg_market_price,
        round(count_if(market_price > craft_cost) / count(*) * 100, 1) AS profitable_pct,
        route
 FROM profit GROUP BY result_item, day_of_week, route""",
     "profit_matrix": f"WITH {CRAFT} SELECT result_item, "
-                     + ", ".join(f"round(avg(CASE WHEN day_of_week = {i} THEN profit END), 0) AS d{i}"
+                     + ", ".join(f"round(avg(CASE WHEN day_of_week = {i} THEN profit END), 0) + 0.0 AS d{i}"
                                  for i in range(1, 8))
                      + " FROM profit GROUP BY result_item",
     "category_corr": f"WITH {EV}" + CORR.format(key="category", having=""),
