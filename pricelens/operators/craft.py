@@ -94,7 +94,7 @@ def route_cost(lines: DataFrame, recipe: DataFrame | None = None,
         if recipe is None:
             raise ValueError("require_complete needs the recipe")
         need = (recipe.groupBy("result_item", "route")
-                      .agg(F.countDistinct("material_name").alias("ingredients_needed")))
+                      .agg(F.count(F.lit(1)).alias("ingredients_needed")))
         rc = (rc.join(need, ["result_item", "route"], "inner")
                 .filter(F.col("ingredients_present") == F.col("ingredients_needed"))
                 .drop("ingredients_needed"))

@@ -33,6 +33,7 @@ from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, c
                                  top_discount, top_flags, weekday_delta, weekday_flags,
                                  weekday_matrix, weekday_share, weekday_trend, with_min_cost,
                                  with_stats)
+from pricelens.functions import fixed
 from pricelens.plans.jobs import DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
 from pricelens.sources import (flatten_response, load_date, read_landing, register_tables,
@@ -154,10 +155,21 @@ def monthly_market_log(spark, sf_dir) -> DataFrame:
 
 # ---- craft chain --------------------------------------------------------------
 
-def _route_cost(spark, sf_dir) -> DataFrame:
+def _route_cost(spark, sf_dir, collapse=None, require_complete=False) -> DataFrame:
     recipe = part_recipe(spark, sf_dir)
     mats = material_prices(monthly_material_log(spark, sf_dir))
-    return route_cost(cost_lines(recipe, mats))
+    return route_cost(cost_lines(recipe, mats, collapse=collapse), recipe,
+                      require_complete=require_complete)
+
+
+def q_route_cost_collapsed(spark, sf_dir):
+    """S1/S2 fix: each material priced at its cheapest listing."""
+    return _route_cost(spark, sf_dir, collapse="min")
+
+
+def q_cheapest_route_complete(spark, sf_dir):
+    """S3 fix: only routes with every ingredient priced at the snapshot."""
+    return cheapest_route(_route_cost(spark, sf_dir, require_complete=True))
 
 
 def _craft_profit(spark, sf_dir) -> DataFrame:
@@ -317,6 +329,15 @@ def q_outlier_rate(spark, sf_dir):
     return run_counts(_flagged(spark, sf_dir))
 
 
+def q_corr_report_lines(spark, sf_dir):
+    """Q3 item lines: r as 4-place fixed text (H11), ``n/a`` when undefined."""
+    c = _item_corr(spark, sf_dir)
+    r_txt = F.when(F.col("r").isNull(), F.lit("n/a")).otherwise(fixed("r", 4))
+    return c.select("item_name", F.format_string(
+        "  %s: %s (%s) [%d건]", F.col("item_name").cast("string"), r_txt,
+        F.coalesce(F.col("direction"), F.lit("n/a")), "n").alias("line"))
+
+
 def q_report_lines(spark, sf_dir):
     s = _summary(spark, sf_dir)
     return s.select("item_name", F.format_string(
@@ -462,6 +483,8 @@ QUERIES = {
     # Q2 craft chain
     "route_cost": q_route_cost,
     "cheapest_route": q_cheapest_route,
+    "route_cost_collapsed": q_route_cost_collapsed,
+    "cheapest_route_complete": q_cheapest_route_complete,
     "route_min_cost": q_route_min_cost,
     "craft_profit": q_craft_profit,
     "profit_by_weekday": q_profit_by_weekday,
@@ -484,4 +507,5 @@ QUERIES = {
     "weekday_flags": q_weekday_flags,
     "outlier_rate": q_outlier_rate,
     "report_lines": q_report_lines,
+    "corr_report_lines": q_corr_report_lines,
 }

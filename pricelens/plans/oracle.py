@@ -122,6 +122,28 @@ profit AS (
          m.market_price - b.craft_cost AS profit, (m.market_price - b.craft_cost) > 0 AS is_profitable
   FROM market m JOIN best b ON m.result_item = b.result_item AND m.collected_at = b.collected_at)"""
 
+CRAFT_MIN = CRAFT.replace(
+    "CAST(sum(m.material_price * r.quantity) AS BIGINT) AS units, count(*) AS joined_lines\n"
+    "  FROM recipe r JOIN mat m ON r.material_name = m.material_name",
+    "CAST(sum(m.material_price * r.quantity) AS BIGINT) AS units, count(*) AS joined_lines\n"
+    "  FROM recipe r JOIN (SELECT collected_at, material_name, min(material_price) AS material_price\n"
+    "                      FROM mat GROUP BY collected_at, material_name) m\n"
+    "    ON r.material_name = m.material_name")
+assert CRAFT_MIN != CRAFT
+
+COMPLETE = """,
+present AS (
+  SELECT r.result_item, m.collected_at, r.route, count(DISTINCT r.material_name) AS n_present
+  FROM recipe r JOIN mat m ON r.material_name = m.material_name
+  GROUP BY r.result_item, m.collected_at, r.route),
+needed AS (SELECT result_item, route, count(*) AS n_needed FROM recipe GROUP BY result_item, route),
+rc_complete AS (
+  SELECT rc.* FROM rc
+  JOIN present p ON rc.result_item = p.result_item AND rc.collected_at = p.collected_at
+                AND rc.route = p.route
+  JOIN needed n ON rc.result_item = n.result_item AND rc.route = n.route
+  WHERE p.n_present = n.n_needed)"""
+
 CORR = """
   SELECT {key}, round(r, 4) + 0.0 AS r, n,
          CASE WHEN r IS NULL THEN NULL WHEN r > 0 THEN '양(+)' ELSE '음(-)' END AS direction,
@@ -223,6 +245,12 @@ FROM (SELECT category, item_name,
     "category_weekday_avg": f"""WITH {EV}
 SELECT category, day_of_week, round(avg(price), 1) AS avg_price FROM ev GROUP BY category, day_of_week""",
     "route_cost": f"WITH {CRAFT} SELECT * FROM rc",
+    "route_cost_collapsed": f"WITH {CRAFT_MIN} SELECT * FROM rc",
+    "cheapest_route_complete": f"""WITH {CRAFT}{COMPLETE}
+SELECT result_item, collected_at, day_of_week, route_craft_cost AS craft_cost, route
+FROM rc_complete
+QUALIFY row_number() OVER (PARTITION BY result_item, collected_at
+                           ORDER BY route_craft_cost, route) = 1""",
     "cheapest_route": f"WITH {CRAFT} SELECT * FROM best",
     "route_min_cost": f"""WITH {CRAFT}
 SELECT result_item, collected_at, route, route_craft_cost, min_craft_cost FROM (
@@ -281,6 +309,11 @@ FROM bd""",
 SELECT count(*) AS total_rows, CAST(count_if(is_anomaly) AS BIGINT) AS anomaly_rows,
        round(count_if(is_anomaly) / count(*) * 100, 2) AS anomaly_pct
 FROM fl""",
+    "corr_report_lines": f"""WITH {EV}, {ITEM_CORR}
+SELECT item_name,
+       printf('  %s: %s (%s) [%d건]', CAST(item_name AS VARCHAR),
+              coalesce(printf('%.4f', r), 'n/a'), coalesce(direction, 'n/a'), n) AS line
+FROM ic""",
     "report_lines": f"""WITH {PP}, {FLAGGED}, {SUMMARY}
 SELECT item_name,
        printf('%s | 이상치 %d건 | 평균가 %d골드 | 평균할인 %.1f%% | 최저 %d골드',
