@@ -36,8 +36,8 @@ from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, c
 from pricelens.functions import fixed
 from pricelens.plans.jobs import DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
-from pricelens.sources import (flatten_response, load_date, read_landing, register_tables,
-                               write_landing, write_parquet)
+from pricelens.sources import (flatten_response, load_date, read_landing, read_log,
+                               read_recipe, register_tables, write_landing, write_parquet)
 from pricelens.streaming import stream_clean
 from pricelens import schemas
 
@@ -393,6 +393,22 @@ def q_table_scan(spark, sf_dir):
                                             categories=_sql_list(EVENT_TREND_TYPES)))
 
 
+def q_recipe_csv(spark, sf_dir):
+    """The part-derived recipe landed as CSV with a header, read back
+    with the explicit six-column recipe schema."""
+    out = scratch_path(spark, "recipe-csv")
+    part_recipe(spark, sf_dir).write.option("header", True).csv(out)
+    return read_recipe(spark, out)
+
+
+def q_log_scan(spark, sf_dir):
+    """A Parquet log scanned with a category filter and a projection,
+    both pushed into the scan."""
+    out = scratch_path(spark, "log-scan")
+    write_parquet(events_log(spark, sf_dir), out)
+    return read_log(spark, out, EVENT_TREND_TYPES, ["category", "item_name", "day_of_week", "price"])
+
+
 def q_stream_clean(spark, sf_dir):
     root = _landed(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
@@ -468,6 +484,8 @@ QUERIES = {
     "load_date": q_load_date,
     "parquet_roundtrip": q_parquet_roundtrip,
     "table_scan": q_table_scan,
+    "recipe_csv": q_recipe_csv,
+    "log_scan": q_log_scan,
     "stream_clean": q_stream_clean,
     "catalog": q_catalog,
     "watchlist_match": q_watchlist_match,

@@ -206,6 +206,14 @@ WHERE o_orderstatus <> 'P'""",
     "parquet_roundtrip": CLEAN_EV_DATED,
     "table_scan": f"WITH {EV}" + TREND.format(src="ev", cats=_lst(d.EVENT_TREND_TYPES)),
     "stream_clean": CLEAN_EV_DATED,
+    "recipe_csv": f"""
+SELECT p_brand AS result_item, CAST(p_partkey AS VARCHAR) AS material_name, p_size AS quantity,
+       CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) * {d.FEE_PER_BRAND_NO} AS craft_fee,
+       p_type AS route, {d.RESULT_QUANTITY} AS result_quantity
+FROM part WHERE p_size <= {d.RECIPE_MAX_SIZE}""",
+    "log_scan": f"""WITH {EV}
+SELECT category, item_name, day_of_week, price FROM ev
+WHERE category IN ({_lst(d.EVENT_TREND_TYPES)})""",
     "catalog": f"WITH {CATALOG} SELECT category, item_name, item_count FROM cat",
     "watchlist_match": f"WITH {CATALOG} SELECT category, keyword, item_name FROM mk",
     "first_page": f"""WITH {CATALOG},
