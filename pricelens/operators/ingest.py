@@ -86,18 +86,19 @@ def watchlist(spark: SparkSession) -> DataFrame:
     return kws.join(F.broadcast(codes), "category", "inner")
 
 
-def _substrings(names: DataFrame, name_col: str, max_len) -> DataFrame:
-    """Every substring of each name up to ``max_len`` characters, as rows."""
+def _substrings(names: DataFrame, name_col: str, max_len: int) -> DataFrame:
+    """Every substring of each name of at most ``max_len`` characters, as
+    rows (``_s`` = 1-based start, ``_sub`` = the substring)."""
     n = F.length(F.col(name_col))
     starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
     return (names.withColumn("_s", F.explode(starts))
                  .withColumn("_l", F.explode(F.sequence(
                      F.lit(1), F.greatest(F.least(n - F.col("_s") + 1, F.lit(max_len)), F.lit(1)))))
                  .withColumn("_sub", F.substring(F.col(name_col), F.col("_s"), F.col("_l")))
-                 .drop("_s", "_l"))
+                 .drop("_l"))
 
 
-def match_keywords(catalog_df: DataFrame, watch: DataFrame, max_keyword_len: int = 64,
+def match_keywords(catalog_df: DataFrame, watch: DataFrame, prefix_len: int = 16,
                    category_col: str = "category", name_col: str = "item_name",
                    keyword_col: str = "keyword") -> DataFrame:
     """Keyword search within a category (C05): a keyword selects every
@@ -105,21 +106,23 @@ def match_keywords(catalog_df: DataFrame, watch: DataFrame, max_keyword_len: int
 
     A substring test is a theta join; rather than pairing every name with
     every keyword of its category, each (short) item name is expanded into
-    its substrings of at most ``max_keyword_len`` characters and the match
-    becomes an equi-join on (category, substring).  That is exact for
-    keywords up to that length, which is checked: a longer keyword raises.
-    Returns distinct (category, keyword, item_name).
+    its substrings of at most ``prefix_len`` characters and the match is an
+    equi-join on (category, substring = keyword prefix), where the prefix is
+    the keyword itself when it is short.  A longer keyword meets only the
+    positions where its prefix occurs and is then verified in full at that
+    position, so the match is exact for keywords of any length.  Returns
+    distinct (category, keyword, item_name).
     """
-    too_long = watch.filter(F.length(keyword_col) > max_keyword_len).limit(1).count()
-    if too_long:
-        raise ValueError(f"keyword longer than max_keyword_len={max_keyword_len}")
     names = catalog_df.select(F.col(category_col).alias("category"),
                               F.col(name_col).alias("item_name")).distinct()
-    subs = _substrings(names, "item_name", max_keyword_len)
-    kw = watch.select(F.col(category_col).alias("category"),
-                      F.col(keyword_col).alias("keyword")).distinct()
-    j = subs.join(kw, (subs["category"] == kw["category"]) & (subs["_sub"] == kw["keyword"]))
-    return j.select(subs["category"], kw["keyword"], subs["item_name"]).distinct()
+    subs = _substrings(names, "item_name", prefix_len)
+    kw = (watch.select(F.col(category_col).alias("category"),
+                       F.col(keyword_col).alias("keyword")).distinct()
+               .filter(F.length("keyword") > 0)
+               .withColumn("_key", F.substring("keyword", 1, prefix_len)))
+    j = subs.join(kw, (subs["category"] == kw["category"]) & (subs["_sub"] == kw["_key"]))
+    full = F.substring(subs["item_name"], subs["_s"], F.length(kw["keyword"])) == kw["keyword"]
+    return j.filter(full).select(subs["category"], kw["keyword"], subs["item_name"]).distinct()
 
 
 def first_page(listings: DataFrame, page_size: int, key_cols: list[str],

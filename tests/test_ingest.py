@@ -40,3 +40,14 @@ def test_first_page_brute_force(spark):
         ordered = sorted([r for r in rows if r[0] == k], key=lambda r: (r[1], r[2], r[3]))[:3]
         exp += [(k, i + 1, r[1], r[2], r[3]) for i, r in enumerate(ordered)]
     assert got == sorted(exp)
+
+
+def test_match_keywords_long_keywords_exact(spark):
+    names = [("c", "아비도스 두툼한 생고기 특상품"), ("c", "두툼한 생고기"), ("c", "x" * 40),
+             ("c", "y" + "x" * 39)]
+    kws = [("c", "두툼한 생고기 특상"), ("c", "x" * 30), ("c", "두툼한"), ("c", "y" + "x" * 25)]
+    cat = spark.createDataFrame(names, "category string, item_name string")
+    kw = spark.createDataFrame(kws, "category string, keyword string")
+    got = sorted(tuple(r) for r in match_keywords(cat, kw, prefix_len=4).collect())
+    exp = sorted({(c, k, n) for c, k in kws for c2, n in names if c == c2 and k in n})
+    assert got == exp
