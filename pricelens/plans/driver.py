@@ -37,7 +37,8 @@ from pricelens.functions import fixed
 from pricelens.plans.jobs import DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
 from pricelens.sources import (flatten_response, load_date, read_landing, read_log,
-                               read_recipe, register_tables, write_landing, write_parquet)
+                               read_raw, read_recipe, register_tables, write_landing,
+                               write_parquet, write_runs)
 from pricelens.streaming import stream_clean
 from pricelens import schemas
 
@@ -361,6 +362,15 @@ def _landed(spark, sf_dir) -> str:
     return root
 
 
+def q_raw_json_scan(spark, sf_dir):
+    """Events landed as one JSON array per file under date/hour
+    folders, scanned back with the multi-line raw reader over the glob."""
+    root = scratch_path(spark, "runs")
+    write_runs(events_raw(spark, sf_dir), root)
+    back = read_raw(spark, f"{root}/*/*/*.txt")
+    return back.withColumn("price", F.col("price").try_cast("double"))
+
+
 def q_json_landing(spark, sf_dir):
     back = read_landing(spark, _landed(spark, sf_dir))
     return back.withColumn("price", F.col("price").try_cast("double"))
@@ -480,6 +490,7 @@ QUERIES = {
     # cleaning and sources
     "scan_clean": q_scan_clean,
     "flatten_response": q_flatten_response,
+    "raw_json_scan": q_raw_json_scan,
     "json_landing": q_json_landing,
     "load_date": q_load_date,
     "parquet_roundtrip": q_parquet_roundtrip,

@@ -202,6 +202,7 @@ SELECT CAST((l_linenumber - 1) // 10 + 1 AS INTEGER) AS page_no, l_orderkey AS i
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 WHERE o_orderstatus <> 'P'""",
     "json_landing": RAW_EV_LANDED,
+    "raw_json_scan": f"""SELECT * EXCLUDE (date, hour) FROM ({RAW_EV_LANDED})""",
     "load_date": CLEAN_EV_DATED,
     "parquet_roundtrip": CLEAN_EV_DATED,
     "table_scan": f"WITH {EV}" + TREND.format(src="ev", cats=_lst(d.EVENT_TREND_TYPES)),

@@ -2,11 +2,11 @@
 text reports."""
 
 from pricelens.sources.raw import (read_raw, flatten_response, stamp_run,
-                                   write_landing, read_landing, load_date)
+                                   write_landing, write_runs, read_landing, load_date)
 from pricelens.sources.tables import (read_recipe, read_log, write_parquet,
                                       register_tables)
 from pricelens.sources.report import write_report
 
-__all__ = ["read_raw", "flatten_response", "stamp_run", "write_landing",
+__all__ = ["read_raw", "flatten_response", "stamp_run", "write_landing", "write_runs",
            "read_landing", "load_date", "read_recipe", "read_log",
            "write_parquet", "register_tables", "write_report"]

@@ -88,6 +88,34 @@ def write_landing(df: DataFrame, root: str, ts_col: str = "collected_at",
        .partitionBy("date", "hour").json(root))
 
 
+def write_runs(df: DataFrame, root: str, ts_col: str = "collected_at",
+               rows_per_file: int = 1000) -> None:
+    """Land raw rows the way the collector does: each file holds one JSON
+    array, under ``root/date=YYYY-MM-DD/hour=HH/`` (A07, read by A01).
+
+    Rows are chunked without a shuffle of their own: the chunk is the row's
+    position inside its input partition divided by ``rows_per_file``
+    (``monotonically_increasing_id`` keeps the partition in its high bits),
+    so an array never holds more than ``rows_per_file`` rows, however hot
+    one hour is.  One array per file via ``maxRecordsPerFile = 1``.
+    """
+    ts = F.col(ts_col).try_cast("timestamp_ntz")
+    date_part, hour_part = landing_parts(ts)
+    chunk = F.floor(F.monotonically_increasing_id() / F.lit(rows_per_file))
+    # Hash on (date, hour, chunk): chunks are bounded, so no task gets a hot
+    # hour whole; the explicit count keeps AQE from folding the file writes
+    # into one task, and the aggregate reuses this partitioning.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arrays = (df.withColumn("date", date_part).withColumn("hour", hour_part)
+                .withColumn("_chunk", chunk)
+                .repartition(n, "date", "hour", "_chunk")
+                .groupBy("date", "hour", "_chunk")
+                .agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns])))
+                     .alias("value")))
+    (arrays.select("date", "hour", "value").write.mode("append")
+           .option("maxRecordsPerFile", 1).partitionBy("date", "hour").text(root))
+
+
 LANDING_PARTITIONS = [T.StructField("date", T.StringType()),
                       T.StructField("hour", T.StringType())]
 

@@ -113,3 +113,20 @@ def test_write_report(spark, tmp):
     files = sorted(f for f in os.listdir(folders[0]) if f.startswith("part-"))
     text = "".join(open(os.path.join(folders[0], f), encoding="utf-8").read() for f in files)
     assert text.split("\n")[:4] == ["title", "one", "two", "three"]
+
+
+def test_write_runs_one_array_per_file(spark, tmp):
+    from pricelens.sources import write_runs
+    rows = [(f"2026-05-19T{h:02d}:00:00", "c", f"i{i}", "g", str(i + 1), 0, "")
+            for h in (10, 11) for i in range(25)]
+    df = spark.createDataFrame(rows, schemas.RAW_AUCTION)
+    write_runs(df, f"{tmp}/runs", rows_per_file=10)
+    files = [os.path.join(d, f) for d, _, fs in os.walk(f"{tmp}/runs") for f in fs
+             if f.endswith(".txt")]
+    for f in files:
+        arr = json.load(open(f, encoding="utf-8"))        # the whole file is one array
+        assert isinstance(arr, list) and 1 <= len(arr) <= 10
+        assert len({r["collected_at"][11:13] for r in arr}) == 1
+    assert all(("hour=10" in f) or ("hour=11" in f) for f in files)
+    back = read_raw(spark, f"{tmp}/runs/*/*/*.txt")
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
