@@ -32,7 +32,7 @@ from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, c
                                  reset_effect, route_cost, run_counts, top_anomalies,
                                  top_discount, top_flags, weekday_delta, weekday_flags,
                                  weekday_matrix, weekday_share, weekday_trend, with_min_cost,
-                                 with_stats)
+                                 with_stats, join_checked)
 from pricelens.functions import fixed
 from pricelens.plans.jobs import DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
@@ -439,13 +439,15 @@ def q_flatten_response(spark, sf_dir):
         F.col("l_quantity").cast("long").alias("Quantity"),
         F.when(F.col("l_linestatus") != "O",
                F.date_format("l_shipdate", "yyyy-MM-dd")).alias("EndDate"))
+    # the order status joins on the order key before grouping, so at scale one
+    # shuffle on the order key serves both the join and the per-page grouping
     items = (li.join(p, li["l_partkey"] == p["p_partkey"])
+               .join(o, li["l_orderkey"] == o["o_orderkey"])
                .select(F.col("l_orderkey").alias("keyword"), page.alias("page_no"),
-                       item.alias("item")))
+                       "o_orderstatus", item.alias("item")))
     # one response per (keyword, page): at most PAGE_SIZE listings each
-    resp = (items.groupBy("keyword", "page_no")
+    resp = (items.groupBy("keyword", "page_no", "o_orderstatus")
                  .agg(F.count(F.lit(1)).alias("TotalCount"), F.collect_list("item").alias("Items"))
-                 .join(o, F.col("keyword") == o["o_orderkey"])
                  .select("keyword", "page_no", F.to_json(F.struct(
                      "TotalCount",
                      F.when(F.col("o_orderstatus") != "P", F.col("Items")).alias("Items")))
@@ -479,7 +481,8 @@ def q_first_page(spark, sf_dir):
                   .select(F.col("p_type").alias("category"), F.col("p_name").alias("item_name"),
                           cents("l_extendedprice").alias("price"), "l_orderkey", "l_linenumber"))
     m = match_keywords(_catalog(spark, sf_dir), _part_keywords(spark, sf_dir))
-    j = m.join(listings, ["category", "item_name"])
+    # matches are bounded by catalogue names × keywords: checked, then broadcast
+    j = join_checked(listings, m, ["category", "item_name"])
     return first_page(j, PAGE_SIZE, ["category", "keyword"],
                       ["price", "item_name", "l_orderkey", "l_linenumber"]) \
         .select("category", "keyword", "rank", "item_name", "price", "l_orderkey",
