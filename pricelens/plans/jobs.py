@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.functions import day_label
+from pricelens.functions import DAY_LABELS, day_label
 from pricelens.operators import (anomaly_by_weekday, anomaly_summary, clean, corr_by,
                                  corr_extremes, category_weekday_avg, cost_lines,
                                  cheapest_route, flag_low, market_prices,
@@ -23,39 +23,34 @@ from pricelens.operators.ingest import (ANOMALY_CATEGORY, CORR_CATEGORIES,
                                         TREND_CATEGORIES)
 from pricelens.sources import read_log, read_raw, read_recipe, write_parquet, write_report
 
-# Q1 in SQL over the registered ``auction_log`` table.
-DAILY_TREND_SQL = """
-SELECT category, item_name, day_of_week,
-       CASE day_of_week WHEN 1 THEN '일' WHEN 2 THEN '월' WHEN 3 THEN '화'
-            WHEN 4 THEN '수' WHEN 5 THEN '목' WHEN 6 THEN '금' WHEN 7 THEN '토'
-       END AS day_label,
-       ROUND(AVG(price), 0) AS avg_price,
-       MIN(price) AS min_price,
-       MAX(price) AS max_price,
-       COUNT(*) AS record_count
-FROM {table}
-WHERE category IN ({categories})
-GROUP BY category, item_name, day_of_week
-ORDER BY category, item_name, day_of_week
-"""
-
-# Q2 in SQL over the registered ``craft_profit`` table (D03, D04, F01; the
-# order adds ``route`` so ties are deterministic).
-CRAFT_PROFIT_SQL = """
-SELECT result_item, day_of_week,
-       CASE day_of_week WHEN 1 THEN '일' WHEN 2 THEN '월' WHEN 3 THEN '화'
-            WHEN 4 THEN '수' WHEN 5 THEN '목' WHEN 6 THEN '금' WHEN 7 THEN '토'
-       END AS day_label,
-       ROUND(AVG(market_price - craft_cost), 0) AS avg_profit,
-       ROUND(AVG(craft_cost), 0) AS avg_craft_cost,
-       ROUND(AVG(market_price), 0) AS avg_market_price,
-       ROUND(SUM(CASE WHEN market_price > craft_cost THEN 1 ELSE 0 END)
-             / COUNT(*) * 100, 1) AS profitable_pct,
-       route
-FROM {table}
-GROUP BY result_item, day_of_week, route
-ORDER BY result_item, day_of_week, route
-"""
+def day_label_sql(col: str) -> str:
+    """SQL CASE mapping 1..7 to the fixed weekday labels (NULL otherwise)."""
+    whens = " ".join(f"WHEN {i} THEN '{lab}'" for i, lab in enumerate(DAY_LABELS, start=1))
+    return f"CASE {col} {whens} END"
+
+
+# Q1 as SQL over a registered log table.
+DAILY_TREND_SQL = (
+    "SELECT category, item_name, day_of_week, "
+    + day_label_sql("day_of_week") + " AS day_label, "
+    "round(avg(price), 0) AS avg_price, min(price) AS min_price, max(price) AS max_price, "
+    "count(1) AS record_count "
+    "FROM {table} WHERE category IN ({categories}) "
+    "GROUP BY category, item_name, day_of_week "
+    "ORDER BY category, item_name, day_of_week")
+
+# Q2 as SQL over a registered craft_profit table (D03, D04, F01); the order
+# includes the route so equal (item, weekday) rows come out deterministically.
+CRAFT_PROFIT_SQL = (
+    "SELECT result_item, day_of_week, "
+    + day_label_sql("day_of_week") + " AS day_label, "
+    "round(avg(market_price - craft_cost), 0) AS avg_profit, "
+    "round(avg(craft_cost), 0) AS avg_craft_cost, "
+    "round(avg(market_price), 0) AS avg_market_price, "
+    "round(count_if(market_price > craft_cost) / count(1) * 100, 1) AS profitable_pct, "
+    "route "
+    "FROM {table} GROUP BY result_item, day_of_week, route "
+    "ORDER BY result_item, day_of_week, route")
 
 
 def _sql_list(values) -> str:

@@ -11,6 +11,7 @@ that can be tiny negatives get ``+ 0.0``.
 from __future__ import annotations
 
 from pricelens.plans import driver as d
+from pricelens.plans.jobs import day_label_sql
 
 
 def _lst(vals) -> str:
@@ -18,8 +19,7 @@ def _lst(vals) -> str:
 
 
 DOW = "CAST(dayofweek({c}) + 1 AS INTEGER)"
-LABEL = ("CASE {c} WHEN 1 THEN '일' WHEN 2 THEN '월' WHEN 3 THEN '화' WHEN 4 THEN '수' "
-         "WHEN 5 THEN '목' WHEN 6 THEN '금' WHEN 7 THEN '토' END")
+LABEL = day_label_sql("{c}")
 CENTS = "CAST(round({c} * 100) AS BIGINT)"
 
 LP = f"""lp AS (
