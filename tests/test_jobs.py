@@ -80,3 +80,23 @@ def test_anomaly_job_on_category(spark, landed):
     c = parts["counts"].collect()[0]
     assert c.total_rows == 3
     assert c.anomaly_rows == parts["anomalies"].count()
+
+
+def test_prepare_options(spark, landed):
+    # collapse="min": 생선 priced at its cheapest listing; require_complete: the
+    # 낚시 route lacks 아비도스 태양 잉어 and is dropped, leaving 고고학.
+    out = jobs.prepare(spark, f"{landed}/raw/*/*/*.json", f"{landed}/recipe.csv", f"{landed}/o3",
+                       collapse="min", require_complete=True)
+    rows = spark.read.parquet(out["craft_profit"]).collect()
+    assert {r.route for r in rows} == {"고고학"}
+    assert all(r.craft_cost == pytest.approx(12.678666, abs=1e-5) for r in rows)
+    from pricelens.operators import cost_lines, material_prices, route_cost
+    from pricelens.sources import read_recipe
+    log = spark.read.parquet(out["auction_log"])
+    recipe = read_recipe(spark, f"{landed}/recipe.csv")
+    par = {r.route: r for r in route_cost(cost_lines(recipe, material_prices(log))).collect()}
+    col = {r.route: r for r in route_cost(cost_lines(recipe, material_prices(log), "min")).collect()}
+    # 낚시 parity: (1.30 + 2.56)·80 + 2.56·40 = 411.2; collapsed: 1.30·80 + 2.56·40 = 206.4
+    assert par["낚시"].route_material_cost == pytest.approx(411.2)
+    assert col["낚시"].route_material_cost == pytest.approx(206.4)
+    assert par["낚시"].joined_lines == 3 and col["낚시"].joined_lines == 2
