@@ -141,3 +141,29 @@ def anomaly_report(spark: SparkSession, parts: dict[str, DataFrame], path: str)
         ("[아이템별 이상치 발생 빈도 Top 20]", top, [F.desc("anomaly_count"), "item_name"]),
         ("[요일별 이상치 발생 빈도]", by_day, ["day_of_week"]),
     ], path)
+
+
+def _r_text(col: str = "r") -> "F.Column":
+    return F.when(F.col(col).isNull(), F.lit("n/a")).otherwise(F.format_string("%.4f", col))
+
+
+def correlation_report(spark: SparkSession, parts: dict[str, DataFrame], path: str) -> list[str]:
+    """Q3's text report written by executors (A06, H11): category r with
+    direction and strength, the strongest and weakest items, and category
+    averages by weekday."""
+    cat = parts["category_corr"].select("category", F.format_string(
+        "  %s: %s (%s %s)", "category", _r_text(),
+        F.coalesce("direction", F.lit("n/a")), F.coalesce("strength", F.lit("n/a"))).alias("line"))
+    ext = parts["extremes"]
+    line = F.format_string("  %s: %s (%s) [%d건]", F.col("item_name").cast("string"), _r_text(),
+                           F.coalesce("direction", F.lit("n/a")), "n").alias("line")
+    strong = ext.filter(F.col("list") == "strong").select("pos", line)
+    weak = ext.filter(F.col("list") == "weak").select("pos", line)
+    avg = parts["category_weekday_avg"].select("category", "day_of_week", F.format_string(
+        "  %s | 요일%d | %.1f골드", "category", "day_of_week", "avg_price").alias("line"))
+    return write_report([
+        ("[1] 카테고리별 요일-가격 상관계수", cat, ["category"]),
+        ("  상관관계 강한 상위", strong, ["pos"]),
+        ("  상관관계 약한 하위", weak, ["pos"]),
+        ("[3] 요일별 카테고리 평균가", avg, ["category", "day_of_week"]),
+    ], path)

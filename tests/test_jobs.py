@@ -68,6 +68,11 @@ def test_prepare_and_analyses(spark, landed):
     cwa = corr["category_weekday_avg"].collect()
     assert [(r.category, r.day_of_week, r.avg_price) for r in cwa] == [("재련재료", 3, 40.3)]
 
+    folders = jobs.correlation_report(spark, corr, f"{landed}/q3")
+    text = [r.value for f in folders for r in spark.read.text(f).collect()]
+    assert "  재련재료: n/a (n/a n/a)" in text
+    assert "  재련재료 | 요일3 | 40.3골드" in text
+
     parts = jobs.anomaly(spark, out["auction_log"], out=f"{landed}/anomaly")
     assert parts["counts"].collect()[0].total_rows == 0                 # category absent
     folders = jobs.anomaly_report(spark, parts, f"{landed}/report")
