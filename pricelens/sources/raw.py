@@ -121,16 +121,20 @@ LANDING_PARTITIONS = [T.StructField("date", T.StringType()),
 
 
 def read_landing(spark: SparkSession, root: str,
-                 schema: T.StructType = schemas.RAW_AUCTION) -> DataFrame:
-    """Read a partitioned landing root written by ``write_landing`` (one JSON
-    object per line).  ``date``/``hour`` are string partition columns, so a
-    filter on them prunes folders before any file is opened."""
+                 schema: T.StructType = schemas.RAW_AUCTION,
+                 multi_line: bool = False) -> DataFrame:
+    """Read a partitioned landing root: JSON lines from ``write_landing``, or
+    one array per file from ``write_runs`` (``multi_line=True``).
+    ``date``/``hour`` are string partition columns, so a filter on them
+    prunes folders before any file is opened."""
     full = T.StructType(list(schema.fields) + LANDING_PARTITIONS)
-    return spark.read.schema(full).option("basePath", root).json(root)
+    return (spark.read.schema(full).option("basePath", root)
+            .option("multiLine", multi_line).json(root))
 
 
 def load_date(spark: SparkSession, landing_root: str, out: str,
-              dates: list[str] | None = None, clean_fn=None) -> None:
+              dates: list[str] | None = None, clean_fn=None,
+              multi_line: bool = False) -> None:
     """Idempotent, date-scoped load of landing rows into a log.
 
     Reads only the requested ``date`` partitions (all when ``dates`` is
@@ -141,7 +145,7 @@ def load_date(spark: SparkSession, landing_root: str, out: str,
     """
     from pricelens.operators.clean import clean
     clean_fn = clean_fn or clean
-    raw = read_landing(spark, landing_root)
+    raw = read_landing(spark, landing_root, multi_line=multi_line)
     if dates is not None:
         raw = raw.filter(F.col("date").isin(list(dates)))
         # Existence check from the pruned file listing only (no data read).

@@ -20,17 +20,20 @@ from pricelens.operators.clean import clean
 
 def stream_clean(spark: SparkSession, raw_root: str, out: str, checkpoint: str,
                  multi_line: bool = True, available_now: bool = True,
-                 max_files_per_trigger: int | None = None,
+                 max_files_per_trigger: int | None = None, glob: str | None = None,
                  wait: bool = True) -> StreamingQuery:
     """Start (and by default finish) the incremental clean of ``raw_root``.
 
     ``raw_root`` holds landed JSON (``multi_line`` for one-array-per-file
-    runs, False for JSON lines); ``checkpoint`` must be on shared storage.
+    runs, False for JSON lines; files starting with ``_`` or ``.`` are
+    skipped, ``glob`` narrows further); ``checkpoint`` must be on shared
+    storage.
     """
     reader = (spark.readStream.schema(schemas.RAW_AUCTION)
               .option("multiLine", multi_line)
-              .option("recursiveFileLookup", True)
-              .option("pathGlobFilter", "*.json"))
+              .option("recursiveFileLookup", True))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     cleaned = clean(reader.json(raw_root)).withColumn(

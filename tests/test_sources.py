@@ -130,3 +130,13 @@ def test_write_runs_one_array_per_file(spark, tmp):
     assert all(("hour=10" in f) or ("hour=11" in f) for f in files)
     back = read_raw(spark, f"{tmp}/runs/*/*/*.txt")
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+
+
+def test_load_date_from_collector_arrays(spark, tmp):
+    from pricelens.sources import write_runs
+    rows = [("2026-05-19T10:00:00", "c", "a", "g", "10", 0, ""),
+            ("2026-05-20T11:00:00", "c", "b", "g", "11", 0, "")]
+    write_runs(spark.createDataFrame(rows, schemas.RAW_AUCTION), f"{tmp}/runs")
+    load_date(spark, f"{tmp}/runs", f"{tmp}/log", ["2026-05-20"], multi_line=True)
+    got = [(r.item_name, r.price, str(r.date)) for r in spark.read.parquet(f"{tmp}/log").collect()]
+    assert got == [("b", 11, "2026-05-20")]

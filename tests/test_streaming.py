@@ -29,3 +29,15 @@ def test_stream_clean_exactly_once(spark, tmp):
     stream_clean(spark, raw, out, ck)
     got = sorted((r.item_name, r.price, str(r.date)) for r in spark.read.parquet(out).collect())
     assert got == [("x", 5, "2026-05-19"), ("z", 7, "2026-05-20")]
+
+
+def test_stream_clean_over_collector_arrays(spark, tmp):
+    from pyspark.sql import functions as F
+    from pricelens import schemas
+    from pricelens.sources import write_runs
+    rows = [("2026-05-19T10:00:00", "c", f"i{i}", "g", str(i), 0, "") for i in range(30)]
+    write_runs(spark.createDataFrame(rows, schemas.RAW_AUCTION), f"{tmp}/runs", rows_per_file=7)
+    stream_clean(spark, f"{tmp}/runs", f"{tmp}/out", f"{tmp}/ck", multi_line=True)
+    back = spark.read.parquet(f"{tmp}/out")
+    assert back.count() == 29                                   # price "0" is dropped
+    assert back.agg(F.sum("price")).collect()[0][0] == sum(range(30))
