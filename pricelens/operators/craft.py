@@ -59,8 +59,8 @@ def cost_lines(recipe: DataFrame, mats: DataFrame, collapse: str | None = None)
     row count of the plain join).
     """
     snap = material_snapshot(mats)
-    # the recipe is the small side: broadcast once its size is checked
-    j = join_checked(snap, recipe, "material_name", "inner")
+    # the recipe is the small side (a dimension scan): broadcast once counted
+    j = join_checked(snap, recipe, "material_name", "inner", materialize=False)
     if collapse is None:
         units = line_units("price_sum", "quantity")
         n = F.col("listings")

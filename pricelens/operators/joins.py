@@ -18,25 +18,25 @@ def max_broadcast_rows(df: DataFrame) -> int:
 
 
 def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int | None = None) -> DataFrame:
+                 max_rows: int | None = None, materialize: bool = True) -> DataFrame:
     """``big.join(small, on, how)`` that broadcasts ``small`` only when it is
     proven small.
 
-    ``small`` (a dimension or a per-key aggregate) is written once as a
-    Parquet table under the shared checkpoint folder — which also cuts its
-    lineage, so a lost executor does not recompute it — and counted from
-    the file footers.  At or below
-    ``max_rows`` rows it is broadcast and ``big`` is joined in place with no
-    shuffle at all; above it the plain join is planned, and AQE picks
-    sort-merge with skew splitting (or a runtime broadcast) from measured
-    sizes.  Either way no rows are dropped.
+    With ``materialize`` (the default, for aggregates and other derived
+    sides) ``small`` is written once as a Parquet table under the shared
+    checkpoint folder — which also cuts its lineage, so a lost executor does
+    not recompute it — and counted from the file footers.  Without it (a
+    plain scan of a dimension table, cheap to read again) it is only
+    counted.  At or below ``max_rows`` rows it is broadcast and ``big`` is
+    joined in place with no shuffle at all; above it the plain join is
+    planned, and AQE picks sort-merge with skew splitting (or a runtime
+    broadcast) from measured sizes.  Either way no rows are dropped.
     """
     limit = max_rows if max_rows is not None else max_broadcast_rows(big)
-    # Materialise once as a table in the shared checkpoint folder; the
-    # count is then answered from Parquet footers.
-    path = scratch_path(small.sparkSession, "join-side")
-    small.write.parquet(path)
-    small = small.sparkSession.read.parquet(path)
+    if materialize:
+        path = scratch_path(small.sparkSession, "join-side")
+        small.write.parquet(path)
+        small = small.sparkSession.read.parquet(path)
     n = small.count()
     if n <= limit:
         return big.join(F.broadcast(small), on, how)

@@ -27,3 +27,11 @@ def test_join_checked_both_paths(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_join_checked_without_materialize(spark):
+    big = spark.range(100).selectExpr("id % 4 AS k", "id AS v")
+    small = spark.range(4).selectExpr("id AS k", "id * 3 AS w")
+    a = join_checked(big, small, "k", max_rows=10, materialize=False)
+    assert "BroadcastExchange" in _plan(a)
+    assert a.count() == 100
