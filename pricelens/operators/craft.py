@@ -95,7 +95,7 @@ def route_cost(lines: DataFrame, recipe: DataFrame | None = None,
             raise ValueError("require_complete needs the recipe")
         need = (recipe.groupBy("result_item", "route")
                       .agg(F.count(F.lit(1)).alias("ingredients_needed")))
-        rc = (rc.join(need, ["result_item", "route"], "inner")
+        rc = (join_checked(rc, need, ["result_item", "route"], "inner", materialize=False)
                 .filter(F.col("ingredients_present") == F.col("ingredients_needed"))
                 .drop("ingredients_needed"))
     return rc.select(*ROUTE_KEYS,
