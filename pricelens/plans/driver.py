@@ -455,6 +455,13 @@ def q_flatten_response(spark, sf_dir):
     return flatten_response(resp, "response", keep=["page_no"], keyword_col="keyword")
 
 
+def q_defaults(spark, sf_dir):
+    """A10: the flattened listings whose Grade or EndDate key was absent and
+    took its default."""
+    flat = q_flatten_response(spark, sf_dir)
+    return flat.filter((F.col("grade") == "") | (F.col("end_date") == ""))
+
+
 def _catalog(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return catalog(p, "p_type", "p_name")
@@ -493,6 +500,7 @@ QUERIES = {
     # cleaning and sources
     "scan_clean": q_scan_clean,
     "flatten_response": q_flatten_response,
+    "defaults": q_defaults,
     "raw_json_scan": q_raw_json_scan,
     "json_landing": q_json_landing,
     "load_date": q_load_date,

@@ -201,6 +201,7 @@ SELECT CAST((l_linenumber - 1) // 10 + 1 AS INTEGER) AS page_no, l_orderkey AS i
        coalesce(CASE WHEN l_linestatus <> 'O' THEN strftime(l_shipdate, '%Y-%m-%d') END, '') AS end_date
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 WHERE o_orderstatus <> 'P'""",
+    "defaults": """SELECT * FROM ({flat}) WHERE grade = '' OR end_date = ''""",
     "json_landing": RAW_EV_LANDED,
     "raw_json_scan": f"""SELECT * EXCLUDE (date, hour) FROM ({RAW_EV_LANDED})""",
     "load_date": CLEAN_EV_DATED,
@@ -330,3 +331,5 @@ SELECT item_name,
               avg_discount_pct, min_anomaly_price) AS line
 FROM sm""",
 }
+
+SQL["defaults"] = SQL["defaults"].format(flat=SQL["flatten_response"])
