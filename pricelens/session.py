@@ -63,3 +63,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/pricelens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def sized_conf(shuffle_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Partition settings for a job that shuffles about ``shuffle_bytes``.
+
+    The shuffle partition count is an upper bound (AQE coalesces small
+    stages down to ``advisoryPartitionSizeInBytes``): enough partitions of
+    ``target_partition_bytes`` each for the largest shuffle, and at least
+    three waves of tasks over the cluster's cores so stragglers and lost
+    executors cost little.  File splits use the same target size.
+    """
+    parts = max(3 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

@@ -35,3 +35,10 @@ def test_join_checked_without_materialize(spark):
     a = join_checked(big, small, "k", max_rows=10, materialize=False)
     assert "BroadcastExchange" in _plan(a)
     assert a.count() == 100
+
+
+def test_sized_conf():
+    from pricelens.session import sized_conf
+    c = sized_conf(100 * 1024 ** 4, 8000)          # 100 TB over 1000 executors × 8 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(sized_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"]) == 24
