@@ -13,7 +13,8 @@ from pricelens.operators.anomaly import (item_stats, with_stats, flag_low, anoma
                                          low_outliers, anomaly_summary, top_anomalies,
                                          top_discount, anomaly_by_weekday, weekday_share,
                                          run_counts, top_flags, weekday_flags)
-from pricelens.operators.ingest import catalog, watchlist, match_keywords, first_page
+from pricelens.operators.ingest import (catalog, watchlist, match_keywords, first_page,
+                                        keyword_first_page)
 from pricelens.operators.joins import join_checked
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -136,3 +136,22 @@ def first_page(listings: DataFrame, page_size: int, key_cols: list[str],
     w = Window.partitionBy(*key_cols).orderBy(*order_cols)
     return (listings.withColumn("rank", F.row_number().over(w))
                     .filter(F.col("rank") <= page_size))
+
+
+def keyword_first_page(listings: DataFrame, matches: DataFrame, page_size: int,
+                       name_cols: list[str], keyword_cols: list[str],
+                       order_cols: list) -> DataFrame:
+    """First page per search keyword over the listings of every name the
+    keyword matches (C05 + F05), without pairing all listings with keywords.
+
+    A keyword's ``page_size`` cheapest listings are each among the
+    ``page_size`` cheapest of their own name (otherwise that many listings
+    of the same name, all matching the keyword, would rank ahead of them).
+    So the listings are first cut to a page per name — a top-k per group
+    with a partial limit before its shuffle — and only those rows meet the
+    keyword matches and the final per-keyword page.  Exact for a total
+    order (``order_cols`` must break all ties).
+    """
+    per_name = first_page(listings, page_size, name_cols, order_cols).drop("rank")
+    j = join_checked(per_name, matches, name_cols, "inner")
+    return first_page(j, page_size, keyword_cols, order_cols)

@@ -32,7 +32,7 @@ from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, c
                                  reset_effect, route_cost, run_counts, top_anomalies,
                                  top_discount, top_flags, weekday_delta, weekday_flags,
                                  weekday_matrix, weekday_share, weekday_trend, with_min_cost,
-                                 with_stats, join_checked)
+                                 with_stats, join_checked, keyword_first_page)
 from pricelens.functions import fixed
 from pricelens.plans.jobs import DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
@@ -488,12 +488,11 @@ def q_first_page(spark, sf_dir):
                   .select(F.col("p_type").alias("category"), F.col("p_name").alias("item_name"),
                           cents("l_extendedprice").alias("price"), "l_orderkey", "l_linenumber"))
     m = match_keywords(_catalog(spark, sf_dir), _part_keywords(spark, sf_dir))
-    # matches are bounded by catalogue names × keywords: checked, then broadcast
-    j = join_checked(listings, m, ["category", "item_name"])
-    return first_page(j, PAGE_SIZE, ["category", "keyword"],
-                      ["price", "item_name", "l_orderkey", "l_linenumber"]) \
-        .select("category", "keyword", "rank", "item_name", "price", "l_orderkey",
-                "l_linenumber")
+    page = keyword_first_page(listings, m, PAGE_SIZE, ["category", "item_name"],
+                              ["category", "keyword"],
+                              ["price", "item_name", "l_orderkey", "l_linenumber"])
+    return page.select("category", "keyword", "rank", "item_name", "price", "l_orderkey",
+                       "l_linenumber")
 
 
 QUERIES = {

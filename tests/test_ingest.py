@@ -51,3 +51,23 @@ def test_match_keywords_long_keywords_exact(spark):
     got = sorted(tuple(r) for r in match_keywords(cat, kw, prefix_len=4).collect())
     exp = sorted({(c, k, n) for c, k in kws for c2, n in names if c == c2 and k in n})
     assert got == exp
+
+
+def test_keyword_first_page_brute_force(spark):
+    import random
+    from pricelens.operators import keyword_first_page
+    rnd = random.Random(7)
+    names = ["a", "b", "c", "d"]
+    listings = [(n, rnd.randint(1, 30), i) for i, n in enumerate(rnd.choice(names) for _ in range(120))]
+    matches = [("k1", "a"), ("k1", "b"), ("k2", "b"), ("k2", "c"), ("k2", "d"), ("k3", "d")]
+    ldf = spark.createDataFrame(listings, "item_name string, price long, id int")
+    mdf = spark.createDataFrame(matches, "keyword string, item_name string")
+    got = sorted((r.keyword, r.rank, r.item_name, r.price, r.id) for r in
+                 keyword_first_page(ldf, mdf, 5, ["item_name"], ["keyword"],
+                                    ["price", "item_name", "id"]).collect())
+    exp = []
+    for k in ("k1", "k2", "k3"):
+        ns = {n for kk, n in matches if kk == k}
+        rows = sorted([r for r in listings if r[0] in ns], key=lambda r: (r[1], r[0], r[2]))[:5]
+        exp += [(k, i + 1, r[0], r[1], r[2]) for i, r in enumerate(rows)]
+    assert got == sorted(exp)
