@@ -34,6 +34,7 @@ from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, c
                                  weekday_matrix, weekday_share, weekday_trend, with_min_cost,
                                  with_stats, join_checked, keyword_first_page)
 from pricelens.functions import fixed
+from pricelens.functions import formats as fmt
 from pricelens.plans.jobs import DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
 from pricelens.sources import (flatten_response, load_date, read_landing, read_log,
@@ -333,16 +334,17 @@ def q_outlier_rate(spark, sf_dir):
 def q_corr_report_lines(spark, sf_dir):
     """Q3 item lines: r as 4-place fixed text (H11), ``n/a`` when undefined."""
     c = _item_corr(spark, sf_dir)
-    r_txt = F.when(F.col("r").isNull(), F.lit("n/a")).otherwise(fixed("r", 4))
+    na = F.lit(fmt.R_UNDEFINED)
+    r_txt = F.when(F.col("r").isNull(), na).otherwise(fixed("r", 4))
     return c.select("item_name", F.format_string(
-        "  %s: %s (%s) [%d건]", F.col("item_name").cast("string"), r_txt,
-        F.coalesce(F.col("direction"), F.lit("n/a")), "n").alias("line"))
+        fmt.CORR_ITEM_LINE, F.col("item_name").cast("string"), r_txt,
+        F.coalesce(F.col("direction"), na), "n").alias("line"))
 
 
 def q_report_lines(spark, sf_dir):
     s = _summary(spark, sf_dir)
     return s.select("item_name", F.format_string(
-        "%s | 이상치 %d건 | 평균가 %d골드 | 평균할인 %.1f%% | 최저 %d골드",
+        fmt.ANOMALY_ITEM_LINE,
         F.col("item_name").cast("string"), "anomaly_count", F.col("avg_price").cast("long"),
         "avg_discount_pct", "min_anomaly_price").alias("line"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.functions import DAY_LABELS, day_label
+from pricelens.functions import formats as fmt
 from pricelens.operators import (anomaly_by_weekday, anomaly_summary, clean, corr_by,
                                  corr_extremes, category_weekday_avg, cost_lines,
                                  cheapest_route, flag_low, market_prices,
@@ -131,11 +132,11 @@ def anomaly_report(spark: SparkSession, parts: dict[str, DataFrame], path: str)
     counts = parts["counts"].select(F.format_string(
         "  전체 레코드: %d건 / 이상치 탐지: %d건", "total_rows", "anomaly_rows").alias("line"))
     top = parts["top"].select("anomaly_count", "item_name", F.format_string(
-        "  %s | 이상치 %d건 | 평균가 %d골드 | 평균할인 %.1f%% | 최저 %d골드",
+        "  " + fmt.ANOMALY_ITEM_LINE,
         "item_name", "anomaly_count", F.col("avg_price").cast("long"),
         "avg_discount_pct", "min_anomaly_price").alias("line"))
     by_day = parts["by_weekday"].select("day_of_week", F.format_string(
-        "  %s요일(%d): %d건", "day_label", "day_of_week", "anomaly_count").alias("line"))
+        fmt.ANOMALY_WEEKDAY_LINE, "day_label", "day_of_week", "anomaly_count").alias("line"))
     return write_report([
         ("[Q4] 이상치 탐지 결과", counts, []),
         ("[아이템별 이상치 발생 빈도 Top 20]", top, [F.desc("anomaly_count"), "item_name"]),
@@ -144,23 +145,25 @@ def anomaly_report(spark: SparkSession, parts: dict[str, DataFrame], path: str)
 
 
 def _r_text(col: str = "r") -> "F.Column":
-    return F.when(F.col(col).isNull(), F.lit("n/a")).otherwise(F.format_string("%.4f", col))
+    return F.when(F.col(col).isNull(), F.lit(fmt.R_UNDEFINED)).otherwise(
+        F.format_string(fmt.R_FORMAT, col))
 
 
 def correlation_report(spark: SparkSession, parts: dict[str, DataFrame], path: str) -> list[str]:
     """Q3's text report written by executors (A06, H11): category r with
     direction and strength, the strongest and weakest items, and category
     averages by weekday."""
+    na = F.lit(fmt.R_UNDEFINED)
     cat = parts["category_corr"].select("category", F.format_string(
-        "  %s: %s (%s %s)", "category", _r_text(),
-        F.coalesce("direction", F.lit("n/a")), F.coalesce("strength", F.lit("n/a"))).alias("line"))
+        fmt.CORR_CATEGORY_LINE, "category", _r_text(),
+        F.coalesce("direction", na), F.coalesce("strength", na)).alias("line"))
     ext = parts["extremes"]
-    line = F.format_string("  %s: %s (%s) [%d건]", F.col("item_name").cast("string"), _r_text(),
-                           F.coalesce("direction", F.lit("n/a")), "n").alias("line")
+    line = F.format_string(fmt.CORR_ITEM_LINE, F.col("item_name").cast("string"), _r_text(),
+                           F.coalesce("direction", na), "n").alias("line")
     strong = ext.filter(F.col("list") == "strong").select("pos", line)
     weak = ext.filter(F.col("list") == "weak").select("pos", line)
     avg = parts["category_weekday_avg"].select("category", "day_of_week", F.format_string(
-        "  %s | 요일%d | %.1f골드", "category", "day_of_week", "avg_price").alias("line"))
+        fmt.CATEGORY_AVG_LINE, "category", "day_of_week", "avg_price").alias("line"))
     return write_report([
         ("[1] 카테고리별 요일-가격 상관계수", cat, ["category"]),
         ("  상관관계 강한 상위", strong, ["pos"]),

@@ -10,6 +10,7 @@ that can be tiny negatives get ``+ 0.0``.
 
 from __future__ import annotations
 
+from pricelens.functions import formats as fmt
 from pricelens.plans import driver as d
 from pricelens.plans.jobs import day_label_sql
 
@@ -321,12 +322,13 @@ SELECT count(*) AS total_rows, CAST(count_if(is_anomaly) AS BIGINT) AS anomaly_r
 FROM fl""",
     "corr_report_lines": f"""WITH {EV}, {ITEM_CORR}
 SELECT item_name,
-       printf('  %s: %s (%s) [%d건]', CAST(item_name AS VARCHAR),
-              coalesce(printf('%.4f', r), 'n/a'), coalesce(direction, 'n/a'), n) AS line
+       printf('{fmt.CORR_ITEM_LINE}', CAST(item_name AS VARCHAR),
+              coalesce(printf('{fmt.R_FORMAT}', r), '{fmt.R_UNDEFINED}'),
+              coalesce(direction, '{fmt.R_UNDEFINED}'), n) AS line
 FROM ic""",
     "report_lines": f"""WITH {PP}, {FLAGGED}, {SUMMARY}
 SELECT item_name,
-       printf('%s | 이상치 %d건 | 평균가 %d골드 | 평균할인 %.1f%% | 최저 %d골드',
+       printf('{fmt.ANOMALY_ITEM_LINE}',
               CAST(item_name AS VARCHAR), anomaly_count, CAST(trunc(avg_price) AS BIGINT),
               avg_discount_pct, min_anomaly_price) AS line
 FROM sm""",
