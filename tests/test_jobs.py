@@ -16,6 +16,7 @@ SAMPLE = [
     ("재련재료", "오레하 융화 재료", 14), ("재련재료", "오레하 융화 재료", 38),
     ("재련재료", "오레하 융화 재료", 69),
 ]
+# fixed values: recipe lines (one product, three routes)
 RECIPE = """result_item,material_name,quantity,craft_fee,route,result_quantity
 오레하 융화 재료,고대 유물,64,172,고고학,30
 오레하 융화 재료,오레하 유물,8,172,고고학,30
