@@ -63,16 +63,22 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 def register_tables(spark: SparkSession, locations: dict[str, str],
                     formats: dict[str, str] | None = None,
                     options: dict[str, dict] | None = None,
-                    schemas_by_name: dict[str, T.StructType] | None = None) -> list[str]:
+                    schemas_by_name: dict[str, T.StructType] | None = None,
+                    database: str | None = None) -> list[str]:
     """Name Parquet/CSV locations as tables so SQL can scan them.
 
     ``CREATE TABLE IF NOT EXISTS … USING <fmt> LOCATION …`` in the session
-    catalog (no metastore service needed); an existing table is kept, which
-    mirrors the DDL's ``IF NOT EXISTS``.  Returns the table names.
+    catalog (no metastore service needed), optionally inside ``database``
+    (created if absent); an existing table is kept, which mirrors the DDL's
+    ``IF NOT EXISTS``.  Returns the qualified table names.
     """
     formats = formats or {}
     options = options or {}
     schemas_by_name = schemas_by_name or {}
+    prefix = ""
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        prefix = f"`{database}`."
     made = []
     for name, loc in locations.items():
         fmt = formats.get(name, "parquet")
@@ -87,7 +93,7 @@ def register_tables(spark: SparkSession, locations: dict[str, str],
         opt_sql = ""
         if opts:
             opt_sql = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in opts.items()) + ")"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` {cols} USING {fmt}{opt_sql} "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}`{name}` {cols} USING {fmt}{opt_sql} "
                   f"LOCATION '{loc}'")
-        made.append(name)
+        made.append(f"{database}.{name}" if database else name)
     return made

@@ -140,3 +140,16 @@ def test_load_date_from_collector_arrays(spark, tmp):
     load_date(spark, f"{tmp}/runs", f"{tmp}/log", ["2026-05-20"], multi_line=True)
     got = [(r.item_name, r.price, str(r.date)) for r in spark.read.parquet(f"{tmp}/log").collect()]
     assert got == [("b", 11, "2026-05-20")]
+
+
+def test_register_tables_database_and_csv(spark, tmp):
+    p = f"{tmp}/recipe"
+    os.makedirs(p)
+    with open(f"{p}/r.csv", "w", encoding="utf-8") as f:
+        f.write("result_item,material_name,quantity,craft_fee,route,result_quantity\n"
+                "R,m1,64,172,a,30\nR,m2,8,172,a,30\n")
+    names = register_tables(spark, {"recipe_t": p}, formats={"recipe_t": "csv"},
+                            schemas_by_name={"recipe_t": schemas.RECIPE}, database="pl_test_db")
+    assert names == ["pl_test_db.recipe_t"]
+    r = spark.sql("SELECT sum(quantity) AS q, max(result_quantity) AS o FROM pl_test_db.recipe_t").collect()[0]
+    assert (r.q, r.o) == (72, 30)
