@@ -106,3 +106,13 @@ def test_prepare_options(spark, landed):
     assert par["낚시"].route_material_cost == pytest.approx(411.2)
     assert col["낚시"].route_material_cost == pytest.approx(206.4)
     assert par["낚시"].joined_lines == 3 and col["낚시"].joined_lines == 2
+
+
+def test_cli_all_steps(spark, landed):
+    from pricelens.plans.cli import run
+    done = run(spark, "all", f"{landed}/raw/*/*/*.json", f"{landed}/recipe.csv",
+               f"{landed}/cli", f"{landed}/results")
+    assert set(done) == {"prepare", "trend", "profit", "correlation", "anomaly"}
+    assert spark.read.parquet(done["trend"]).count() == 1
+    assert spark.read.parquet(done["profit"]).collect()[0].profitable_pct == 100.0
+    assert spark.read.parquet(f"{landed}/results/q3_category_weekday_avg").count() == 1
