@@ -7,6 +7,7 @@ from collections import defaultdict
 
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
+import pytest
 
 from pricelens.operators import (cheapest_route, cost_lines, market_prices, material_prices,
                                  profit_rows, route_cost)
@@ -80,3 +81,44 @@ def test_craft_chain_matches_brute_force(spark, recipe, listings):
     got_prof = sorted((r.result_item, int((r.collected_at - T0).total_seconds() // 3600),
                        r.market_price, r.route, round(r.profit, 6)) for r in prof.collect())
     assert got_prof == bprof
+
+
+group_rows = st.lists(st.tuples(st.sampled_from(["g1", "g2", "g3", "g4"]), st.integers(1, 7),
+                                st.integers(0, 500)), min_size=1, max_size=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.reuse, Phase.generate], print_blob=True)
+@given(group_rows)
+def test_corr_and_outliers_match_brute_force(spark, rows):
+    import math
+    import statistics
+
+    import numpy as np
+
+    from pricelens.operators import corr_by, low_outliers
+
+    df = spark.createDataFrame(rows, "item_name string, day_of_week int, price long")
+    got = {r.item_name: (r.r, r.n) for r in corr_by(df, "item_name", scale=None).collect()}
+    by = defaultdict(list)
+    for g, d, p in rows:
+        by[g].append((d, p))
+    assert set(got) == set(by)
+    for g, vals in by.items():
+        xs = np.array([v[0] for v in vals], float)
+        ys = np.array([v[1] for v in vals], float)
+        r, n = got[g]
+        assert n == len(vals)
+        if len(vals) < 2 or xs.std() == 0 or ys.std() == 0:
+            assert r is None
+        else:
+            assert r == pytest.approx(float(np.corrcoef(xs, ys)[0, 1]), abs=1e-9)
+    out = sorted((r.item_name, r.price) for r in low_outliers(df).collect())
+    exp = []
+    for g, vals in by.items():
+        ps = [v[1] for v in vals]
+        if len(ps) < 2:
+            continue
+        lb = statistics.mean(ps) - 2 * statistics.stdev(ps)
+        exp += [(g, p) for p in ps if p < lb and not math.isclose(p, lb, abs_tol=1e-9)]
+    assert out == sorted(exp)
