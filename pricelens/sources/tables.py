@@ -30,23 +30,19 @@ def read_log(spark: SparkSession, path: str, categories: list[str] | None = None
     return df
 
 
-def balanced_for_write(df: DataFrame, partition_by: list[str],
-                       num_partitions: int | None = None) -> DataFrame:
-    """Range-partition rows on (partition columns, row hash) before a
-    partitioned write.
+def balanced_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rebalance rows on the partition columns before a partitioned write.
 
     Without it every task writes one file per partition value it meets
-    (tasks × values small files), and with a plain hash repartition on the
-    partition columns a hot value (a third of the rows in one hour) lands
-    in one task.  Range boundaries come from a sample, and the row hash as
-    the last key lets a hot value span several tasks while small values
-    share one, so file count ≈ tasks + values and tasks are even.
+    (tasks × values small files).  A plain hash repartition on the partition
+    columns would put a hot value (a third of the rows in one hour) into
+    one task, and a range repartition needs a sampling pass that computes
+    the whole input once more.  The ``REBALANCE`` hint hash-partitions on
+    the columns and lets AQE split oversized partitions (a hot value spans
+    several tasks and files) and merge small ones, from the measured shuffle
+    sizes, so files stay near ``advisoryPartitionSizeInBytes``.
     """
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    # An explicit count keeps AQE from coalescing the write back into one
-    # task; the session's shuffle partition count is sized for the cluster.
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(c) for c in partition_by], tie)
+    return df.hint("rebalance", *partition_by)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
