@@ -20,6 +20,8 @@ query name to ``(spark, sf_dir) -> DataFrame``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,7 +216,7 @@ def q_weekday_trend(spark, sf_dir):
 
 
 def q_weekday_trend_sql(spark, sf_dir):
-    name = "auction_log_" + scratch_path(spark, "v").rsplit("-", 1)[-1]
+    name = "auction_log_" + uuid.uuid4().hex[:12]
     lineitem_log(spark, sf_dir).createOrReplaceTempView(name)
     return spark.sql(DAILY_TREND_SQL.format(table=name, categories=_sql_list(TREND_TYPES)))
 
@@ -399,7 +401,7 @@ def q_parquet_roundtrip(spark, sf_dir):
 def q_table_scan(spark, sf_dir):
     out = scratch_path(spark, "table")
     write_parquet(events_log(spark, sf_dir), out)
-    name = "events_log_" + out.rsplit("-", 1)[-1]
+    name = "events_log_" + uuid.uuid4().hex[:12]
     register_tables(spark, {name: out})
     return spark.sql(DAILY_TREND_SQL.format(table=name,
                                             categories=_sql_list(EVENT_TREND_TYPES)))
