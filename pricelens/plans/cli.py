@@ -5,6 +5,7 @@
     python -m pricelens.plans.cli profit   --out processed --results results
     python -m pricelens.plans.cli correlation --out processed --results results
     python -m pricelens.plans.cli anomaly  --out processed --results results
+    python -m pricelens.plans.cli refresh  --recipe recipe.csv --out processed --dates 2026-05-20
     python -m pricelens.plans.cli all      --raw … --recipe … --out processed --results results
 
 Each step reads what the previous one wrote, so steps can run as separate
@@ -29,13 +30,19 @@ def _save(df, path: str) -> None:
 
 def run(spark: SparkSession, step: str, raw: str | None, recipe: str | None, out: str,
         results: str | None, collapse: str | None = None,
-        require_complete: bool = False) -> dict:
+        require_complete: bool = False, dates: list[str] | None = None) -> dict:
     done: dict = {}
     log, profit = f"{out}/auction_log", f"{out}/craft_profit"
     if step in ("prepare", "all"):
         if not raw or not recipe:
             raise SystemExit("prepare needs --raw and --recipe")
         done["prepare"] = jobs.prepare(spark, raw, recipe, out, collapse, require_complete)
+    if step == "refresh":
+        if not recipe or not dates:
+            raise SystemExit("refresh needs --recipe and --dates")
+        jobs.prepare_dates(spark, log, recipe, profit, dates, collapse, require_complete)
+        done["refresh"] = dates
+        return done
     res = results or f"{out}/results"
     if step in ("trend", "all"):
         _save(jobs.daily_trend(spark, log), f"{res}/q1_daily_trend")
@@ -58,7 +65,9 @@ def run(spark: SparkSession, step: str, raw: str | None, recipe: str | None, out
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="pricelens")
-    ap.add_argument("step", choices=["prepare", "trend", "profit", "correlation", "anomaly", "all"])
+    ap.add_argument("step", choices=["prepare", "refresh", "trend", "profit", "correlation",
+                                     "anomaly", "all"])
+    ap.add_argument("--dates", nargs="*", help="refresh: collection dates (YYYY-MM-DD)")
     ap.add_argument("--raw")
     ap.add_argument("--recipe")
     ap.add_argument("--out", required=True)
@@ -68,7 +77,8 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     spark = build_session(app=f"pricelens-{a.step}")
     try:
-        print(run(spark, a.step, a.raw, a.recipe, a.out, a.results, a.collapse, a.require_complete))
+        print(run(spark, a.step, a.raw, a.recipe, a.out, a.results, a.collapse,
+                  a.require_complete, a.dates))
     finally:
         spark.stop()
 

@@ -81,6 +81,32 @@ def prepare(spark: SparkSession, raw_path: str, recipe_path: str, out: str,
             "craft_profit_rows": spark.read.parquet(profit_path).count()}
 
 
+def prepare_dates(spark: SparkSession, log_path: str, recipe_path: str, profit_out: str,
+                  dates: list[str], collapse: str | None = None,
+                  require_complete: bool = False) -> None:
+    """Incremental craft profit: recompute only the given collection dates.
+
+    A snapshot's route costs and profit rows depend only on that snapshot's
+    listings, so reading the log's ``date`` partitions for ``dates`` (pruned
+    at the file listing) and overwriting exactly those partitions of
+    ``profit_out`` (dynamic partition overwrite) gives the same rows as a
+    full recomputation, at the cost of the new data only.  Pair it with the
+    streaming ingest, which appends new dates to the log.
+    """
+    log = spark.read.parquet(log_path).filter(F.col("date").isin(list(dates)))
+    recipe = read_recipe(spark, recipe_path)
+    lines = cost_lines(recipe, material_prices(log, MATERIAL_CATEGORIES), collapse=collapse)
+    best = cheapest_route(route_cost(lines, recipe, require_complete=require_complete))
+    profit = profit_rows(market_prices(log, PRODUCT_CATEGORY, PRODUCTS), best) \
+        .withColumn("date", F.date_format("collected_at", "yyyy-MM-dd"))
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_parquet(profit, profit_out, partition_by=["date"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def daily_trend(spark: SparkSession, log_path: str,
                 categories: list[str] = TREND_CATEGORIES) -> DataFrame:
     """Q1 through ``spark.sql`` over the log registered as a view."""

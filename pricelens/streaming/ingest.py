@@ -20,11 +20,13 @@ from pricelens.operators.clean import clean
 
 def stream_clean(spark: SparkSession, raw_root: str, out: str, checkpoint: str,
                  multi_line: bool = True, available_now: bool = True,
-                 max_files_per_trigger: int | None = None, glob: str | None = None,
+                 max_files_per_trigger: int | None = 10_000, glob: str | None = None,
                  wait: bool = True) -> StreamingQuery:
     """Start (and by default finish) the incremental clean of ``raw_root``.
 
-    ``raw_root`` holds landed JSON (``multi_line`` for one-array-per-file
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow``
+    still drains the whole backlog, in bounded batches).  ``raw_root`` holds
+    landed JSON (``multi_line`` for one-array-per-file
     runs, False for JSON lines; files starting with ``_`` or ``.`` are
     skipped, ``glob`` narrows further); ``checkpoint`` must be on shared
     storage.

@@ -116,3 +116,22 @@ def test_cli_all_steps(spark, landed):
     assert spark.read.parquet(done["trend"]).count() == 1
     assert spark.read.parquet(done["profit"]).collect()[0].profitable_pct == 100.0
     assert spark.read.parquet(f"{landed}/results/q3_category_weekday_avg").count() == 1
+
+
+def test_prepare_dates_matches_full_recompute(spark, landed, tmp):
+    # a second day of listings, landed next to the first
+    d = f"{landed}/raw/2026-05-20/09"
+    os.makedirs(d)
+    rows = [{"collected_at": "2026-05-20T09:00:00", "category": c, "item_name": n, "grade": "",
+             "price": p + 7, "quantity": 0, "end_date": ""} for c, n, p in SAMPLE]
+    with open(f"{d}/auction_20260520_090000.json", "w", encoding="utf-8") as f:
+        json.dump(rows, f, ensure_ascii=False)
+    full = jobs.prepare(spark, f"{landed}/raw/*/*/*.json", f"{landed}/recipe.csv", f"{tmp}/full")
+    inc = f"{tmp}/inc"
+    jobs.prepare_dates(spark, full["auction_log"], f"{landed}/recipe.csv", inc, ["2026-05-19"])
+    jobs.prepare_dates(spark, full["auction_log"], f"{landed}/recipe.csv", inc, ["2026-05-20"])
+    jobs.prepare_dates(spark, full["auction_log"], f"{landed}/recipe.csv", inc, ["2026-05-20"])
+    cols = ["result_item", "collected_at", "market_price", "craft_cost", "route", "profit"]
+    a = sorted(tuple(r) for r in spark.read.parquet(full["craft_profit"]).select(*cols).collect())
+    b = sorted(tuple(r) for r in spark.read.parquet(inc).select(*cols).collect())
+    assert a == b and len(a) == 6
