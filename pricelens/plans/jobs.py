@@ -75,7 +75,10 @@ def prepare(spark: SparkSession, raw_path: str, recipe_path: str, out: str,
     lines = cost_lines(recipe, mats, collapse=collapse)
     best = cheapest_route(route_cost(lines, recipe, require_complete=require_complete))
     market = market_prices(saved, PRODUCT_CATEGORY, PRODUCTS)
-    write_parquet(profit_rows(market, best), profit_path)
+    # partitioned by collection date, like the log, so prepare_dates can
+    # later overwrite single dates in place
+    profit = profit_rows(market, best).withColumn("date", F.date_format("collected_at", "yyyy-MM-dd"))
+    write_parquet(profit, profit_path, partition_by=["date"])
     return {"auction_log": log_path, "craft_profit": profit_path,
             "auction_log_rows": saved.count(),
             "craft_profit_rows": spark.read.parquet(profit_path).count()}

@@ -135,3 +135,13 @@ def test_prepare_dates_matches_full_recompute(spark, landed, tmp):
     a = sorted(tuple(r) for r in spark.read.parquet(full["craft_profit"]).select(*cols).collect())
     b = sorted(tuple(r) for r in spark.read.parquet(inc).select(*cols).collect())
     assert a == b and len(a) == 6
+
+
+def test_refresh_in_place_after_prepare(spark, landed):
+    from pricelens.plans.cli import run
+    out = f"{landed}/inplace"
+    run(spark, "prepare", f"{landed}/raw/*/*/*.json", f"{landed}/recipe.csv", out, None)
+    before = sorted(tuple(r) for r in spark.read.parquet(f"{out}/craft_profit").collect())
+    run(spark, "refresh", None, f"{landed}/recipe.csv", out, None, dates=["2026-05-19"])
+    after = sorted(tuple(r) for r in spark.read.parquet(f"{out}/craft_profit").collect())
+    assert before == after and len(after) == 3
