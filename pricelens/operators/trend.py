@@ -86,10 +86,13 @@ def reset_effect(log: DataFrame, reset_dow: int = 4,
 
 def weekday_matrix(log: DataFrame, row_col: str = "item_name", value_col: str = "price",
                    categories: list[str] | None = None, scale: int = 0) -> DataFrame:
-    """Row × weekday matrix of round(avg, scale) (K01, chart feed).
+    """Row × weekday matrix of round(avg, scale) (K01, chart feed); columns
+    d1…d7.
 
-    ``pivot`` with the seven values listed, so Spark needs no extra job to
-    find them; columns are named d1…d7."""
-    p = (in_categories(log, categories).groupBy(row_col)
-         .pivot("day_of_week", WEEKDAYS).agg(F.round(F.avg(value_col), scale)))
-    return p.select(row_col, *[F.col(str(i)).alias(f"d{i}") for i in WEEKDAYS])
+    Seven conditional averages in one aggregate: the same table as
+    ``pivot("day_of_week", [1..7])`` but planned as a single partial/final
+    aggregate (one shuffle) instead of pivot's two-level aggregate."""
+    d = F.col("day_of_week")
+    cells = [F.round(F.avg(F.when(d == i, F.col(value_col))), scale).alias(f"d{i}")
+             for i in WEEKDAYS]
+    return in_categories(log, categories).groupBy(row_col).agg(*cells)
