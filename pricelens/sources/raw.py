@@ -133,18 +133,21 @@ def read_landing(spark: SparkSession, root: str,
 
 
 def load_date(spark: SparkSession, landing_root: str, out: str,
-              dates: list[str] | None = None, clean_fn=None,
+              dates: list[str] | str | None = None, clean_fn=None,
               multi_line: bool = False) -> None:
     """Idempotent, date-scoped load of landing rows into a log.
 
     Reads only the requested ``date`` partitions (all when ``dates`` is
-    None), cleans them, and overwrites exactly those date partitions of
-    ``out`` (dynamic partition overwrite), so re-running a date replaces its
-    rows instead of appending duplicates.  A requested date with no landing
+    None, the current date for ``"today"``), cleans them, and overwrites
+    exactly those date partitions of ``out`` (dynamic partition overwrite),
+    so re-running a date replaces its rows instead of appending duplicates.  A requested date with no landing
     folder raises, like the shell loader's "directory missing" error.
     """
     from pricelens.operators.clean import clean
     clean_fn = clean_fn or clean
+    if dates == "today":      # the shell loader's default: the run date
+        import datetime as _dt
+        dates = [_dt.date.today().isoformat()]
     raw = read_landing(spark, landing_root, multi_line=multi_line)
     if dates is not None:
         raw = raw.filter(F.col("date").isin(list(dates)))

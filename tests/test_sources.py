@@ -153,3 +153,10 @@ def test_register_tables_database_and_csv(spark, tmp):
     assert names == ["pl_test_db.recipe_t"]
     r = spark.sql("SELECT sum(quantity) AS q, max(result_quantity) AS o FROM pl_test_db.recipe_t").collect()[0]
     assert (r.q, r.o) == (72, 30)
+
+
+def test_load_date_today_missing_raises(spark, tmp):
+    rows = [("2020-01-01T10:00:00", "c", "a", "g", "10", 0, "")]
+    write_landing(spark.createDataFrame(rows, schemas.RAW_AUCTION), f"{tmp}/land")
+    with pytest.raises(FileNotFoundError):
+        load_date(spark, f"{tmp}/land", f"{tmp}/log", "today")
