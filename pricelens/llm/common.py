@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,6 +25,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Lets Spark delete the shuffle files of jobs that are over.
+
+    It does so once the driver has collected what refers to them, which on a
+    driver with memory to spare may be long after a chain of large jobs.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def documents(df: DataFrame, *more: str) -> DataFrame:
     """(doc_id long, text string, *more) of the rows that have a doc_id.
 

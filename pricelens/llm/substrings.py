@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, copies, documents, packed, record, written
+from pricelens.llm.common import arrow_map, arrow_types, copies, documents, packed, record, release, written
 from pricelens.llm.text import Chunk, Words, chunks, signed, unpack, window_hashes
 
 WINDOW = 50
@@ -52,6 +52,8 @@ def remove_passages(docs: DataFrame) -> DataFrame:
     starts = windows(own.select("doc_id", "z", "places"))
     least = starts.groupBy("w1", "w2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")) \
         .filter("least < most").select("w1", "w2", "least")
+    least = written(least, "first-windows")      # so that both sides of the join are shuffled, and a hot window is split
+    release(docs)
     covered = starts.join(least, ["w1", "w2"]).filter("doc_id > least") \
         .groupBy("doc_id").agg(F.collect_set("start").alias("covered"))
     covered = written(covered, "covered-windows")

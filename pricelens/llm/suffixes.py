@@ -4,20 +4,21 @@ Method: distributed prefix doubling, on a sparse set of positions.  In each
 round Spark sorts positions by the pair (name of the next h bytes, name of the
 h bytes after them); equal pairs share a rank, a unique position is done
 with, and the next round looks at longer prefixes of what is left, until the
-threshold of 100 bytes.  Names are 64-bit hashes of the bytes.
+threshold of 100 bytes.  Names are hashes of the bytes.
 
 Doubling from single bytes would sort every byte of the corpus several times.
-Instead the first round ranks the 32-byte prefixes (pairs of 16-byte names) of
-anchors only: the start of the least-hashed 32 bytes inside some 100-byte window
-(on a tie the leftmost).  What a window's anchor is depends on its bytes alone,
-so equal windows have equal anchors at equal places, and a window whose anchor's
-prefix is unique is unique.  The windows of one anchor form a run of starts.  The
-second round ranks what is left by the whole stretch the run's windows cover;
-every stretch but the first of its kind starts earlier elsewhere and
-is settled as one row.  The last round expands only the windows of first
-stretches whose anchor prefix has other stretches (the edges of repeats)
-and ranks them by the pair of their 50-byte names.  The result is that of
-ranking every position.
+Instead windows are ranked by runs.  A window's anchor is the start of its
+least-hashed 32 bytes (on a tie the leftmost); it depends on the window's bytes
+alone, so equal windows have equal anchors at equal places.  The windows of
+one anchor form a run of up to 69 starts.  All windows of a run share their middle,
+its core; a run covers a whole, from its first byte to its last.  In each
+round Spark ranks runs by the name of the core: a run whose core is unique has
+unique windows and leaves.  Among equal cores it ranks by the name of the
+whole: every run but the first of its kind starts earlier elsewhere
+and is settled as one row.  First runs whose core has other wholes (the edges of
+repeats) are parted by distance from the anchor and go on: runs of ``WIDTHS``
+windows have cores of 32, 89 and at last 100 bytes, the threshold.  The result is that
+of ranking every position.
 
 Documents with equal texts are one: later copies are covered wholly.  Ranks are
 aggregates with partial results before the shuffle and are joined back, so one
@@ -31,18 +32,22 @@ packed text stands); an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, copies, documents, packed, record, written
+from pricelens.llm.common import arrow_map, arrow_types, copies, documents, packed, record, release, written
 from pricelens.llm.substrings import lists, unpacked
-from pricelens.llm.text import Chunk, byte_table, chunks, prefix, signed, span_hash
+from pricelens.llm.text import Chunk, byte_table, chunks, mix, prefix, signed, span_hash
 
 WINDOW = 100
-GRAM = 32
+WIDTHS = (69, 12, 1)
+GRAM = WINDOW - WIDTHS[0] + 1
 PLACE_BITS = 28
+RUNS = "core long, whole long, doc_id long, start int, stop int, anchor int"
 
 
 def runs(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,90 +85,105 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``spans`` are the maximal removed runs as start, end, start, end ... in bytes.
     """
     docs = documents(docs)
-    # Round 1: 32-byte prefixes of anchors.
-    found = anchors(docs)
-    twice = found.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2")
-    left = written(found.join(twice, ["h1", "h2"]).groupBy("doc_id").agg(F.collect_set("start").alias("starts")), "anchors")
+    found = cores(docs)
+    twice = found.groupBy("core").count().filter("count > 1").select("core")
+    left = found.join(twice, "core").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+    left = written(left, "anchors")
     later = written(copies(docs), "copies")
     texts = packed(docs)
-    own = texts.join(left, "doc_id").join(later, "doc_id", "left_anti").select("doc_id", "z", "starts")
-
-    # Round 2: the stretches that the windows of an anchor cover.
-    whole = written(stretches(own), "stretches")
-    firsts = whole.groupBy("h1", "b1", "b2").agg(F.min(F.struct("doc_id", "start", "stop")).alias("least"), F.count("*").alias("n"))
-    firsts = written(firsts, "first-stretches")
-    again = firsts.filter("n > 1").select("h1", "b1", "b2", F.col("least.doc_id").alias("fd"), F.col("least.start").alias("fs"))
-    settled = whole.join(again, ["h1", "b1", "b2"]).filter("doc_id != fd or start != fs") \
-        .select("doc_id", "start", (F.col("stop") + WINDOW).alias("end"))
-
-    # Round 3: single windows where an anchor's prefix has several stretches.
-    mixed = firsts.groupBy("h1").count().filter("count > 1").select("h1")
-    edges = firsts.join(mixed, "h1").select("least.*").groupBy("doc_id") \
-        .agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-    edges = written(edges, "edges")
-    single = windows(texts.join(edges, "doc_id").select("doc_id", "z", "starts", "stops"))
-    least = single.groupBy("n1", "n2").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count("*").alias("n")) \
-        .filter("n > 1").select("n1", "n2", F.col("least.doc_id").alias("fd"), F.col("least.start").alias("fs"))
-    last = single.join(least, ["n1", "n2"]).filter("doc_id != fd or start != fs") \
-        .select("doc_id", "start", (F.col("start") + WINDOW).alias("end"))
-
-    covered = settled.unionByName(last).groupBy("doc_id").agg(
+    release(docs)
+    rows = written(whole_runs(texts.join(left, "doc_id").join(later, "doc_id", "left_anti")), "runs")
+    settled = []
+    for width in WIDTHS[1:]:
+        done, edges = rerank(rows)
+        settled.append(done)
+        release(docs)
+        rows = written(parted_runs(texts.join(edges, "doc_id"), width), "runs")
+    settled.append(rerank(rows, last=True)[0])
+    covered = reduce(DataFrame.unionByName, settled).groupBy("doc_id").agg(
         F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     covered = written(covered, "covered-bytes")
+    release(docs)
     out = texts.join(covered, "doc_id", "left").join(later.withColumn("copy", F.lit(True)), "doc_id", "left")
     return _rewrite(out.select("doc_id", "z", "starts", "ends", F.coalesce("copy", F.lit(False)).alias("copy")))
 
 
-def anchors(docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, start): the pair of 16-byte names at each anchor, and its run's first start."""
-    half = GRAM // 2
+def rerank(rows: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """One round over runs: (doc_id, start, end) of the bytes settled as starting
+    earlier, and per document the first runs that are not."""
+    place = F.struct("doc_id", "start", "stop", "anchor")
+    firsts = rows.groupBy("core", "whole").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = written(firsts if not last else firsts.filter("n > 1"), "first-runs")
+    again = firsts.filter("n > 1").select("core", "whole", F.col("first.doc_id").alias("fd"), F.col("first.start").alias("fs"))
+    done = rows.join(again, ["core", "whole"]).filter("doc_id != fd or start != fs") \
+        .select("doc_id", "start", (F.col("stop") + WINDOW).alias("end"))
+    done = written(done, "settled")
+    if last:
+        return done, None
+    mixed = firsts.groupBy("core").count().filter("count > 1").select("core")
+    edges = firsts.join(mixed, "core").select("first.*").groupBy("doc_id").agg(
+        *[F.collect_list(c).alias(c + "s") for c in ("start", "stop", "anchor")])
+    return done, written(edges, "edges")
+
+
+def name(sums: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """The name of some bytes: that of the pair of names of their halves."""
+    half = start + (end - start) // 2
+    return mix(span_hash(sums, start, half, seed) * np.uint64(0x9E3779B97F4A7C15) + span_hash(sums, half, end, seed))
 
+
+def cores(docs: DataFrame) -> DataFrame:
+    """(core, doc_id, start) of every run: the name of its anchor's 32 bytes, its first start."""
     def rows(batch):
         ids = batch.column(0).to_numpy()
         for c in chunks(batch.column(1)):
             doc, start, _, anchor, sums = runs(c)
-            # the second name is kept short: a false match only costs a look in round 2
-            second = span_hash(sums, anchor + half, anchor + GRAM, 3) >> np.uint64(48)
-            yield {"h1": signed(span_hash(sums, anchor, anchor + half, 3)), "h2": second.astype(np.int32),
-                   "doc_id": ids[c.lo + doc], "start": start - c.offsets[doc]}
-    return arrow_map(docs, rows, "h1 long, h2 int, doc_id long, start int")
+            yield {"core": signed(name(sums, anchor, anchor + GRAM, 3)), "doc_id": ids[c.lo + doc],
+                   "start": start - c.offsets[doc]}
+    return arrow_map(docs, rows, "core long, doc_id long, start int")
 
 
-def stretches(docs: DataFrame) -> DataFrame:
-    """(h1, b1, b2, doc_id, start, stop): anchor name and 128-bit name of the bytes
-    start .. stop + 100 of every run that begins at one of a document's ``starts``."""
+def whole_runs(docs: DataFrame) -> DataFrame:
+    """The runs of the first width that begin at one of a document's ``starts``."""
     def rows(batch):
         ids = batch.column("doc_id").to_numpy()
         for lo, hi, c in unpacked(batch):
             doc, start, stop, anchor, sums = runs(c)
             want, at = lists(batch.column("starts"), lo, hi)
             keep = np.isin(start, c.offsets[want] + at)
-            doc, start, stop, anchor = doc[keep], start[keep], stop[keep], anchor[keep]
-            other = prefix(byte_table(4)[c.data], 4)
-            yield {"h1": signed(span_hash(sums, anchor, anchor + GRAM, 3)),
-                   "b1": signed(span_hash(sums, start, stop + WINDOW, 3)),
-                   "b2": signed(span_hash(other, start, stop + WINDOW, 4)), "doc_id": ids[lo + doc],
-                   "start": start - c.offsets[doc], "stop": stop - c.offsets[doc]}
-    return arrow_map(docs, rows, "h1 long, b1 long, b2 long, doc_id long, start int, stop int")
+            yield _named(c, sums, ids[lo:hi], doc[keep], start[keep], stop[keep], anchor[keep], anchor[keep],
+                         anchor[keep] + GRAM)
+    return arrow_map(docs.select("doc_id", "z", "starts"), rows, RUNS)
 
 
-def windows(docs: DataFrame) -> DataFrame:
-    """(n1, n2, doc_id, start): the pair of 50-byte names of the windows that begin at
-    a document's ``starts`` .. ``stops``."""
-    half = WINDOW // 2
+def parted_runs(docs: DataFrame, width: int) -> DataFrame:
+    """A document's runs ``starts`` .. ``stops`` parted to at most ``width`` windows each.
 
+    The parts are cut at multiples of the width from the anchor, and a part's core is
+    what all windows at those distances share, whether the run has them all or not.
+    """
     def rows(batch):
         ids = batch.column("doc_id").to_numpy()
         for lo, hi, c in unpacked(batch):
-            doc, a = lists(batch.column("starts"), lo, hi)
-            b = lists(batch.column("stops"), lo, hi)[1]
-            sizes = b - a + 1
-            doc = np.repeat(doc, sizes)
-            at = c.offsets[doc] + np.repeat(a, sizes) + np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            sums, other = prefix(byte_table(3)[c.data], 3), prefix(byte_table(4)[c.data], 4)
-            yield {"n1": signed(span_hash(sums, at, at + half, 3)), "n2": signed(span_hash(other, at + half, at + WINDOW, 4)),
-                   "doc_id": ids[lo + doc], "start": at - c.offsets[doc]}
-    return arrow_map(docs, rows, "n1 long, n2 long, doc_id long, start int")
+            doc, start = lists(batch.column("starts"), lo, hi)
+            stop, anchor = (lists(batch.column(x), lo, hi)[1] for x in ("stops", "anchors"))
+            start, stop, anchor = (x + c.offsets[doc] for x in (start, stop, anchor))
+            least = (anchor - stop) // width
+            parts = (anchor - start) // width - least + 1
+            run = np.repeat(np.arange(len(doc)), parts)
+            part = least[run] + np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+            near = anchor[run] - part * width           # the part's last start, were the run wide enough
+            far = near - width + 1
+            yield _named(c, prefix(byte_table(3)[c.data], 3), ids[lo:hi], doc[run], np.maximum(start[run], far),
+                         np.minimum(stop[run], near), anchor[run], near, far + WINDOW)
+    return arrow_map(docs.select("doc_id", "z", "starts", "stops", "anchors"), rows, RUNS)
+
+
+def _named(c: Chunk, sums: np.ndarray, ids: np.ndarray, doc, start, stop, anchor, core_start, core_end) -> dict:
+    other = prefix(byte_table(4)[c.data], 4)
+    at = c.offsets[doc]
+    return {"core": signed(name(sums, core_start, core_end, 3)), "whole": signed(name(other, start, stop + WINDOW, 4)),
+            "doc_id": ids[doc], "start": start - at, "stop": stop - at, "anchor": anchor - at}
 
 
 def _rewrite(docs: DataFrame) -> DataFrame:
