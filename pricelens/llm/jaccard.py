@@ -16,16 +16,17 @@ many suffice; one with too few even for that also signs every shingle.  Two
 sets that both need the extra signatures both have them.
 
 Nothing is capped.  Candidates are then cut by exact bounds only (sizes, and the
-parity of hashed shingles: differing bits never exceed differing shingles)
+parity bits of hashed shingles, as many as the set is large: differing bits
+never exceed differing shingles)
 and verified on whole texts.
 
 No group is expanded into pairs first: in a group with one signature everyone
 is held against its least member.  Verified links give components, and only
 where a group still holds several components are the others compared, across
-components only; groups over ``GROUP`` documents are first parted by the
-signatures of a second, independent universe partition, which any pair must
-share as well.  Documents with equal sets are one class throughout.  The sorted
-signatures stream through their tasks; no group is gathered.
+components only, by bounds alone and in tiles of at most 2 * ``TILE`` documents, so
+a passage that very many documents share is many tasks' work and makes no rows
+for pairs that the bounds rule out.  Documents with equal sets are one class
+throughout.  The sorted signatures stream through their tasks; no group is gathered.
 
 Defined results: null and empty texts, and texts of white space, have no shingles and link
 with nothing, not even with each other; a text of fewer than five words is
@@ -39,18 +40,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, components, documents, packed, record, written
+from pricelens.llm.common import arrow_map, arrow_types, components, documents, packed, record, release, written
 from pricelens.llm.text import Words, chunks, lower_ascii, mix, shingles, signed, unpack
 
 SHINGLE = 5
 PERCENT = 80
-GROUP = 256
-BITMAP = 512
-WORDS = [f"b{i}" for i in range(BITMAP // 64)]
-META = "doc_id long, n long, f1 long, f2 long, " + ", ".join(f"{w} long" for w in WORDS)
+TILE = 1024
+FIRST = 8
+META = "doc_id long, n long, f1 long, f2 long, bits binary"
 
 
 def chunk_shingles(c, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,6 +65,28 @@ def most_different(r, s, percent: int = PERCENT):
     return (r + s) * (100 - percent) // (100 + percent)
 
 
+def bitmap_width(n: np.ndarray) -> np.ndarray:
+    """Parity bits of sets of sizes n: a power of two, at least 64 and over n."""
+    return 64 << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) + 1)).astype(np.int64) - 6)
+
+
+def differing(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """How many bits differ in pairs of parity bitmaps; the wider is folded to the other's width."""
+    out = np.zeros(len(a), np.int64)
+    la, lb = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+    for x, y in {*zip(la.tolist(), lb.tolist())}:
+        at = np.flatnonzero((la == x) & (lb == y))
+        m = [np.frombuffer(b"".join([side[i] for i in at.tolist()]), np.uint64).reshape(len(at), -1) for side in (a, b)]
+        out[at] = np.bitwise_count(fold(m[0], min(x, y) // 8) ^ fold(m[1], min(x, y) // 8)).sum(1, dtype=np.int64)
+    return out
+
+
+def fold(m: np.ndarray, words: int) -> np.ndarray:
+    while m.shape[1] > words:
+        m = m[:, :m.shape[1] // 2] ^ m[:, m.shape[1] // 2:]
+    return m
+
+
 # ---- sets ----------------------------------------------------------------------
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -78,9 +100,12 @@ def describe(docs: DataFrame) -> DataFrame:
                 np.cumsum(mix(h ^ np.uint64(seed)), out=run[1:])
                 ends = np.cumsum(n)
                 out[name] = signed(mix(run[ends] - run[ends - n]))
-            bits = np.bincount(doc * BITMAP + (h % np.uint64(BITMAP)).astype(np.int64), minlength=len(c) * BITMAP) & 1
-            packed_bits = np.packbits(bits.astype(bool)).view(np.int64).reshape(len(c), -1)
-            yield out | {w: packed_bits[:, i] for i, w in enumerate(WORDS)}
+            width = bitmap_width(n)
+            base = np.concatenate([[0], np.cumsum(width)])
+            at = base[doc] + (h & (width[doc] - 1).astype(np.uint64)).astype(np.int64)
+            raw = np.packbits((np.bincount(at, minlength=base[-1]) & 1).astype(bool)).tobytes()
+            cuts = (base // 8).tolist()
+            yield out | {"bits": [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:])]}
     return arrow_map(docs, rows, META)
 
 
@@ -93,24 +118,20 @@ def segments_of_bands() -> np.ndarray:
     return np.array([max(1, -(-68 * 2 ** t // 100) + 4) for t in range(40)], np.int64)
 
 
-def sign(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def sign(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, signature) of a chunk's sets."""
-    if seed:
-        h = mix(h ^ np.uint64(seed * 0x51ED2701))
-        order = np.lexsort((h, doc))
-        doc, h = doc[order], h[order]
     band = np.zeros(len(n), np.int64)
     band[n > 0] = np.floor(np.log2(n[n > 0])).astype(np.int64)
     largest = n * 100 // percent
-    out = [_sign_in_band(doc, h, n, band, most_different(n, largest, percent), n > 0, seed)]
+    out = [_sign_in_band(doc, h, n, band, most_different(n, largest, percent), n > 0)]
     # A partner in the band below: as the larger set of the pair.
     edge = 1 << band
     below = (n > 0) & (-(-n * percent // 100) < edge) & (band > 0)
-    out.append(_sign_in_band(doc, h, n, band - 1, most_different(n, edge - 1, percent), below, seed))
+    out.append(_sign_in_band(doc, h, n, band - 1, most_different(n, edge - 1, percent), below))
     return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
 
-def _sign_in_band(doc, h, n, band, differ, which, seed) -> tuple[np.ndarray, np.ndarray]:
+def _sign_in_band(doc, h, n, band, differ, which) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the documents ``which`` in a band each.
 
     Sets that can differ in nothing are equal; their class is known already.
@@ -131,7 +152,7 @@ def _sign_in_band(doc, h, n, band, differ, which, seed) -> tuple[np.ndarray, np.
     first = np.searchsorted(rdoc, np.arange(len(n) + 1))
     filled = np.diff(first)
     place = np.arange(len(start)) - first[rdoc]
-    salt = mix((rseg.astype(np.uint64) << np.uint64(8)) + (band[rdoc] + 64 * seed).astype(np.uint64) + np.uint64(1))
+    salt = mix((rseg.astype(np.uint64) << np.uint64(8)) + band[rdoc].astype(np.uint64) + np.uint64(1))
     plain = place <= differ[rdoc]
     docs, sigs = [rdoc[plain]], [mix(total[plain] + salt[plain])]
     short = filled <= differ                  # cannot sign one more segment than they can differ in
@@ -152,15 +173,12 @@ def _sign_in_band(doc, h, n, band, differ, which, seed) -> tuple[np.ndarray, np.
     return np.concatenate(docs), np.concatenate(sigs)
 
 
-def signatures(docs: DataFrame, percent: int = PERCENT, seed: int = 0, z: bool = False) -> DataFrame:
-    """(sig, doc_id) of every document of (doc_id, text), or of (doc_id, packed text)."""
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(sig, doc_id) of every document."""
     def rows(batch):
-        texts = batch.column(1)
-        if z:
-            texts = pa.array([unpack(x) for x in texts.to_pylist()], pa.large_binary())
         ids = batch.column(0).to_numpy()
-        for c in chunks(texts):
-            doc, sig = sign(*chunk_shingles(c), percent, seed)
+        for c in chunks(batch.column(1)):
+            doc, sig = sign(*chunk_shingles(c), percent)
             yield {"sig": signed(sig), "doc_id": ids[c.lo + doc]}
     return arrow_map(docs, rows, "sig long, doc_id long")
 
@@ -198,11 +216,17 @@ def shared(sigs: DataFrame) -> DataFrame:
 
 def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and parity bitmaps do not rule out."""
+    types = arrow_types("a long, b long")
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select([F.col("doc_id").alias(side)] + [F.col(c).alias(f"{side}_{c}") for c in ["n", *WORDS]]), side)
-    differ = " + ".join(f"bit_count(a_{w} ^ b_{w})" for w in WORDS)
-    return pairs.filter(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n) and "
-                        f"{differ} <= (a_n + b_n) * {100 - percent} div {100 + percent}").select("a", "b")
+        pairs = pairs.join(sets.select(F.col("doc_id").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits")), side)
+    pairs = pairs.filter(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
+
+    def run(batches):
+        for batch in batches:
+            differ = differing(batch.column("a_bits").to_pylist(), batch.column("b_bits").to_pylist())
+            fit = pa.array(differ <= most_different(batch.column("a_n").to_numpy(), batch.column("b_n").to_numpy(), percent))
+            yield record({"a": batch.column("a").filter(fit), "b": batch.column("b").filter(fit)}, types)
+    return pairs.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -247,81 +271,146 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
 
 
-def across(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of a key's documents in different components that bounds do not rule out.
+def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, size, doc_id, component, n, bits): the groups that hold several components.
+
+    The bitmaps are folded to half their width for the way; that is still a bound.
+    """
+    own = reps.select("doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
+        .select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+    member = groups.select("sig", "doc_id").join(own, "doc_id")
+    group = Window.partitionBy("sig")
+    member = member.select("doc_id", "component", F.col("sig").alias("key"), F.count("*").over(group).alias("size"),
+                           F.min("component").over(group).alias("least"), F.max("component").over(group).alias("most"))
+    half = F.arrow_udf(lambda bits: pa.array([_half(x) for x in bits.to_pylist()], pa.binary()), "binary")
+    return member.filter("least < most").drop("least", "most") \
+        .join(reps.select("doc_id", "n", half("bits").alias("bits")), "doc_id")
+
+
+def _half(bits: bytes) -> bytes:
+    return fold(np.frombuffer(bits, np.uint64)[None, :], max(1, len(bits) // 16)).tobytes()
 
-    ``rows`` are (key, doc_id, component, n, bitmap words).  A key's rows stream in
-    order; each batch of them is held against those before it.
+
+def across(rows: DataFrame, missed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a key's documents in different components that bounds do not rule out
+    and that are not among the pairs ``missed`` (verified before, and under the similarity).
+
+    ``rows`` come from :func:`open_groups`; a key of more than ``TILE`` rows is parted
+    into blocks, and each two blocks are a tile.
     """
-    names = ["n", *WORDS]
-
-    def pairs(old: dict, new: dict):
-        for lo in range(0, len(new["doc_id"]), 64):
-            part = {k: v[lo:lo + 64] for k, v in new.items()}
-            full = {k: np.concatenate([old[k], new[k][:lo + 64]]) for k in new} if old else {k: v[:lo + 64] for k, v in new.items()}
-            a, b = part, full
-            n = a["n"][:, None] + b["n"][None, :]
-            ok = (a["component"][:, None] != b["component"][None, :]) & \
-                (100 * np.minimum(a["n"][:, None], b["n"][None, :]) >= percent * np.maximum(a["n"][:, None], b["n"][None, :]))
-            i, j = np.nonzero(ok)
-            differ = sum(np.bitwise_count(a[w][i].view(np.uint64) ^ b[w][j].view(np.uint64)).astype(np.int64) for w in WORDS)
-            fit = differ <= most_different(a["n"][i], b["n"][j], percent)
-            i, j = a["doc_id"][i[fit]], b["doc_id"][j[fit]]
-            yield record({"a": np.minimum(i, j), "b": np.maximum(i, j)}, types)
+    known = missed.groupBy("a").agg(F.collect_set("b").alias("known")).withColumnRenamed("a", "doc_id")
+    rows = rows.join(known, "doc_id", "left")
+    blocks = F.ceil(F.col("size") / TILE).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
+        .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+                "doc_id", "component", "n", "bits", "known")
 
     def run(batches):
-        key, seen = None, None
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
-            cols = {k: batch.column(k).to_numpy() for k in ["key", "doc_id", "component", *names]}
-            cuts = np.flatnonzero(np.diff(cols["key"])) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-                if lo == hi:
-                    continue
-                part = {k: v[lo:hi] for k, v in cols.items() if k != "key"}
-                if cols["key"][lo] != key:
-                    key, seen = cols["key"][lo], None
-                yield from pairs(seen, part)
-                seen = part if seen is None else {k: np.concatenate([seen[k], part[k]]) for k in part}
-
-    types = arrow_types("a long, b long")
-    return rows.select("key", "doc_id", "component", *names).repartition("key").sortWithinPartitions("key") \
+            if not batch.num_rows:
+                continue
+            name = np.stack([batch.column(c).to_numpy() for c in ("key", "lo", "hi")])
+            new = np.flatnonzero((name[:, 1:] != name[:, :-1]).any(0)) + 1
+            if waiting and name[:, 0].tolist() != [waiting[-1].column(c)[-1].as_py() for c in ("key", "lo", "hi")]:
+                yield from _across(waiting, percent)
+                waiting = []
+            if len(new):
+                yield from _across([*waiting, batch.slice(0, int(new[-1]))], percent)
+                waiting = [batch.slice(int(new[-1]))]
+            else:
+                waiting.append(batch)
+        if waiting:
+            yield from _across(waiting, percent)
+
+    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi") \
         .mapInArrow(run, "a long, b long").distinct()
 
 
+def _across(parts: list[pa.RecordBatch], percent: int):
+    """The pairs of whole tiles, some rows against those after them at a time."""
+    table = pa.Table.from_batches(parts)
+    key, lo, hi, block, doc, component, n = (table[c].to_numpy() for c in ("key", "lo", "hi", "block", "doc_id", "component", "n"))
+    bits = table["bits"].to_pylist()
+    known = [x and set(x) for x in table["known"].to_pylist()]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+    start = np.flatnonzero(new)
+    end = np.repeat(np.append(start[1:], len(key)), np.diff(np.append(start, len(key))))
+    after = end - np.arange(len(key)) - 1
+    total = np.concatenate([[0], np.cumsum(after)])
+    at = 0
+    while at < len(key):
+        stop = max(at + 1, int(np.searchsorted(total, total[at] + 500_000, side="right")) - 1)
+        each = after[at:stop]
+        i = np.repeat(np.arange(at, stop), each)
+        j = i + 1 + np.arange(len(i)) - np.repeat(total[at:stop] - total[at], each)
+        ok = component[i] != component[j]
+        i, j = i[ok], j[ok]
+        ok = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & ((block[i] != block[j]) | (lo[i] == hi[i]))
+        i, j = i[ok], j[ok]
+        fit = _differing_rows(bits, i, j) <= most_different(n[i], n[j], percent)
+        i, j = i[fit], j[fit]
+        i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
+        fresh = np.array([known[x] is None or y not in known[x] for x, y in zip(i.tolist(), doc[j].tolist())], bool)
+        yield record({"a": doc[i[fresh]], "b": doc[j[fresh]]}, arrow_types("a long, b long"))
+        at = stop
+
+
+def _differing_rows(bits: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """As :func:`differing`, for pairs of row numbers."""
+    rows, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+    some = [bits[r] for r in rows.tolist()]
+    size = np.array([len(x) for x in some], np.int64)
+    a, b = place[:len(i)], place[len(i):]
+    out = np.zeros(len(i), np.int64)
+    for x in np.unique(size).tolist():         # the narrower of the pair
+        wider = np.flatnonzero(size >= x)
+        row = np.full(len(rows), -1)
+        row[wider] = np.arange(len(wider))
+        m = np.empty((len(wider), x // 8), np.uint64)
+        for y in np.unique(size[wider]).tolist():
+            k = np.flatnonzero(size[wider] == y)
+            m[k] = fold(np.frombuffer(b"".join([some[w] for w in wider[k].tolist()]), np.uint64).reshape(len(k), -1), x // 8)
+        at = np.flatnonzero(np.minimum(size[a], size[b]) == x)
+        for lo in range(0, len(at), 20_000):
+            p = at[lo:lo + 20_000]
+            out[p] = np.bitwise_count(m[row[a[p]]] ^ m[row[b[p]]]).sum(1, dtype=np.int64)
+    return out
+
+
 def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     docs = documents(docs)
     sets = written(describe(docs), "shingle-sets").groupBy("doc_id").agg(
-        F.max(F.struct("n", "f1", "f2", *WORDS)).alias("s")).select("doc_id", "s.*")
-    sets = written(sets.withColumn("class", F.when(F.col("n") == 0, F.col("doc_id"))), "shingle-sets")
+        F.max(F.struct("n", "f1", "f2", "bits")).alias("s")).select("doc_id", "s.*")
+    sets = written(sets, "shingle-sets")
     classes = sets.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
     of = written(sets.filter("n > 0").join(classes, ["f1", "f2", "n"]).select("doc_id", "rep", "n")
                  .unionByName(sets.filter("n = 0").select("doc_id", F.col("doc_id").alias("rep"), "n")), "shingle-classes")
-    reps = sets.join(of.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
+    reps = written(sets.join(of.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi"), "sets-of-classes")
     texts = packed(docs)
 
     groups = written(shared(signatures(docs, percent)), "shared-signatures")
+    release(docs)
     # Copies sign alike, so of a class only the least document is looked at.
-    groups = groups.join(of.filter("doc_id != rep").select("doc_id"), "doc_id", "left_anti")
     stars = groups.filter("doc_id != hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = written(verified(written(possible(stars, reps, percent), "candidates"), texts, percent), "jaccard-links")
+    tested = written(possible(stars, reps, percent), "candidates")
+    links = written(verified(tested, texts, percent), "jaccard-links")
+    missed = tested.join(links, ["a", "b"], "left_anti")
+
+    # Groups that still hold several components: everyone against the others.  A close pair
+    # shares many groups, so one in ``FIRST`` groups is done before the rest.
+    for part in ("pmod(sig, {}) = 0", "pmod(sig, {}) != 0"):
+        rows = open_groups(groups.filter(part.format(FIRST)), reps, components(links))
+        pairs = across(rows, missed, percent)
+        pairs = written(possible(written(pairs, "candidates"), reps, percent), "candidates")
+        new = written(verified(pairs, texts, percent), "jaccard-links")
+        links = links.unionByName(new)
+        missed = missed.unionByName(pairs.join(new, ["a", "b"], "left_anti"))
+        release(docs)
     found = components(links)
 
-    # Groups that still hold several components: everyone against the others.
-    member = groups.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
-        .withColumn("component", F.coalesce("component", "doc_id"))
-    open_groups = member.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo < hi").select("sig", "size")
-    rows = written(member.select("sig", "doc_id", "component").join(open_groups, "sig"), "open-groups")
-    small = rows.filter(F.col("size") <= GROUP).withColumn("key", F.col("sig"))
-    large = rows.filter(F.col("size") > GROUP)
-    again = signatures(texts.join(large.select("doc_id").distinct(), "doc_id", "left_semi"), percent, 1, z=True)
-    large = large.join(again.withColumnRenamed("sig", "sig2"), "doc_id").withColumn("key", F.xxhash64("sig", "sig2"))
-    rows = small.select("key", "doc_id", "component").unionByName(large.select("key", "doc_id", "component"))
-    rest = across(rows.join(reps, "doc_id"), percent)
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = written(verified(written(rest, "candidates"), texts, percent), "jaccard-links")
-    found = components(links.unionByName(more))
-
     out = of.join(found, of["rep"] == found["id"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
