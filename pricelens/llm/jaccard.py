@@ -272,23 +272,15 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, size, doc_id, component, n, bits): the groups that hold several components.
-
-    The bitmaps are folded to half their width for the way; that is still a bound.
-    """
+    """(key, size, doc_id, component, n, bits): the groups that hold several components."""
     own = reps.select("doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.coalesce("component", "doc_id").alias("component"))
     member = groups.select("sig", "doc_id").join(own, "doc_id")
     group = Window.partitionBy("sig")
     member = member.select("doc_id", "component", F.col("sig").alias("key"), F.count("*").over(group).alias("size"),
                            F.min("component").over(group).alias("least"), F.max("component").over(group).alias("most"))
-    half = F.arrow_udf(lambda bits: pa.array([_half(x) for x in bits.to_pylist()], pa.binary()), "binary")
     return member.filter("least < most").drop("least", "most") \
-        .join(reps.select("doc_id", "n", half("bits").alias("bits")), "doc_id")
-
-
-def _half(bits: bytes) -> bytes:
-    return fold(np.frombuffer(bits, np.uint64)[None, :], max(1, len(bits) // 16)).tobytes()
+        .join(reps.select("doc_id", "n", "bits"), "doc_id")
 
 
 def across(rows: DataFrame, missed: DataFrame, percent: int) -> DataFrame:
@@ -404,8 +396,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # shares many groups, so one in ``FIRST`` groups is done before the rest.
     for part in ("pmod(sig, {}) = 0", "pmod(sig, {}) != 0"):
         rows = open_groups(groups.filter(part.format(FIRST)), reps, components(links))
-        pairs = across(rows, missed, percent)
-        pairs = written(possible(written(pairs, "candidates"), reps, percent), "candidates")
+        pairs = written(across(rows, missed, percent), "candidates")
         new = written(verified(pairs, texts, percent), "jaccard-links")
         links = links.unionByName(new)
         missed = missed.unionByName(pairs.join(new, ["a", "b"], "left_anti"))
