@@ -19,7 +19,8 @@ def clean(df: DataFrame, item_col: str = "item_name", price_col: str = "price",
       so 0.5 passes and becomes 0 (B02, S6);
     * parse the zone-less timestamp text as TIMESTAMP_NTZ (wall clock, S13),
       unparseable text → NULL instead of an ANSI error (B03, S4);
-    * price → long by truncation, overflow → NULL (B03);
+    * price → long, whole numbers exactly, others by truncation, overflow →
+      NULL (B03);
     * ``day_of_week`` 1=Sunday…7=Saturday and ``hour_of_day`` (B04).  Rows
       with a NULL timestamp stay, with NULL calendar columns.
 
@@ -30,7 +31,7 @@ def clean(df: DataFrame, item_col: str = "item_name", price_col: str = "price",
     return (df.dropna(subset=[item_col, price_col])
               .filter(price_num > 0)
               .withColumn(ts_col, ts)
-              .withColumn(price_col, price_num.try_cast("long"))
+              .withColumn(price_col, F.coalesce(_c(price_col).try_cast("long"), price_num.try_cast("long")))
               .withColumn("day_of_week", F.dayofweek(ts_col))
               .withColumn("hour_of_day", F.hour(ts_col)))
 

@@ -93,11 +93,13 @@ def route_cost(lines: DataFrame, recipe: DataFrame | None = None,
     if require_complete:
         if recipe is None:
             raise ValueError("require_complete needs the recipe")
-        need = (recipe.groupBy("result_item", "route")
-                      .agg(F.count(F.lit(1)).alias("ingredients_needed")))
-        rc = (join_checked(rc, need, ["result_item", "route"], "inner", materialize=False)
+        # Needed and present lines are counted on the same keys; a NULL fee or
+        # quantity is a key of its own, as structs compare NULL fields equal.
+        key = F.struct("result_item", "route", "craft_fee", "result_quantity").alias("route_key")
+        need = recipe.select(key).groupBy("route_key").agg(F.count(F.lit(1)).alias("ingredients_needed"))
+        rc = (join_checked(rc.select("*", key), need, ["route_key"], "inner", materialize=False)
                 .filter(F.col("ingredients_present") == F.col("ingredients_needed"))
-                .drop("ingredients_needed"))
+                .drop("ingredients_needed", "route_key"))
     return rc.select(*ROUTE_KEYS,
                      (F.col("route_units") / 100).alias("route_material_cost"),
                      unit_cost("route_units", "craft_fee", "result_quantity")
@@ -119,10 +121,12 @@ def cheapest_route(rc: DataFrame) -> DataFrame:
 
     An aggregate of ``min(struct(cost, route))`` — ties go to the smaller
     route name (S5) — so it is a partial/final hash aggregate, not a window
-    sort, and no double equality test is needed (S20).
+    sort, and no double equality test is needed (S20).  A route without a cost
+    is never the cheapest; a group without any costed route gives no row.
     """
-    best = F.min(F.struct(F.col("route_craft_cost"), F.col("route"))).alias("best")
-    return (rc.groupBy("result_item", "collected_at", "day_of_week").agg(best)
+    cost = F.col("route_craft_cost")
+    best = F.min(F.when(cost.isNotNull(), F.struct(cost, F.col("route")))).alias("best")
+    return (rc.groupBy("result_item", "collected_at", "day_of_week").agg(best).filter("best is not null")
               .select("result_item", "collected_at", "day_of_week",
                       F.col("best.route_craft_cost").alias("craft_cost"),
                       F.col("best.route").alias("route")))

@@ -45,9 +45,11 @@ def weekday_delta(trend: DataFrame) -> DataFrame:
     """Change of the weekday average vs the previous weekday, %.
 
     Input: ``weekday_trend(..., keep_unrounded=True)``.  The window holds the
-    ≤7 weekday rows of one (category, item)."""
+    ≤7 weekday rows of one (category, item).  Rows without a weekday are left
+    out, and after an absent weekday the change is NULL."""
+    trend = trend.filter("day_of_week is not null")
     w = Window.partitionBy("category", "item_name").orderBy("day_of_week")
-    prev = F.lag("avg_raw").over(w)
+    prev = F.when(F.lag("day_of_week").over(w) == F.col("day_of_week") - 1, F.lag("avg_raw").over(w))
     return trend.select("category", "item_name", "day_of_week",
                         F.round("avg_raw", 0).alias("avg_price"),
                         F.round(F.try_divide(F.col("avg_raw") - prev, prev) * 100, 1)
@@ -58,7 +60,9 @@ def peak_days(trend: DataFrame) -> DataFrame:
     """Highest and lowest average weekday per (category, item).
 
     Ties go to the earlier weekday.  ``max(struct(avg, -dow))`` picks the
-    highest average and, among equals, the smallest weekday."""
+    highest average and, among equals, the smallest weekday.  Rows without a
+    weekday are left out."""
+    trend = trend.filter("day_of_week is not null")
     hi = F.max(F.struct(F.col("avg_raw"), (-F.col("day_of_week")).alias("neg_dow")))
     lo = F.min(F.struct(F.col("avg_raw"), F.col("day_of_week")))
     g = trend.groupBy("category", "item_name").agg(hi.alias("hi"), lo.alias("lo"))

@@ -10,8 +10,8 @@ Price logs derived from the tables (all whole tables, no sampling):
 * ``events_raw`` — events as raw landing rows (text timestamps and prices,
   some unparseable timestamps, some NULL items, non-positive prices).
 * ``part_recipe`` / ``monthly_material_log`` / ``monthly_market_log`` — a
-  recipe derived from part (result = brand, route = type, ingredient =
-  part, quantity = size, parts of size ≤ 10) priced against monthly
+  recipe derived from part (result = brand, route = type and size band,
+  ingredient = part, quantity = size; every part) priced against monthly
   snapshots of lineitem.
 
 Every function returns a lazy DataFrame; ``QUERIES`` maps each registered
@@ -48,7 +48,7 @@ from pricelens import schemas
 # Query parameters (the same values appear in the oracle SQL).
 TREND_TYPES = ["ECONOMY", "PROMO", "STANDARD"]
 EVENT_TREND_TYPES = ["click", "purchase", "view"]
-RECIPE_MAX_SIZE = 10
+SIZE_BAND = 10
 RESULT_QUANTITY = 10
 FEE_PER_BRAND_NO = 10
 MIN_SUPPORT = 50
@@ -125,13 +125,13 @@ def events_raw(spark, sf_dir) -> DataFrame:
 
 
 def part_recipe(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "part").filter(F.col("p_size") <= RECIPE_MAX_SIZE)
+    p = table(spark, sf_dir, "part")
     fee = F.regexp_extract("p_brand", r"(\d+)$", 1).try_cast("int") * FEE_PER_BRAND_NO
     return p.select(F.col("p_brand").alias("result_item"),
                     F.col("p_partkey").alias("material_name"),
                     F.col("p_size").alias("quantity"),
                     fee.alias("craft_fee"),
-                    F.col("p_type").alias("route"),
+                    F.concat("p_type", F.lit(" "), F.expr(f"(p_size - 1) div {SIZE_BAND}").cast("string")).alias("route"),
                     F.lit(RESULT_QUANTITY).alias("result_quantity"))
 
 

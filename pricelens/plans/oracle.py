@@ -90,8 +90,8 @@ TREND_RAW = f"""tr AS (
 CRAFT = f"""recipe AS (
   SELECT p_brand AS result_item, p_partkey AS material_name, p_size AS quantity,
          CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) * {d.FEE_PER_BRAND_NO} AS craft_fee,
-         p_type AS route, {d.RESULT_QUANTITY} AS result_quantity
-  FROM part WHERE p_size <= {d.RECIPE_MAX_SIZE}),
+         p_type || ' ' || CAST((p_size - 1) // {d.SIZE_BAND} AS VARCHAR) AS route, {d.RESULT_QUANTITY} AS result_quantity
+  FROM part),
 mat AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS collected_at,
          l_partkey AS material_name, {CENTS.format(c='l_extendedprice')} AS material_price
@@ -212,8 +212,8 @@ WHERE o_orderstatus <> 'P'""",
     "recipe_csv": f"""
 SELECT p_brand AS result_item, CAST(p_partkey AS VARCHAR) AS material_name, p_size AS quantity,
        CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) * {d.FEE_PER_BRAND_NO} AS craft_fee,
-       p_type AS route, {d.RESULT_QUANTITY} AS result_quantity
-FROM part WHERE p_size <= {d.RECIPE_MAX_SIZE}""",
+       p_type || ' ' || CAST((p_size - 1) // {d.SIZE_BAND} AS VARCHAR) AS route, {d.RESULT_QUANTITY} AS result_quantity
+FROM part""",
     "log_scan": f"""WITH {EV}
 SELECT category, item_name, day_of_week, price FROM ev
 WHERE category IN ({_lst(d.EVENT_TREND_TYPES)})""",
