@@ -80,16 +80,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     if not 0 < share < 1:
         p = min(max(share, 1e-12), 1 - 1e-12)
         return Model(np.zeros(1 << BITS), np.log(p / (1 - p)))
+    toxic, other = np.full(1 << BITS, ALPHA), np.full(1 << BITS, ALPHA)
+    for f, label in zip(rows, y):
+        (toxic if label else other)[f] += 1
+    ratio = np.log(toxic / (y.sum() + 2 * ALPHA)) - np.log(other / ((1 - y).sum() + 2 * ALPHA))
+    telling = np.abs(ratio) >= MIN_RATIO
+    rows = [f[telling[f]] for f in rows]
     size = np.array([len(f) for f in rows])
     idx = np.concatenate(rows)
-    of = np.repeat(np.arange(len(rows)), size)
-    toxic = np.bincount(idx, weights=y[of], minlength=1 << BITS) + ALPHA
-    other = np.bincount(idx, weights=1 - y[of], minlength=1 << BITS) + ALPHA
-    ratio = np.log(toxic / (y.sum() + 2 * ALPHA)) - np.log(other / ((1 - y).sum() + 2 * ALPHA))
-    telling = np.abs(ratio[idx]) >= MIN_RATIO
-    idx, of = idx[telling], of[telling]
+    of = np.repeat(np.arange(len(rows), dtype=np.int32), size)
     x = ratio[idx].astype(np.float32)
-    cuts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(rows)))])
+    cuts = np.concatenate([[0], np.cumsum(size)])
 
     def forward(w):
         run = np.concatenate([[0], np.cumsum(x * w[idx], dtype=np.float64)])
@@ -111,7 +112,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
         e = 1 / (1 + np.exp(-np.clip(forward(mw) + mb, -30, 30))) - y
         pw, pb, t = w, b, nt
         w, b = mw - step * (backward(e) / len(y) + PENALTY * mw), mb - step * e.mean()
-    return Model(np.where(np.abs(ratio) >= MIN_RATIO, ratio * w, 0), b)
+    return Model(np.where(telling, ratio * w, 0), b)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -133,8 +134,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                                              names=["doc_id", "f", "toxic"])
     got = rows.select("doc_id", "text", "toxic").mapInArrow(extract, "doc_id long, f binary, toxic int").toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
-    raw = got["f"].to_pylist()
-    return fit([np.frombuffer(raw[i], np.int32) for i in order.tolist()], got["toxic"].to_numpy()[order])
+    raw, toxic = got["f"].to_pylist(), got["toxic"].to_numpy()[order]
+    del got
+    return fit([np.frombuffer(raw[i], np.int32) for i in order.tolist()], toxic)
 
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
