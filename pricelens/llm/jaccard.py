@@ -40,7 +40,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import arrow_map, arrow_types, components, documents, packed, record, release, written
@@ -184,30 +184,21 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def shared(sigs: DataFrame) -> DataFrame:
-    """(sig, doc_id, hub): the rows of signatures that several documents have; hub is the least of them."""
+    """(sig, doc_id, hub): the rows of signatures that several documents have, but for the hub, the least of them."""
     def run(batches):
-        held = None         # the last row seen, and whether its group is out already
+        held = None         # signature and hub of the last row seen
         for batch in batches:
             sig, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(sig):
                 continue
-            hub_before = out_before = None
             if held is not None:
                 sig, doc = np.append(held[0], sig), np.append(held[1], doc)
-                hub_before, out_before = held[2], held[3]
             new = np.ones(len(sig), bool)
             new[1:] = sig[1:] != sig[:-1]
-            start = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            hub = doc[start].copy()
-            if hub_before is not None:
-                hub[0] = hub_before
-            several = np.diff(np.append(start, len(sig))) > 1
-            keep = several[group]
-            if out_before:
-                keep[0] = False
-            held = (sig[-1], doc[-1], hub[-1], bool(keep[-1]) or (bool(out_before) and len(sig) == 1))
-            yield record({"sig": sig[keep], "doc_id": doc[keep], "hub": hub[group[keep]]}, types)
+            hub = doc[new][np.cumsum(new) - 1]
+            held = (sig[-1], hub[-1])
+            keep = doc != hub
+            yield record({"sig": sig[keep], "doc_id": doc[keep], "hub": hub[keep]}, types)
     types = arrow_types("sig long, doc_id long, hub long")
     return sigs.repartition("sig").sortWithinPartitions("sig", "doc_id").mapInArrow(run, "sig long, doc_id long, hub long")
 
@@ -272,31 +263,29 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, size, doc_id, component, n, bits): the groups that hold several components."""
+    """(key, size, doc_id, component, n, bits): the groups that hold several components, without their
+    hubs, which all of a group have been held against."""
     own = reps.select("doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.coalesce("component", "doc_id").alias("component"))
     member = groups.select("sig", "doc_id").join(own, "doc_id")
-    group = Window.partitionBy("sig")
-    member = member.select("doc_id", "component", F.col("sig").alias("key"), F.count("*").over(group).alias("size"),
-                           F.min("component").over(group).alias("least"), F.max("component").over(group).alias("most"))
-    return member.filter("least < most").drop("least", "most") \
+    several = member.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("least"),
+                                        F.max("component").alias("most")).filter("least < most").select("sig", "size")
+    return member.join(several, "sig").withColumnRenamed("sig", "key") \
         .join(reps.select("doc_id", "n", "bits"), "doc_id")
 
 
-def across(rows: DataFrame, missed: DataFrame, percent: int) -> DataFrame:
+def across(rows: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of a key's documents in different components that bounds do not rule out
-    and that are not among the pairs ``missed`` (verified before, and under the similarity).
+    and that are not among the pairs ``tested`` before.
 
     ``rows`` come from :func:`open_groups`; a key of more than ``TILE`` rows is parted
     into blocks, and each two blocks are a tile.
     """
-    known = missed.groupBy("a").agg(F.collect_set("b").alias("known")).withColumnRenamed("a", "doc_id")
-    rows = rows.join(known, "doc_id", "left")
     blocks = F.ceil(F.col("size") / TILE).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))) \
         .select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
-                "doc_id", "component", "n", "bits", "known")
+                "doc_id", "component", "n", "bits")
 
     def run(batches):
         waiting: list[pa.RecordBatch] = []
@@ -317,7 +306,7 @@ def across(rows: DataFrame, missed: DataFrame, percent: int) -> DataFrame:
             yield from _across(waiting, percent)
 
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi") \
-        .mapInArrow(run, "a long, b long").distinct()
+        .mapInArrow(run, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def _across(parts: list[pa.RecordBatch], percent: int):
@@ -325,7 +314,6 @@ def _across(parts: list[pa.RecordBatch], percent: int):
     table = pa.Table.from_batches(parts)
     key, lo, hi, block, doc, component, n = (table[c].to_numpy() for c in ("key", "lo", "hi", "block", "doc_id", "component", "n"))
     bits = table["bits"].to_pylist()
-    known = [x and set(x) for x in table["known"].to_pylist()]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
     start = np.flatnonzero(new)
@@ -345,8 +333,7 @@ def _across(parts: list[pa.RecordBatch], percent: int):
         fit = _differing_rows(bits, i, j) <= most_different(n[i], n[j], percent)
         i, j = i[fit], j[fit]
         i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
-        fresh = np.array([known[x] is None or y not in known[x] for x, y in zip(i.tolist(), doc[j].tolist())], bool)
-        yield record({"a": doc[i[fresh]], "b": doc[j[fresh]]}, arrow_types("a long, b long"))
+        yield record({"a": doc[i], "b": doc[j]}, arrow_types("a long, b long"))
         at = stop
 
 
@@ -387,19 +374,17 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = written(shared(signatures(docs, percent)), "shared-signatures")
     release(docs)
     # Copies sign alike, so of a class only the least document is looked at.
-    stars = groups.filter("doc_id != hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = groups.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     tested = written(possible(stars, reps, percent), "candidates")
     links = written(verified(tested, texts, percent), "jaccard-links")
-    missed = tested.join(links, ["a", "b"], "left_anti")
 
     # Groups that still hold several components: everyone against the others.  A close pair
     # shares many groups, so one in ``FIRST`` groups is done before the rest.
     for part in ("pmod(sig, {}) = 0", "pmod(sig, {}) != 0"):
         rows = open_groups(groups.filter(part.format(FIRST)), reps, components(links))
-        pairs = written(across(rows, missed, percent), "candidates")
-        new = written(verified(pairs, texts, percent), "jaccard-links")
-        links = links.unionByName(new)
-        missed = missed.unionByName(pairs.join(new, ["a", "b"], "left_anti"))
+        pairs = written(across(rows, tested, percent), "candidates")
+        links = links.unionByName(written(verified(pairs, texts, percent), "jaccard-links"))
+        tested = tested.unionByName(pairs)
         release(docs)
     found = components(links)
 
