@@ -21,12 +21,14 @@ never exceed differing shingles)
 and verified on whole texts.
 
 No group is expanded into pairs first: in a group with one signature everyone
-is held against its least member.  Verified links give components, and only
-where a group still holds several components are the others compared, across
-components only, by bounds alone and in tiles of at most 2 * ``TILE`` documents, so
-a passage that very many documents share is many tasks' work and makes no rows
-for pairs that the bounds rule out.  Documents with equal sets are one class
-throughout.  The sorted signatures stream through their tasks; no group is gathered.
+is held against its least member, the hub.  Verified links give components.  Any two
+that share a signature share its hub and band, so the groups of a hub and a band
+are one for the rest: only where it still holds several components are its documents
+compared, across components only, by bounds alone and in tiles of at most 2 * ``TILE``
+documents, so a passage that very many documents share is many tasks' work, is looked at
+once and not once for each of its signatures, and makes no rows for pairs that
+the bounds rule out.  Documents with equal sets are one class throughout.  The
+sorted signatures stream through their tasks; no group is gathered.
 
 Defined results: null and empty texts, and texts of white space, have no shingles and link
 with nothing, not even with each other; a text of fewer than five words is
@@ -49,7 +51,7 @@ from pricelens.llm.text import Words, chunks, lower_ascii, mix, shingles, signed
 SHINGLE = 5
 PERCENT = 80
 TILE = 1024
-FIRST = 8
+BANDS = 64
 META = "doc_id long, n long, f1 long, f2 long, bits binary"
 
 
@@ -115,11 +117,11 @@ def describe(docs: DataFrame) -> DataFrame:
 def segments_of_bands() -> np.ndarray:
     """Segments of band t (sizes 2**t up to 2**(t+1)): some more than the most differences, so
     that enough of them are filled."""
-    return np.array([max(1, -(-68 * 2 ** t // 100) + 4) for t in range(40)], np.int64)
+    return np.array([max(1, -(-68 * 2 ** t // 100) + 4) for t in range(BANDS // 2)], np.int64)
 
 
 def sign(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) of a chunk's sets."""
+    """(document, signature) of a chunk's sets; the lowest bits of a signature are its band."""
     band = np.zeros(len(n), np.int64)
     band[n > 0] = np.floor(np.log2(n[n > 0])).astype(np.int64)
     largest = n * 100 // percent
@@ -170,7 +172,8 @@ def _sign_in_band(doc, h, n, band, differ, which) -> tuple[np.ndarray, np.ndarra
         single = (filled <= differ // 2)[doc]
         docs.append(doc[single])
         sigs.append(mix(h[single] ^ np.uint64(0x5151) + band[doc[single]].astype(np.uint64)))
-    return np.concatenate(docs), np.concatenate(sigs)
+    docs, sigs = np.concatenate(docs), np.concatenate(sigs)
+    return docs, sigs & ~np.uint64(BANDS - 1) | band[docs].astype(np.uint64)
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -263,15 +266,14 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, size, doc_id, component, n, bits): the groups that hold several components, without their
-    hubs, which all of a group have been held against."""
+    """(key, size, doc_id, component, n, bits): the documents of a hub and band, where they are of several
+    components; the hub is not among them, for all have been held against it."""
     own = reps.select("doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-    member = groups.select("sig", "doc_id").join(own, "doc_id")
-    several = member.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("least"),
-                                        F.max("component").alias("most")).filter("least < most").select("sig", "size")
-    return member.join(several, "sig").withColumnRenamed("sig", "key") \
-        .join(reps.select("doc_id", "n", "bits"), "doc_id")
+    member = groups.select(F.xxhash64("hub", "band").alias("key"), "doc_id").join(own, "doc_id")
+    several = member.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("least"),
+                                        F.max("component").alias("most")).filter("least < most").select("key", "size")
+    return member.join(several, "key").join(reps.select("doc_id", "n", "bits"), "doc_id")
 
 
 def across(rows: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
@@ -371,21 +373,19 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = written(sets.join(of.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi"), "sets-of-classes")
     texts = packed(docs)
 
-    groups = written(shared(signatures(docs, percent)), "shared-signatures")
+    groups = written(shared(signatures(docs, percent)).select("hub", F.expr(f"sig & {BANDS - 1}").alias("band"), "doc_id")
+                     .distinct(), "shared-signatures")
     release(docs)
     # Copies sign alike, so of a class only the least document is looked at.
     stars = groups.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     tested = written(possible(stars, reps, percent), "candidates")
     links = written(verified(tested, texts, percent), "jaccard-links")
+    release(docs)
 
-    # Groups that still hold several components: everyone against the others.  A close pair
-    # shares many groups, so one in ``FIRST`` groups is done before the rest.
-    for part in ("pmod(sig, {}) = 0", "pmod(sig, {}) != 0"):
-        rows = open_groups(groups.filter(part.format(FIRST)), reps, components(links))
-        pairs = written(across(rows, tested, percent), "candidates")
-        links = links.unionByName(written(verified(pairs, texts, percent), "jaccard-links"))
-        tested = tested.unionByName(pairs)
-        release(docs)
+    # Those who share a hub and a band, and are of several components: everyone against the others.
+    pairs = written(across(open_groups(groups, reps, components(links)), tested, percent), "candidates")
+    links = links.unionByName(written(verified(pairs, texts, percent), "jaccard-links"))
+    release(docs)
     found = components(links)
 
     out = of.join(found, of["rep"] == found["id"], "left")
