@@ -16,7 +16,7 @@ many suffice; one with too few even for that also signs every shingle.  Two
 sets that both need the extra signatures both have them.
 
 Nothing is capped.  Candidates are then cut by exact bounds only (sizes, and the
-parity bits of hashed shingles, as many as the set is large: differing bits
+parity bits of hashed shingles, over twice as many as the set is large: differing bits
 never exceed differing shingles)
 and verified on whole texts.
 
@@ -68,8 +68,8 @@ def most_different(r, s, percent: int = PERCENT):
 
 
 def bitmap_width(n: np.ndarray) -> np.ndarray:
-    """Parity bits of sets of sizes n: a power of two, at least 64 and over n."""
-    return 64 << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) + 1)).astype(np.int64) - 6)
+    """Parity bits of sets of sizes n: a power of two, at least 256 and over 2 * n."""
+    return 256 << np.maximum(0, np.ceil(np.log2(2 * np.maximum(n, 1) + 1)).astype(np.int64) - 8)
 
 
 def differing(a: list[bytes], b: list[bytes]) -> np.ndarray:
