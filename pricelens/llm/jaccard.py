@@ -276,12 +276,13 @@ def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFra
     return member.join(several, "key").join(reps.select("doc_id", "n", "bits"), "doc_id")
 
 
-def across(rows: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+def across(rows: DataFrame, tested: DataFrame, percent: int, every: bool = True) -> DataFrame:
     """(a, b): pairs of a key's documents in different components that bounds do not rule out
     and that are not among the pairs ``tested`` before.
 
     ``rows`` come from :func:`open_groups`; a key of more than ``TILE`` rows is parted
-    into blocks, and each two blocks are a tile.
+    into blocks, and each two blocks are a tile.  Unless ``every`` pair is asked for, a document
+    is paired in a tile only with the one that fits most others there.
     """
     blocks = F.ceil(F.col("size") / TILE).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")) \
@@ -297,21 +298,21 @@ def across(rows: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
             name = np.stack([batch.column(c).to_numpy() for c in ("key", "lo", "hi")])
             new = np.flatnonzero((name[:, 1:] != name[:, :-1]).any(0)) + 1
             if waiting and name[:, 0].tolist() != [waiting[-1].column(c)[-1].as_py() for c in ("key", "lo", "hi")]:
-                yield from _across(waiting, percent)
+                yield from _across(waiting, percent, every)
                 waiting = []
             if len(new):
-                yield from _across([*waiting, batch.slice(0, int(new[-1]))], percent)
+                yield from _across([*waiting, batch.slice(0, int(new[-1]))], percent, every)
                 waiting = [batch.slice(int(new[-1]))]
             else:
                 waiting.append(batch)
         if waiting:
-            yield from _across(waiting, percent)
+            yield from _across(waiting, percent, every)
 
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi") \
         .mapInArrow(run, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
 
 
-def _across(parts: list[pa.RecordBatch], percent: int):
+def _across(parts: list[pa.RecordBatch], percent: int, every: bool):
     """The pairs of whole tiles, some rows against those after them at a time."""
     table = pa.Table.from_batches(parts)
     key, lo, hi, block, doc, component, n = (table[c].to_numpy() for c in ("key", "lo", "hi", "block", "doc_id", "component", "n"))
@@ -334,6 +335,12 @@ def _across(parts: list[pa.RecordBatch], percent: int):
         i, j = i[ok], j[ok]
         fit = _differing_rows(bits, i, j) <= most_different(n[i], n[j], percent)
         i, j = i[fit], j[fit]
+        if not every:
+            fits = np.bincount(np.concatenate([i, j]), minlength=len(key))
+            one, other = np.concatenate([i, j]), np.concatenate([j, i])
+            order = np.lexsort((doc[other], -fits[other], one))
+            best = order[np.unique(one[order], return_index=True)[1]]
+            i, j = one[best], other[best]
         i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
         yield record({"a": doc[i], "b": doc[j]}, arrow_types("a long, b long"))
         at = stop
@@ -383,9 +390,13 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     release(docs)
 
     # Those who share a hub and a band, and are of several components: everyone against the others.
-    pairs = written(across(open_groups(groups, reps, components(links)), tested, percent), "candidates")
-    links = links.unionByName(written(verified(pairs, texts, percent), "jaccard-links"))
-    release(docs)
+    # First each against the one that fits most others, as the text does that all near copies of a group
+    # were made from; that leaves few components, and few pairs across them.
+    for every in (False, True):
+        pairs = written(across(open_groups(groups, reps, components(links)), tested, percent, every), "candidates")
+        links = links.unionByName(written(verified(pairs, texts, percent), "jaccard-links"))
+        tested = tested.unionByName(pairs)
+        release(docs)
     found = components(links)
 
     out = of.join(found, of["rep"] == found["id"], "left")
