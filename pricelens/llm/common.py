@@ -9,9 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.llm.text import chunks, pack
+from pricelens.llm.text import chunks, give_back, pack
 from pricelens.session import scratch_path
 
+#: Arrow batches of texts are cut at this size.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder.
@@ -39,8 +42,12 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
     """(doc_id long, text string, *more) of the rows that have a doc_id.
 
     A row without one can't be named in a result and is left out.  All other
-    columns of ``df`` are left behind, so their names can't clash.
+    columns of ``df`` are left behind, so their names can't clash.  Where the
+    session names no size for Arrow batches, it gets ``BATCH``: 10,000 texts
+    at a time, as many as Spark sends otherwise, may be of any size.
     """
+    if not df.sparkSession.conf.get(BATCH[0], None):
+        df.sparkSession.conf.set(*BATCH)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                      *[F.col(c) for c in more]).filter("doc_id is not null")
 
@@ -57,6 +64,14 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], sch
         for batch in batches:
             for cols in fn(batch):
                 yield record(cols, types)
+    return mapped(df, run, schema)
+
+
+def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow``, after which the Python worker gives freed memory back."""
+    def run(batches):
+        yield from fn(batches)
+        give_back()
     return df.mapInArrow(run, schema)
 
 

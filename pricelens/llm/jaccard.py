@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, components, documents, packed, record, release, written
+from pricelens.llm.common import arrow_map, arrow_types, components, documents, mapped, packed, record, release, written
 from pricelens.llm.text import Words, chunks, lower_ascii, mix, shingles, signed, unpack
 
 SHINGLE = 5
@@ -203,7 +203,7 @@ def shared(sigs: DataFrame) -> DataFrame:
             keep = doc != hub
             yield record({"sig": sig[keep], "doc_id": doc[keep], "hub": hub[keep]}, types)
     types = arrow_types("sig long, doc_id long, hub long")
-    return sigs.repartition("sig").sortWithinPartitions("sig", "doc_id").mapInArrow(run, "sig long, doc_id long, hub long")
+    return mapped(sigs.repartition("sig").sortWithinPartitions("sig", "doc_id"), run, "sig long, doc_id long, hub long")
 
 
 # ---- links ----------------------------------------------------------------------
@@ -220,7 +220,7 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             differ = differing(batch.column("a_bits").to_pylist(), batch.column("b_bits").to_pylist())
             fit = pa.array(differ <= most_different(batch.column("a_n").to_numpy(), batch.column("b_n").to_numpy(), percent))
             yield record({"a": batch.column("a").filter(fit), "b": batch.column("b").filter(fit)}, types)
-    return pairs.select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(run, "a long, b long")
+    return mapped(pairs.select("a", "b", "a_n", "b_n", "a_bits", "b_bits"), run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -262,7 +262,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b") \
         .join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a")
-    return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
+    return mapped(both.select("a", "b", "za", "zb"), run, "a long, b long")
 
 
 def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
@@ -308,8 +308,8 @@ def across(rows: DataFrame, tested: DataFrame, percent: int, every: bool = True)
         if waiting:
             yield from _across(waiting, percent, every)
 
-    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi") \
-        .mapInArrow(run, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
+    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return mapped(dealt, run, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def _across(parts: list[pa.RecordBatch], percent: int, every: bool):

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, documents, record, written
+from pricelens.llm.common import arrow_map, arrow_types, documents, mapped, record, written
 from pricelens.llm.text import mix
 
 MIN_CHARS = 40
@@ -176,7 +176,7 @@ def probe(keys: DataFrame, index: DataFrame, shards: int) -> DataFrame:
                          "hi", "lo", "doc_id")
     both = arrays.unionByName(probes, allowMissingColumns=True).repartition("shard", "replica") \
         .sortWithinPartitions("shard", "replica", F.col("arrays").isNull())
-    return both.select("shard", "replica", "arrays", "hi", "lo", "doc_id").mapInArrow(_probe, "hi long, doc_id long")
+    return mapped(both.select("shard", "replica", "arrays", "hi", "lo", "doc_id"), _probe, "hi long, doc_id long")
 
 
 def _probe(batches):

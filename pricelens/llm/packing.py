@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from pricelens.llm.common import arrow_types, documents, record
+from pricelens.llm.common import arrow_types, documents, mapped, record
 from pricelens.llm.text import Chunk, byte_table, chunks, is_space, lower_ascii, prefix, span_hash
 
 CAPACITY = 4096
@@ -68,7 +68,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int =
                     yield record(stream.take(last=False), types)
         yield record(stream.take(last=True), types)
 
-    return documents(docs).mapInArrow(run, PIECES)
+    return mapped(documents(docs), run, PIECES)
 
 
 # ---- tokens ------------------------------------------------------------------

@@ -13,6 +13,7 @@ independent 64-bit hashes where 128 bits decide a result.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,7 +47,11 @@ def byte_table(seed: int) -> np.ndarray:
     return _seeded(seed + 100, 256)
 
 
-@lru_cache(maxsize=32)
+#: Tables up to this many powers stay in the worker; only a longer text makes one of its own.
+KEPT_POWERS = 1 << 21
+_kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, 2**bits each."""
     base = int(_seeded(seed + 200, 1)[0]) | 1
@@ -64,7 +69,13 @@ def _powers(seed: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(seed, max(16, int(n).bit_length()))
+    """At least ``n`` powers; a seed has one table, which grows as it must."""
+    if seed not in _kept or len(_kept[seed][0]) < n:
+        table = _powers(seed, max(16, int(n).bit_length()))
+        if len(table[0]) > KEPT_POWERS:
+            return table
+        _kept[seed] = table
+    return _kept[seed]
 
 
 def prefix(values: np.ndarray, seed: int) -> np.ndarray:
@@ -197,6 +208,15 @@ def _unpacker():
     return zstandard.ZstdDecompressor()
 
 
+def give_back() -> None:
+    """Hands freed memory back to the machine: Spark keeps a Python worker for later stages,
+    which shouldn't find it at the peak of an earlier one."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # where the C library has it
+    if trim:
+        trim(0)
+
+
 def signed(h: np.ndarray) -> pa.Array:
     """Unsigned 64-bit hashes as Spark's longs."""
     return pa.array(h.view(np.int64))
