@@ -35,6 +35,7 @@ def release(df: DataFrame) -> None:
     driver with memory to spare may be long after a chain of large jobs.
     """
     gc.collect()
+    give_back()
     df.sparkSession.sparkContext._jvm.System.gc()
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import documents
-from pricelens.llm.text import Chunk, chunks, lower_ascii
+from pricelens.llm.text import Chunk, chunks, give_back, lower_ascii
 
 SAMPLE = 4000
 BITS = 18
@@ -85,19 +85,28 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
         (toxic if label else other)[f] += 1
     ratio = np.log(toxic / (y.sum() + 2 * ALPHA)) - np.log(other / ((1 - y).sum() + 2 * ALPHA))
     telling = np.abs(ratio) >= MIN_RATIO
-    rows = [f[telling[f]] for f in rows]
-    size = np.array([len(f) for f in rows])
-    idx = np.concatenate(rows)
-    of = np.repeat(np.arange(len(rows), dtype=np.int32), size)
-    x = ratio[idx].astype(np.float32)
+    size = np.array([int(telling[f].sum()) for f in rows])
     cuts = np.concatenate([[0], np.cumsum(size)])
+    idx = np.empty(cuts[-1], np.int32)
+    for f, at in zip(rows, cuts.tolist()):
+        some = f[telling[f]]
+        idx[at:at + len(some)] = some
+    # Some rows at a time, so that no copy of all of them is made.
+    parts = [(lo, min(lo + 200, len(rows))) for lo in range(0, len(rows), 200)]
 
     def forward(w):
-        run = np.concatenate([[0], np.cumsum(x * w[idx], dtype=np.float64)])
-        return run[cuts[1:]] - run[cuts[:-1]]
+        out = np.empty(len(rows))
+        for lo, hi in parts:
+            run = np.concatenate([[0], np.cumsum((ratio * w)[idx[cuts[lo]:cuts[hi]]])])
+            at = cuts[lo:hi + 1] - cuts[lo]
+            out[lo:hi] = run[at[1:]] - run[at[:-1]]
+        return out
 
     def backward(e):
-        return np.bincount(idx, weights=x * e.astype(np.float32)[of], minlength=1 << BITS)
+        out = np.zeros(1 << BITS)
+        for lo, hi in parts:
+            out += np.bincount(idx[cuts[lo]:cuts[hi]], weights=np.repeat(e[lo:hi], size[lo:hi]), minlength=1 << BITS)
+        return ratio * out
 
     v = np.random.default_rng(3).standard_normal(1 << BITS)
     for _ in range(8):      # the largest curvature, by power iteration
@@ -134,9 +143,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                                              names=["doc_id", "f", "toxic"])
     got = rows.select("doc_id", "text", "toxic").mapInArrow(extract, "doc_id long, f binary, toxic int").toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
-    raw, toxic = got["f"].to_pylist(), got["toxic"].to_numpy()[order]
+    toxic = got["toxic"].to_numpy()[order]
+    raw = got["f"].combine_chunks().cast(pa.large_binary())
+    ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:] // 4 if len(raw) else None
+    buf = raw.buffers()[2]
+    flat = np.frombuffer(buf, np.int32) if buf is not None and buf.size else np.zeros(0, np.int32)
     del got
-    return fit([np.frombuffer(raw[i], np.int32) for i in order.tolist()], toxic)
+    model = fit([flat[ends[i]:ends[i + 1]] for i in order.tolist()], toxic)
+    del raw, buf, flat
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
