@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from pricelens.llm.common import arrow_types, documents, mapped, record
-from pricelens.llm.text import Chunk, byte_table, chunks, is_space, lower_ascii, prefix, span_hash
+from pricelens.llm.text import Chunk, byte_table, chunks, give_back, is_space, lower_ascii, prefix, span_hash
 
 CAPACITY = 4096
 END_ID = 2
@@ -42,7 +42,7 @@ BREAK_PENALTY = 24
 GRAIN = 64
 BLOCK = 1 << 20
 TEXT_BYTES = 1 << 20
-KNOWN_WORDS = 1_500_000
+KNOWN_WORDS = 400_000
 TOKENIZER = "word_bpe_49k.json"
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
@@ -66,6 +66,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int =
                     stream.add(ids[c.lo + i], tokens)
                 if stream.size >= BLOCK:
                     yield record(stream.take(last=False), types)
+                    give_back()
         yield record(stream.take(last=True), types)
 
     return mapped(documents(docs), run, PIECES)
