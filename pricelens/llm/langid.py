@@ -11,8 +11,11 @@ Features are hashed character n-grams (1 to 4 bytes, A-Z lower-cased) of the
 whole text: square roots of their shares, so unit vectors.  Machines have a
 squared hinge loss and are fitted together by accelerated gradient steps.
 
-Training reads text and non-null lang only, of at most about ``SAMPLE`` rows
-chosen by hash (the documented bound).  Prediction is one pass without a shuffle.
+Training draws from the distinct (text, lang) with a non-null lang, so copies
+count once, by hash and for each language alike: at most about as many rows of
+each as share out ``SAMPLE``, though never fewer than ``LEAST``, and all rows of
+languages that have no more (the documented bound: the larger of ``SAMPLE`` and
+languages x ``LEAST``, 8 KB each).  Prediction is one pass without a shuffle.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0;
 a null doc_id is left out; without training rows everything is ``und``; with
@@ -28,10 +31,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import documents
+from pricelens.llm.common import documents, written
 from pricelens.llm.text import Chunk, chunks, lower_ascii
 
 SAMPLE = 4000
+LEAST = 100
 BITS = 12
 LENGTHS = (1, 2, 3, 4)
 PENALTY = 1e-4
@@ -156,25 +160,50 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
     return Model(names, families, between, pairs, machines(x, sides))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Fits on at most about ``sample`` rows of (text, lang); None without any.
+def rows_each(sizes: list[int], sample: int, least: int) -> int:
+    """How many rows of each language to draw, so that all together draw ``sample``, or ``least`` of each."""
+    left = sample
+    for k, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - k) > left:
+            return max(least, left // (len(sizes) - k))
+        left -= size
+    return max([least, *sizes])
 
-    If there are more, those whose hash of the text lies under sample / rows are taken.
+
+def train(docs: DataFrame, sample: int = SAMPLE, least: int = LEAST) -> Model | None:
+    """Fits on at most about ``sample`` distinct (text, lang), or ``least`` of each lang; None without any.
+
+    Of a lang that has more, those whose hash of the text lies under its share are taken.
     """
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
-        .filter("text is not null and lang is not null")
-    n = rows.count()
-    if n > sample:
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < F.lit(int(sample / n * (1 << 40))))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.col("lang").cast("string").alias("lang")) \
+        .filter("text is not null and lang is not null").withColumn("h", F.xxhash64("text"))
+    # The least doc_id stands for copies: three small columns a text, so no text is shuffled.
+    keys = written(rows.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id")), "langid-keys")
+    sizes = keys.groupBy("lang").count()
+    each = rows_each([r["count"] for r in sizes.collect()], sample, least)
+    drawn = keys.join(F.broadcast(sizes), "lang") \
+        .filter(F.pmod("h", F.lit(1 << 40)) < F.lit(each * 2.0 ** 40) / F.col("count")) \
+        .select(F.col("lang").alias("l"), F.col("h").alias("g"), F.col("doc_id").alias("d"))
+    # at most about the documented number of rows of three small columns
+    rows = rows.join(F.broadcast(drawn), (F.col("lang") == F.col("l")) & (F.col("h") == F.col("g"))
+                     & F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "lang", "h")
 
     def extract(batches):
+        seen = set()      # of repeated rows, which share even the doc_id, a task takes one
         for batch in batches:
+            new = []
+            for k, key in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(k)
+            batch = batch.take(pa.array(new, pa.int32()))
             for c in chunks(batch.column(0), most=GROUP):
                 # shares fit 16 bits: 8 KB a row reach the driver
                 found = [r.astype(np.float16).tobytes() for r in features(c)]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1).slice(c.lo, len(c))],
-                                                 names=["f", "lang"])
-    got = rows.mapInArrow(extract, "f binary, lang string").toArrow()
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1).slice(c.lo, len(c)),
+                                                  batch.column(2).slice(c.lo, len(c))], names=["f", "lang", "h"])
+    got = rows.mapInArrow(extract, "f binary, lang string, h long").dropDuplicates(["lang", "h"]).toArrow()
     if not got.num_rows:
         return None
     raw, langs = got["f"].to_pylist(), got["lang"].to_pylist()

@@ -8,7 +8,9 @@ weighs r times what the regression gives it; features with |r| under
 ``MIN_RATIO`` tell nothing and weigh 0.
 
 Training reads labelled rows only; at most about ``SAMPLE`` of them, chosen by
-hash (the documented bound), so what reaches the driver is bounded.  Scoring is
+hash (the documented bound), so what reaches the driver is bounded.  Each label
+gets half of them, or what the other leaves: a rare label keeps its rows.  Drawn
+rows weigh as many as they stand for, so the labels' shares stay.  Scoring is
 one pass over whole texts without a shuffle; a text's cost is its length.
 
 Defined results: null and empty texts have no features and get the score of
@@ -73,10 +75,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.array(out, float) + self.bias, -30, 30)))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Naive Bayes ratios, then logistic regression by accelerated gradient steps."""
+def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | None = None) -> Model:
+    """Naive Bayes ratios, then logistic regression by accelerated gradient steps.
+
+    ``weights`` are the rows that each row stands for, 1 by default.
+    """
     y = np.asarray(labels, float)
-    share = y.mean() if len(y) else 0.0
+    g = np.ones(len(y)) if weights is None else np.asarray(weights, float)
+    g = g / max(g.sum(), 1e-12)
+    share = float(g @ y)
     if not 0 < share < 1:
         p = min(max(share, 1e-12), 1 - 1e-12)
         return Model(np.zeros(1 << BITS), np.log(p / (1 - p)))
@@ -111,29 +118,32 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     v = np.random.default_rng(3).standard_normal(1 << BITS)
     for _ in range(8):      # the largest curvature, by power iteration
         v /= np.linalg.norm(v)
-        v = backward(forward(v)) / len(y)
+        v = backward(g * forward(v))
     step = 1 / (0.3 * np.linalg.norm(v) + PENALTY + 0.25)
     w, b = np.zeros(1 << BITS), np.log(share / (1 - share))
     pw, pb, t = w, b, 1.0
     for _ in range(STEPS):
         nt = (1 + (1 + 4 * t * t) ** 0.5) / 2
         mw, mb = w + (t - 1) / nt * (w - pw), b + (t - 1) / nt * (b - pb)
-        e = 1 / (1 + np.exp(-np.clip(forward(mw) + mb, -30, 30))) - y
+        e = g * (1 / (1 + np.exp(-np.clip(forward(mw) + mb, -30, 30))) - y)
         pw, pb, t = w, b, nt
-        w, b = mw - step * (backward(e) / len(y) + PENALTY * mw), mb - step * e.mean()
+        w, b = mw - step * (backward(e) + PENALTY * mw), mb - step * e.sum()
     return Model(np.where(telling, ratio * w, 0), b)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fits on at most about ``sample`` of the rows of (doc_id, toxic) in ``labels``.
 
-    If ``labels`` has more rows, those whose hash lies under sample / rows are taken.
+    Of a label that has more rows than its part, those whose hash lies under its share are taken.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = marked.count()
+    sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    n = sum(sizes.values())
+    share = {k: min(1.0, max(sample // 2, sample - (n - size)) / size) for k, size in sizes.items()}
     if n > sample:
-        marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(int(sample / n * (1 << 40))))
+        marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+                               < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * 2.0 ** 40)
     rows = documents(docs).join(F.broadcast(marked), "doc_id")     # at most about ``sample`` rows of two numbers
 
     def extract(batches):
@@ -149,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     buf = raw.buffers()[2]
     flat = np.frombuffer(buf, np.int32) if buf is not None and buf.size else np.zeros(0, np.int32)
     del got
-    model = fit([flat[ends[i]:ends[i + 1]] for i in order.tolist()], toxic)
+    model = fit([flat[ends[i]:ends[i + 1]] for i in order.tolist()], toxic, np.array([1 / share[k] for k in toxic.tolist()]))
     del raw, buf, flat
     give_back()
     return model

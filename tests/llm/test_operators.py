@@ -150,6 +150,31 @@ def test_langid_odd(spark, odd, empty):
     assert langid.group_families(np.array([[1, 0, 0], [.9, .1, 0], [0, 0, 1], [0, .1, .9]])) == [[0, 1], [2, 3]]
 
 
+def drawn_labels(module, monkeypatch):
+    """The labels of the rows that each fit gets."""
+    got, fit = [], module.fit
+    monkeypatch.setattr(module, "fit", lambda x, labels, *more: got.append(list(labels)) or fit(x, labels, *more))
+    return got
+
+
+def test_langid_draws_every_language_and_copies_once(spark, monkeypatch):
+    rare = spark.range(6).selectExpr("id + 9000 doc_id", "concat('zzyzx qoph ', id) text", "'zz' lang")
+    common = spark.range(4000).selectExpr("id doc_id", "concat('text number ', id * 7919) text", "if(id % 2 = 0, 'en', 'fr') lang")
+    # the text whose hash is drawn first, in a third of all rows
+    copy = spark.range(500).selectExpr("concat('copy ', id) text").orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 40))).first()[0]
+    copies = spark.range(2000).select((F.col("id") + 10_000).alias("doc_id"), F.lit(copy).alias("text"), F.lit("en").alias("lang"))
+    repeated = spark.range(100).selectExpr("cast(null as long) doc_id", "'no id, one row' text", "'xx' lang")
+    got = drawn_labels(langid, monkeypatch)
+    model = langid.train(rare.union(common).union(copies).union(repeated), 100, 5)
+    n = Counter(got[0])
+    assert model.langs == ["en", "fr", "xx", "zz"] and n["zz"] == 6 and n["xx"] == 1
+    assert 20 <= n["en"] <= 80 and 20 <= n["fr"] <= 80
+    pred = langid.identify(rare, model).collect()
+    assert all(r["lang_pred"] == "zz" for r in pred)
+    assert langid.rows_each([6, 1, 2000, 2000], 100, 5) == 46 and langid.rows_each([3, 4], 100, 5) == 5
+    assert langid.rows_each([9] * 50, 100, 5) == 5 and langid.rows_each([], 100, 5) == 5
+
+
 def pieces_hold(pieces, ids):
     """Pieces tile their documents and their sequences; returns the padding."""
     docs, seqs = defaultdict(list), defaultdict(list)
@@ -226,6 +251,17 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got.values())
 
 
+def test_toxicity_draws_each_label(spark, monkeypatch):
+    docs = spark.range(6000).selectExpr("id doc_id", "concat('text number ', id, if(id % 300 = 0, ' vile', '')) text")
+    labels = spark.range(6000).selectExpr("id doc_id", "cast(id % 300 = 0 as int) toxic")
+    got = drawn_labels(toxicity, monkeypatch)
+    model = toxicity.train(docs, labels, 100)
+    n = Counter(got[0])
+    assert n[1] == 20 and 50 <= n[0] <= 120
+    # the drawn rows stand for all: rare labels stay rare
+    assert np.mean([r["score"] for r in toxicity.score(docs, model).collect()]) < 0.05
+
+
 def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (5, 1), (2, None), (None, 1), (7, 0), (7, 0)], "doc_id long, toxic int")
     got = toxicity.score(odd, toxicity.train(odd, labels)).collect()
