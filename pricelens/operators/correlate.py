@@ -19,7 +19,8 @@ def corr_by(df: DataFrame, key: str, x: str = "day_of_week", y: str = "price",
 
     r is NULL where undefined (constant column, n ≤ 1; S7, S9).  With
     ``min_n`` groups with fewer rows are dropped (B19, a HAVING).  ``r`` is
-    rounded to ``scale`` places (None keeps it raw); labels use the raw r.
+    rounded to ``scale`` places (None keeps it raw); labels use the raw r,
+    which ``r_raw`` carries on for ``corr_extremes`` and ``corr_ranked``.
     """
     g = df.groupBy(key).agg(safe_corr(x, y).alias("r_raw"), F.count(F.lit(1)).alias("n"))
     if min_n is not None:
@@ -27,7 +28,12 @@ def corr_by(df: DataFrame, key: str, x: str = "day_of_week", y: str = "price",
     r = F.col("r_raw") if scale is None else F.round("r_raw", scale)
     return g.select(key, r.alias("r"), "n",
                     direction("r_raw").alias("direction"),
-                    strength("r_raw").alias("strength"))
+                    strength("r_raw").alias("strength"), "r_raw")
+
+
+def _raw(c: DataFrame) -> str:
+    """The column of ``c`` to rank by: the raw r where it is carried."""
+    return "r_raw" if "r_raw" in c.columns else "r"
 
 
 def distinct_items(df: DataFrame, col: str = "item_name") -> DataFrame:
@@ -54,12 +60,13 @@ def _top(df: DataFrame, k: int, order, pos_order=None) -> DataFrame:
 def corr_extremes(c: DataFrame, k: int = 10, key: str = "item_name") -> DataFrame:
     """Strongest k and weakest k groups by |r|.
 
-    NULL r is excluded (S8).  Both lists are ranked strongest-first like the
+    Ranked by the raw r (``r_raw``), so that groups which round alike keep
+    their order; ``r`` is shown.  NULL r is excluded (S8).  Both lists are ranked strongest-first like the
     printed report: ``strong`` = top k by |r| desc, ``weak`` = bottom k by
     |r|, listed in descending |r| (they overlap when fewer than 2k groups
     exist).  Ties break on the key.
     """
-    base = c.filter(F.col("r").isNotNull()).withColumn("abs_r", F.abs("r"))
+    base = c.filter(F.col("r").isNotNull()).withColumn("abs_r", F.abs(_raw(c)))
     strong = _top(base, k, [F.desc("abs_r"), F.asc(key)]).withColumn("list", F.lit("strong"))
     weak = (_top(base, k, [F.asc("abs_r"), F.desc(key)], [F.desc("abs_r"), F.asc(key)])
             .withColumn("list", F.lit("weak")))
@@ -71,9 +78,10 @@ def corr_ranked(c: DataFrame, key: str = "item_name",
                 strong_above: float = STRONG_ABOVE) -> DataFrame:
     """Groups sorted by signed r with sign class and a strong flag.
 
-    A range-partitioned sort (no single-task window)."""
+    Order, sign and flag use the raw r (``r_raw``); ``r`` is shown.  A range-partitioned sort (no single-task window)."""
+    raw = _raw(c)
     return (c.filter(F.col("r").isNotNull())
-             .select(key, "r", "n", F.when(F.col("r") > 0, "positive")
+             .orderBy(raw, key)
+             .select(key, "r", "n", F.when(F.col(raw) > 0, "positive")
                      .otherwise("negative").alias("sign"),
-                     (F.abs("r") > strong_above).alias("is_strong"))
-             .orderBy("r", key))
+                     (F.abs(raw) > strong_above).alias("is_strong")))

@@ -248,7 +248,7 @@ def q_category_weekday_avg(spark, sf_dir):
 # ---- correlation ----------------------------------------------------------------
 
 def q_category_corr(spark, sf_dir):
-    return corr_by(events_log(spark, sf_dir), "category")
+    return corr_by(events_log(spark, sf_dir), "category").drop("r_raw")
 
 
 def _item_corr(spark, sf_dir):
@@ -256,7 +256,7 @@ def _item_corr(spark, sf_dir):
 
 
 def q_item_corr(spark, sf_dir):
-    return _item_corr(spark, sf_dir)
+    return _item_corr(spark, sf_dir).drop("r_raw")
 
 
 def q_corr_extremes(spark, sf_dir):

@@ -132,8 +132,8 @@ def correlation(spark: SparkSession, log_path: str,
     df = read_log(spark, log_path, categories,
                   ["category", "item_name", "day_of_week", "price"])
     items = corr_by(df, "item_name", min_n=min_n)
-    return {"category_corr": corr_by(df, "category"),
-            "item_corr": items,
+    return {"category_corr": corr_by(df, "category").drop("r_raw"),
+            "item_corr": items.drop("r_raw"),
             "extremes": corr_extremes(items, k),
             "category_weekday_avg": category_weekday_avg(df)}
 

@@ -64,5 +64,25 @@ def test_extremes_exclude_null_and_order(spark):
     assert ranked[0] == "down" and ranked[-1] == "up"
 
 
+def test_ranked_by_raw_r(spark):
+    # All round to 0.9999 or to 0.0; names run against the raw order.
+    def rows(name, bump):
+        return [(name, d, 1_000_000 * d + (bump if d == 4 else 0)) for d in range(1, 8)]
+    def flat(name, bump):      # symmetric but for the bump
+        return [(name, d, 1_000_000 * abs(d - 4) + (bump if d == 7 else 0)) for d in range(1, 8)]
+    data = [*rows("a", 80_000), *rows("b", 79_000), *rows("c", 78_000), *flat("x", 30), *flat("y", 20), *flat("z", -10)]
+    c = corr_by(spark.createDataFrame(data, "item_name string, day_of_week int, price long"), "item_name")
+    r = {x.item_name: x.r for x in c.collect()}
+    assert len({r[k] for k in "abc"}) == 1 and len({abs(r[k]) for k in "xyz"}) == 1
+    got = {(x.list, x.pos): x.item_name for x in corr_extremes(c, 2).collect()}
+    assert got == {("strong", 1): "c", ("strong", 2): "b", ("weak", 1): "y", ("weak", 2): "z"}
+    ranked = corr_ranked(c).collect()
+    assert [x.item_name for x in ranked] == ["z", "y", "x", "a", "b", "c"]
+    assert [x.sign for x in ranked] == ["negative"] + ["positive"] * 5
+    raw = c.filter("item_name = 'a'").first().r_raw
+    strong = {x.item_name: x.is_strong for x in corr_ranked(c, strong_above=raw + 1e-9).collect()}
+    assert strong["b"] and not strong["a"]
+
+
 def test_distinct_items(spark):
     assert distinct_items(_df(spark)).count() == 6
