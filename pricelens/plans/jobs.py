@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pricelens import schemas
 from pricelens.functions import DAY_LABELS, day_label
 from pricelens.functions import formats as fmt
 from pricelens.operators import (anomaly_by_weekday, anomaly_summary, clean, corr_by,
@@ -23,6 +25,7 @@ from pricelens.operators.ingest import (ANOMALY_CATEGORY, CORR_CATEGORIES,
                                         MATERIAL_CATEGORIES, PRODUCT_CATEGORY, PRODUCTS,
                                         TREND_CATEGORIES)
 from pricelens.sources import read_log, read_raw, read_recipe, write_parquet, write_report
+from pricelens.sources.tables import overwrite_dates
 
 def day_label_sql(col: str) -> str:
     """SQL CASE mapping 1..7 to the fixed weekday labels (NULL otherwise)."""
@@ -92,22 +95,19 @@ def prepare_dates(spark: SparkSession, log_path: str, recipe_path: str, profit_o
     A snapshot's route costs and profit rows depend only on that snapshot's
     listings, so reading the log's ``date`` partitions for ``dates`` (pruned
     at the file listing) and overwriting exactly those partitions of
-    ``profit_out`` (dynamic partition overwrite) gives the same rows as a
-    full recomputation, at the cost of the new data only.  Pair it with the
+    ``profit_out`` (those that get no row are removed) gives the same rows as
+    a full recomputation, at the cost of the new data only.  Pair it with the
     streaming ingest, which appends new dates to the log.
     """
-    log = spark.read.parquet(log_path).filter(F.col("date").isin(list(dates)))
+    # The schema is given, as a log whose dates were all emptied has no file to read it from.
+    schema = T.StructType(list(schemas.AUCTION_LOG.fields) + [T.StructField("date", T.StringType())])
+    log = spark.read.schema(schema).parquet(log_path).filter(F.col("date").isin(list(dates)))
     recipe = read_recipe(spark, recipe_path)
     lines = cost_lines(recipe, material_prices(log, MATERIAL_CATEGORIES), collapse=collapse)
     best = cheapest_route(route_cost(lines, recipe, require_complete=require_complete))
     profit = profit_rows(market_prices(log, PRODUCT_CATEGORY, PRODUCTS), best) \
         .withColumn("date", F.date_format("collected_at", "yyyy-MM-dd"))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_parquet(profit, profit_out, partition_by=["date"])
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    overwrite_dates(profit, profit_out, list(dates))
 
 
 def daily_trend(spark: SparkSession, log_path: str,

@@ -139,9 +139,10 @@ def load_date(spark: SparkSession, landing_root: str, out: str,
 
     Reads only the requested ``date`` partitions (all when ``dates`` is
     None, the current date for ``"today"``), cleans them, and overwrites
-    exactly those date partitions of ``out`` (dynamic partition overwrite),
-    so re-running a date replaces its rows instead of appending duplicates.  A requested date with no landing
-    folder raises, like the shell loader's "directory missing" error.
+    exactly those date partitions of ``out``, so re-running a date replaces
+    its rows instead of appending duplicates; one whose rows all clean away
+    is removed.  A requested date with no landing folder raises, like the
+    shell loader's "directory missing" error.
     """
     from pricelens.operators.clean import clean
     clean_fn = clean_fn or clean
@@ -158,11 +159,5 @@ def load_date(spark: SparkSession, landing_root: str, out: str,
         if missing:
             raise FileNotFoundError(f"no landing folder for date(s): {missing}")
     cleaned = clean_fn(raw.drop("hour"))
-    from pricelens.sources.tables import balanced_for_write
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (balanced_for_write(cleaned, ["date"])
-         .write.mode("overwrite").partitionBy("date").parquet(out))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    from pricelens.sources.tables import _date_files, overwrite_dates
+    overwrite_dates(cleaned, out, list(_date_files(spark, landing_root, "date")) if dates is None else list(dates))

@@ -56,6 +56,46 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def _date_files(spark: SparkSession, path: str, by: str, dates: list[str] | None = None) -> dict[str, set[str]]:
+    """File names in each ``by`` folder under ``path``, from the listing only."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if dates is None:
+        found = fs.listStatus(root) if fs.exists(root) else []
+        dates = [f.getPath().getName()[len(by) + 1:] for f in found if f.getPath().getName().startswith(f"{by}=")]
+    out = {}
+    for d in dates:
+        folder = hadoop.Path(root, f"{by}={d}")
+        if fs.exists(folder):
+            out[d] = {f.getPath().getName() for f in fs.listStatus(folder)}
+    return out
+
+
+def overwrite_dates(df: DataFrame, path: str, dates: list[str], by: str = "date") -> None:
+    """Make the ``dates`` partitions of the log at ``path`` hold the rows of ``df``.
+
+    Dynamic partition overwrite replaces the partitions that get a row.  One
+    that gets none still has the files it had before (each write names its
+    files anew), and is removed.  Other partitions stay.
+    """
+    spark = df.sparkSession
+    before = _date_files(spark, path, by, dates)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_parquet(df, path, partition_by=[by])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for d, files in _date_files(spark, path, by, list(before)).items():
+        if files & before[d] or not files:
+            fs.delete(hadoop.Path(root, f"{by}={d}"), True)
+    spark.catalog.refreshByPath(path)
+
+
 def register_tables(spark: SparkSession, locations: dict[str, str],
                     formats: dict[str, str] | None = None,
                     options: dict[str, dict] | None = None,

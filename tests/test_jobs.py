@@ -145,3 +145,16 @@ def test_refresh_in_place_after_prepare(spark, landed):
     run(spark, "refresh", None, f"{landed}/recipe.csv", out, None, dates=["2026-05-19"])
     after = sorted(tuple(r) for r in spark.read.parquet(f"{out}/craft_profit").collect())
     assert before == after and len(after) == 3
+
+
+def test_prepare_dates_empties_a_date(spark, landed, tmp):
+    from pricelens.sources import load_date, write_landing
+    from pricelens import schemas
+    out = jobs.prepare(spark, f"{landed}/raw/*/*/*.json", f"{landed}/recipe.csv", f"{tmp}/out")
+    profit = out["craft_profit"]
+    assert spark.read.parquet(profit).count() > 0
+    fixed = spark.createDataFrame([("2026-05-19T15:00:00", "c", "a", "g", "0", 0, "")], schemas.RAW_AUCTION)
+    write_landing(fixed, f"{tmp}/land")
+    load_date(spark, f"{tmp}/land", out["auction_log"], ["2026-05-19"])
+    jobs.prepare_dates(spark, out["auction_log"], f"{landed}/recipe.csv", profit, ["2026-05-19"])
+    assert not [d for d in os.listdir(profit) if d.startswith("date=")]

@@ -97,6 +97,25 @@ def test_load_date_idempotent_and_missing(spark, tmp):
         load_date(spark, f"{tmp}/land", f"{tmp}/log", ["2030-01-01"])
 
 
+def test_load_date_empties_a_date(spark, tmp):
+    rows = [("2026-05-19T10:00:00", "c", "a", "g", "10", 0, ""),
+            ("2026-05-20T10:00:00", "c", "b", "g", "11", 0, ""),
+            ("2026-05-21T10:00:00", "c", "d", "g", "12", 0, "")]
+    fixed = [(ts, c, i, g, "0", q, e) for ts, c, i, g, _, q, e in rows]          # price 0 is cleaned away
+    write_landing(spark.createDataFrame(rows, schemas.RAW_AUCTION), f"{tmp}/land")
+    write_landing(spark.createDataFrame(fixed[:1], schemas.RAW_AUCTION), f"{tmp}/one")
+    write_landing(spark.createDataFrame(fixed[:2], schemas.RAW_AUCTION), f"{tmp}/two")
+    load_date(spark, f"{tmp}/land", f"{tmp}/log")
+    def left():
+        return sorted(r.item_name for r in spark.read.parquet(f"{tmp}/log").collect())
+    load_date(spark, f"{tmp}/one", f"{tmp}/log", ["2026-05-19"])
+    assert left() == ["b", "d"]
+    load_date(spark, f"{tmp}/two", f"{tmp}/log")                               # all landed dates
+    assert left() == ["d"]
+    load_date(spark, f"{tmp}/land", f"{tmp}/log", ["2026-05-19"])
+    assert left() == ["a", "d"]
+
+
 def test_register_tables_and_sql(spark, tmp):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long")
     write_parquet(df, f"{tmp}/t")
