@@ -46,12 +46,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import arrow_map, arrow_types, components, documents, mapped, packed, record, release, written
-from pricelens.llm.text import Words, chunks, lower_ascii, mix, shingles, signed, unpack
+from pricelens.llm.text import Words, chunks, lower_ascii, mix, shingle_places, shingles, signed, unpack
 
 SHINGLE = 5
 PERCENT = 80
 TILE = 1024
 BANDS = 64
+VERIFY_BYTES = 1 << 20
 META = "doc_id long, n long, f1 long, f2 long, bits binary"
 
 
@@ -223,42 +224,59 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return mapped(pairs.select("a", "b", "a_n", "b_n", "a_bits", "b_bits"), run, "a long, b long")
 
 
+class Sets:
+    """The shingles of some texts, comparable by their words."""
+
+    def __init__(self, texts: list[bytes]):
+        c = next(chunks(pa.array(texts, pa.large_binary()), size=1 << 60, most=1 << 60))
+        self.words, data = Words(c), lower_ascii(c.data)
+        self.number = self.words.numbers(data)[0]
+        doc, self.h, self.at = shingle_places(self.words, self.words.hashes(data, 1), SHINGLE)
+        self.cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
+
+    def common(self, i: int, j: int) -> tuple[int, int]:
+        """(shingles that texts i and j share, shingles that either has): hashes find them, words decide."""
+        a, b = slice(*self.cuts[i:i + 2]), slice(*self.cuts[j:j + 2])
+        x, y = np.intersect1d(self.h[a], self.h[b], assume_unique=True, return_indices=True)[1:]
+        x, y = self.at[a][x], self.at[b][y]
+        wide, other = (min(SHINGLE, int(self.words.count[k])) for k in (i, j))
+        same = np.full(len(x), wide == other)
+        for k in range(wide if wide == other else 0):
+            same &= self.number[x + k] == self.number[y + k]
+        both = int(same.sum())
+        return both, a.stop - a.start + b.stop - b.start - both
+
+
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole texts have the similarity.
+    """The pairs (a, b) whose whole texts have the similarity, by their words.
 
-    Texts travel packed; rows come sorted by ``a``, whose set is made once.
+    Texts travel packed; some pairs at a time, with texts of ``VERIFY_BYTES``, or one pair of longer ones.
     """
     types = arrow_types("a long, b long")
     need = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = texts.join(need, "doc_id", "left_semi")
 
     def run(batches):
-        last = None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-                sets: dict = {} if last is None else {last[0]: last[1]}
-                raw: dict = {}
-                for i, z in zip(a, part.column("za")):
-                    if i not in sets and i not in raw:
-                        raw[i] = z.as_py()
-                for i, z in zip(b, part.column("zb")):
-                    if i not in sets and i not in raw:
-                        raw[i] = z.as_py()
-                ids = list(raw)
-                for c in chunks(pa.array([unpack(raw[i]) for i in ids], pa.large_binary())):
-                    doc, h, n = chunk_shingles(c)
-                    cuts = np.concatenate([[0], np.cumsum(n)])
-                    for k in range(len(c)):
-                        sets[ids[c.lo + k]] = h[cuts[k]:cuts[k + 1]].copy()
-                ok = []
-                for i, j in zip(a, b):
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    ok.append(100 * both >= percent * (len(sets[i]) + len(sets[j]) - both) and both > 0)
-                last = (a[-1], sets[a[-1]])
-                ok = np.array(ok, bool)
-                yield record({"a": np.array(a)[ok], "b": np.array(b)[ok]}, types)
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            za, zb = batch.column("za"), batch.column("zb")
+            lo = 0
+            while lo < len(a):
+                place: dict = {}
+                raw: list = []
+                size, hi = 0, lo
+                while hi < len(a) and (hi == lo or size < VERIFY_BYTES):
+                    for i, z in ((a[hi], za), (b[hi], zb)):
+                        if i not in place:
+                            place[i] = len(raw)
+                            raw.append(unpack(z[hi].as_py()))
+                            size += len(raw[-1])
+                    hi += 1
+                sets = Sets(raw)
+                found = [sets.common(place[i], place[j]) for i, j in zip(a[lo:hi], b[lo:hi])]
+                ok = np.array([both > 0 and 100 * both >= percent * either for both, either in found])
+                yield record({"a": np.array(a[lo:hi])[ok], "b": np.array(b[lo:hi])[ok]}, types)
+                lo = hi
 
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b") \
         .join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a")

@@ -16,7 +16,8 @@ end of a partition is cut into powers of two, which need no padding.
 
 Token ids come from the tokenizer file at a path that is a parameter.  Its
 pieces never span white space, so words are tokenized once and looked up
-after; the table of known words is emptied at ``KNOWN_WORDS`` entries.
+by their bytes after; of ``KNOWN_WORDS`` words those that were met once are
+forgotten, at least half of them.
 
 Nulls: a null text is empty and packs as its end id alone; a null doc_id is
 left out.  Repeated rows are packed each.  An empty table gives no rows.
@@ -25,6 +26,7 @@ Very long documents run over as many sequences as they need.
 
 from __future__ import annotations
 
+import itertools
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from pricelens.llm.common import arrow_types, documents, mapped, record
-from pricelens.llm.text import Chunk, byte_table, chunks, give_back, is_space, lower_ascii, prefix, span_hash
+from pricelens.llm.text import Chunk, chunks, give_back, is_space, lower_ascii, numbered
 
 CAPACITY = 4096
 END_ID = 2
@@ -41,7 +43,9 @@ SENTENCE_PENALTY = 4
 BREAK_PENALTY = 24
 GRAIN = 64
 BLOCK = 1 << 20
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 21
+#: A word that is one id, which no word without it has.
+APART = b"7"
 KNOWN_WORDS = 400_000
 TOKENIZER = "word_bpe_49k.json"
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -90,62 +94,82 @@ class WordTable:
         vocab = self.tok.get_vocab()
         size = max(vocab.values()) + 1
         self.sentence_end = np.zeros(max(size, END_ID + 1), bool)
-        self.word_end = np.zeros(len(self.sentence_end), bool)
         for token, i in vocab.items():
-            self.word_end[i] = token.endswith("</w>")
             self.sentence_end[i] = token.endswith((".</w>", "!</w>", "?</w>"))
+        alone = self.tok.encode(APART.decode(), add_special_tokens=False).ids
+        self.apart = alone[0] if len(alone) == 1 else -1
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {0: 0}
+        self.index: dict[bytes, int] = {b"": 0}
         self.flat = np.full(1, END_ID, np.uint32)      # entry 0: the end id
         self.at = np.zeros(1, np.int64)
         self.size = np.ones(1, np.int64)
-
-    def learn(self, keys: list[int], words: list[bytes]) -> None:
-        """Tokenize new words: plain letters many at a time, others alone."""
-        ids: list = [None] * len(words)
-        plain = [k for k, w in enumerate(words) if w.isalpha()]
-        for lo in range(0, len(plain), 20_000):
-            group = [plain[a:a + 200] for a in range(lo, min(lo + 20_000, len(plain)), 200)]
-            for part, enc in zip(group, self.tok.encode_batch_fast(
-                    [b" ".join([words[k] for k in g]).decode() for g in group], add_special_tokens=False)):
+        self.met = np.full(1, 1 << 20, np.int64)       # chunks that held the word
+
+    def forget(self) -> None:
+        """Keeps the words that most chunks held, at most half of ``KNOWN_WORDS``, and halves their counts."""
+        least = max(2, int(np.partition(self.met, -KNOWN_WORDS // 2)[-KNOWN_WORDS // 2])) if len(self.met) > KNOWN_WORDS // 2 else 2
+        keep = self.met >= least
+        if keep.sum() > KNOWN_WORDS // 2:
+            keep &= self.met > least
+            keep[0] = True
+        words = [w for w, k in zip(self.index, keep.tolist()) if k]
+        size, at = self.size[keep], self.at[keep]
+        ends = np.cumsum(size)
+        self.flat = self.flat[np.repeat(at - (ends - size), size) + np.arange(ends[-1])]
+        self.at, self.size, self.met = ends - size, size, self.met[keep] + 1 >> 1
+        self.met[0] = 1 << 20
+        self.index = dict(zip(words, range(len(words))))
+
+    def learn(self, words: list[bytes]) -> None:
+        """Tokenize new words: many at a time with ``APART`` between them, those that hold it alone."""
+        easy = [w for w in words if APART not in w] if self.apart >= 0 else []
+        hard = [w for w in words if APART in w] if self.apart >= 0 else words
+        names, ids, sizes = [], [self.flat], [self.size]
+        for lo in range(0, len(easy), 20_000):
+            group = [easy[a:a + 200] for a in range(lo, min(lo + 20_000, len(easy)), 200)]
+            lines = [(b" %b " % APART).join(g).decode() for g in group]
+            for part, enc in zip(group, self.tok.encode_batch_fast(lines, add_special_tokens=False)):
                 got = np.array(enc.ids, np.uint32)
-                ends = np.flatnonzero(self.word_end[got]) + 1
-                if len(ends) == len(part):
-                    for k, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist()):
-                        ids[k] = got[a:b]
-        rest = [k for k, x in enumerate(ids) if x is None]
-        for lo in range(0, len(rest), 20_000):
-            part = rest[lo:lo + 20_000]
-            for k, enc in zip(part, self.tok.encode_batch_fast([words[k].decode() for k in part],
-                                                                add_special_tokens=False)):
-                ids[k] = np.array(enc.ids, np.uint32)
-        sizes = np.array([len(x) for x in ids], np.int64)
-        starts = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        for k, key in enumerate(keys, len(self.at)):
-            self.index[key] = k
-        self.flat = np.concatenate([self.flat, *ids])
-        self.at = np.concatenate([self.at, starts])
-        self.size = np.concatenate([self.size, sizes])
+                cut = np.flatnonzero(got == self.apart)
+                if len(cut) != len(part) - 1:
+                    hard = hard + part
+                    continue
+                names += part
+                ids.append(got[got != self.apart])
+                sizes.append(np.diff(np.concatenate([[-1], cut, [len(got)]])) - 1)
+        for lo in range(0, len(hard), 20_000):
+            part = hard[lo:lo + 20_000]
+            found = [enc.ids for enc in self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
+            names += part
+            ids.append(np.array([i for x in found for i in x], np.uint32))
+            sizes.append(np.array([len(x) for x in found], np.int64))
+        self.index.update(zip(names, range(len(self.size), len(self.size) + len(names))))
+        self.flat, self.size = np.concatenate(ids), np.concatenate(sizes)
+        self.at = np.cumsum(self.size) - self.size
+        self.met = np.concatenate([self.met, np.zeros(len(names), np.int64)])
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of words, -1 for unknown ones."""
+        return np.fromiter(map(self.index.get, words, itertools.repeat(-1)), np.int64, len(words))
 
     def encode(self, c: Chunk) -> list[np.ndarray]:
         """Token ids of every document of a chunk, the end id included."""
         data = lower_ascii(c.data)      # the tokenizer lower-cases too
         start, end, first = spans(data, c.offsets)
-        h = span_hash(prefix(byte_table(7)[data], 7), start, end, 7)
-        uniq, where, back = np.unique(h, return_index=True, return_inverse=True)
+        back, uniq = numbered(data, start, end)
         if len(self.index) + len(uniq) > KNOWN_WORDS:
-            self.clear()
-        keys = uniq.tolist()
-        found = self.index.get
-        number = np.array([found(key, -1) for key in keys], np.int64)
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            number[new] = np.arange(len(self.at), len(self.at) + len(new))
-            raw = data.tobytes()
-            self.learn([keys[k] for k in new.tolist()],
-                       [raw[a:b] for a, b in zip(start[where[new]].tolist(), end[where[new]].tolist())])
+            self.forget()
+        ends, letters = uniq.buffers()[1:]
+        letters, ends = letters.to_pybytes(), np.frombuffer(ends, np.int64)[:len(uniq) + 1].tolist()
+        held = [letters[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        number = self.numbers(held)
+        new = np.flatnonzero(number < 0).tolist()
+        if new:
+            self.learn([held[k] for k in new])
+            number[new] = self.numbers([held[k] for k in new])
+        self.met[number] += 1
         words = np.insert(number[back], first[1:], 0)
         size = self.size[words]
         cut = np.concatenate([[0], np.cumsum(size)])

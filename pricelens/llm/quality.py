@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import documents
-from pricelens.llm.text import Chunk, Words, chunks, give_back, mix
+from pricelens.llm.text import GOLDEN, Chunk, Words, chunks, give_back, word_hashes
 
 PASSAGE = 48
 SLOTS = 512
@@ -91,12 +91,7 @@ def features(data: np.ndarray, bound: np.ndarray, start: np.ndarray, end: np.nda
         out[:, SLOTS + k] = np.bincount(at, weights=kind, minlength=n) / (size + SHORT)
     held = np.bincount(own, minlength=n) + 1
     out[:, SLOTS + 6] = np.bincount(own, weights=end - start, minlength=n) / held / 16
-    # A word's letters summed with their places stand for it here.
-    run, plain = np.zeros((2, len(data) + 1), np.uint64)
-    np.cumsum(_LETTER[data] * np.arange(1, len(data) + 1, dtype=np.uint64), out=run[1:])
-    np.cumsum(_LETTER[data], out=plain[1:])
-    name = mix((run[end] - run[start]) - (plain[end] - plain[start]) * start.astype(np.uint64))
-    name += own.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    name = word_hashes(data, start, end, 1) + own.astype(np.uint64) * GOLDEN
     kept = np.unique(name, return_index=True)[1]
     out[:, SLOTS + 7] = (held - 1 - np.bincount(own[kept], minlength=n)) / held      # words that were there before
     out[:, SLOTS + 8] = np.bincount(own[1:][name[1:] == name[:-1]], minlength=n) / held      # right before
@@ -104,7 +99,6 @@ def features(data: np.ndarray, bound: np.ndarray, start: np.ndarray, end: np.nda
 
 
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
-_LETTER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def pooled(x: np.ndarray, most: int = BAG) -> np.ndarray:

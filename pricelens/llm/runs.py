@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pricelens.llm.common import arrow_map, documents
-from pricelens.llm.text import Chunk, Words, chunks, is_space
+from pricelens.llm.text import Chunk, Words, chunks
 
 MIN_LENGTH = 12
 RUNS = "doc_id long, n_words long, runs array<long>, text string"
@@ -92,13 +92,6 @@ def kept_texts(c: Chunk, words: Words, gone: np.ndarray) -> pa.Array:
 
 # ---- suffixes --------------------------------------------------------------------
 
-def word_numbers(c: Chunk, words: Words) -> np.ndarray:
-    """A number for each word, the same for equal words only."""
-    ends = np.concatenate([[0], np.cumsum(words.end - words.start)]).astype(np.int64)
-    raw = pa.Array.from_buffers(pa.large_binary(), len(words.start), [None, pa.py_buffer(ends), pa.py_buffer(c.data[~is_space(c.data)])])
-    return raw.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def doubled_ranks(seq: np.ndarray) -> list[np.ndarray]:
     """For k = 0, 1, ...: how many suffixes have a smaller prefix of 2**k.
 
@@ -240,7 +233,7 @@ def chunk_runs(c: Chunk, words: Words, min_length: int = MIN_LENGTH) -> tuple[np
     seq = np.empty(len(words.start) + marks, np.int64)
     at = np.arange(len(words.start)) + words.doc
     seq[words.first[1:] + np.arange(marks)] = np.arange(marks)
-    seq[at] = word_numbers(c, words) + marks
+    seq[at] = words.numbers(c.data)[0] + marks
     ranks = doubled_ranks(seq)
     i, d = candidates(ranks)
     back = common_before(ranks, i, i + d)

@@ -6,9 +6,13 @@ of its own), so the numpy temporaries stay bounded whatever the batch holds.
 Nulls are empty texts.  White space is the six ASCII characters
 ``[\\x20\\x09-\\x0D]``; words are the maximal runs of anything else.
 
-Hashes are polynomial prefix sums modulo 2**64 over a random table, finished
-by a mixing step; a window's hash costs O(1).  Two seeds give two
-independent 64-bit hashes where 128 bits decide a result.
+Words and windows of words are hashed by multilinear sums: every byte (word)
+times a random number of its place, summed modulo 2**64 and finished by a mixing
+step.  Two that differ, in whatever regular way, collide as random numbers do;
+two seeds give two 64-bit hashes where 128 bits decide a result.  Rolling sums
+of bytes (:func:`prefix`, :func:`span_hash`) are polynomials modulo 2**64, which
+collide for regular texts of some hundred bytes: for short spans only, of at
+most ``SPAN`` bytes.
 """
 
 from __future__ import annotations
@@ -23,7 +27,9 @@ import pyarrow.compute as pc
 import zstandard
 
 CHUNK_BYTES = 1 << 19
+SPAN = 100
 U = np.uint64
+GOLDEN = U(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,10 +50,24 @@ def _seeded(seed: int, n: int) -> np.ndarray:
 
 @lru_cache(maxsize=8)
 def byte_table(seed: int) -> np.ndarray:
-    return _seeded(seed + 100, 256)
+    """A random number for each byte; any two differ in their lowest eight bits."""
+    return _seeded(seed + 100, 256) & ~U(255) | np.arange(256, dtype=U)
 
 
-#: Tables up to this many powers stay in the worker; only a longer text makes one of its own.
+_factors: dict[int, np.ndarray] = {}
+
+
+def place_factors(seed: int, n: int) -> np.ndarray:
+    """A random number for each of at least ``n`` places; a seed's table grows as it must."""
+    if seed not in _factors or len(_factors[seed]) < n:
+        table = _seeded(seed + 300, max(256, 1 << (int(n) - 1).bit_length()))
+        if len(table) > KEPT_POWERS:
+            return table
+        _factors[seed] = table
+    return _factors[seed]
+
+
+#: Tables up to this many powers or places stay in the worker; only a longer text makes one of its own.
 KEPT_POWERS = 1 << 21
 _kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -87,10 +107,22 @@ def prefix(values: np.ndarray, seed: int) -> np.ndarray:
 
 
 def span_hash(c: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
-    """Hashes of [start, end) from the prefix sums ``c``; lengths are mixed in."""
+    """Hashes of the short spans [start, end) from the prefix sums ``c``; lengths are mixed in."""
     _, inv = powers(seed, len(c))
     h = (c[end] - c[start]) * inv[start]
-    return mix(h + (end - start).astype(U) * U(0x9E3779B97F4A7C15))
+    return mix(h + (end - start).astype(U) * GOLDEN)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Hashes of the bytes [start, end) of each word, none empty."""
+    if not len(start):
+        return np.zeros(0, U)
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(first[-1] + size[-1])) - np.repeat(first, size)
+    value = byte_table(seed)[data[np.repeat(start, size) + place]]
+    value *= place_factors(seed, int(size.max()))[place]
+    return mix(np.add.reduceat(value, first) + size.astype(U) * GOLDEN)
 
 
 class Chunk:
@@ -157,14 +189,29 @@ class Words:
         self.place = np.arange(len(self.start)) - self.first[self.doc]
 
     def hashes(self, data: np.ndarray, seed: int) -> np.ndarray:
-        c = prefix(byte_table(seed)[data], seed)
-        return span_hash(c, self.start, self.end, seed)
+        return word_hashes(data, self.start, self.end, seed)
+
+    def numbers(self, data: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """(a number for each word, the word of each number): equal numbers are equal bytes."""
+        return numbered(data, self.start, self.end)
+
 
+def numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """As :meth:`Words.numbers`, for words [start, end) that rise and don't overlap."""
+    size = end - start
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    ink = data[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+    raw = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(ink)])
+    coded = raw.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
-def window_hashes(word_hash: np.ndarray, at: np.ndarray, width, seed: int) -> np.ndarray:
+
+def window_hashes(word_hash: np.ndarray, at: np.ndarray, width: int, seed: int) -> np.ndarray:
     """Hashes of the ``width`` words that start at the word numbers ``at``."""
-    c = prefix(word_hash, seed + 50)
-    return span_hash(c, at, at + width, seed + 50)
+    h = np.full(len(at), width, U) * GOLDEN
+    for j, factor in enumerate(place_factors(seed + 50, width)[:width]):
+        h += word_hash[at + j] * factor
+    return mix(h)
 
 
 def shingles(words: Words, word_hash: np.ndarray, n: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -173,20 +220,27 @@ def shingles(words: Words, word_hash: np.ndarray, n: int, seed: int = 1) -> tupl
     A document with fewer than ``n`` words, but at least one, has its whole
     word sequence as its only shingle.
     """
+    return shingle_places(words, word_hash, n, seed)[:2]
+
+
+def shingle_places(words: Words, word_hash: np.ndarray, n: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`shingles`, with the word at which each shingle begins first."""
     ends = words.first[words.doc] + words.count[words.doc]
     at = np.arange(len(words.start))
     full = at + n <= ends
     short = (words.place == 0) & (words.count[words.doc] < n)
-    keep = full | short
-    at = at[keep]
-    width = np.minimum(n, words.count[words.doc[keep]])
-    h = window_hashes(word_hash, at, width, seed)
-    doc = words.doc[keep]
+    h = np.empty(len(at), U)
+    h[full] = window_hashes(word_hash, at[full], n, seed)
+    for width in range(1, n):
+        few = short & (words.count[words.doc] == width)
+        h[few] = window_hashes(word_hash, at[few], width, seed)
+    at = at[full | short]
+    h, doc = h[at], words.doc[at]
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return doc[new], h[new]
+    return doc[new], h[new], at[order][new]
 
 
 def pack(raw: bytes) -> bytes:

@@ -46,7 +46,8 @@ def test_words_are_ascii_white_space_runs():
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n in sql.SQL])
 def test_sql_agrees(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DIR}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     got = E.queries()[name](spark, DIR)
     cols = sorted(got.columns)
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({sql.SQL[name]})").fetchall()
@@ -387,3 +388,66 @@ def test_suffixes_periodic_texts(spark):
         docs.append((i, "".join(rng.choice(list("abc"), 60)) + unit * int(rng.integers(10, 120)) + docs[i // 2][1][:150] if i else unit * 200))
     got = rows_of(suffixes.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")))
     assert {i: (r["n_bytes"], list(r["spans"]), bytes(r["kept"])) for i, r in got.items()} == repeats(docs)
+
+
+# ---- words that regular hashes take for each other ------------------------------
+
+def thue_morse(bits):
+    """A word over two letters and its complement: polynomials modulo 2**64 can't tell them apart."""
+    w = "a"
+    for _ in range(bits):
+        w += w.translate(str.maketrans("ab", "ba"))
+    return w, w.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("bits", [8, 9, 11, 13])
+def test_words_that_polynomials_confuse(spark, bits):
+    one, other = thue_morse(bits)
+    fill = [f"word{k}" for k in range(49)]
+    texts = [one, other, " ".join([one, *fill]), " ".join([other, *fill]), f"{one} b c d e", f"{other} b c d e",
+             f"x {one} y", f"x {other} y"]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for seed in range(8):
+        for c in chunks(pa.array(texts, pa.large_string())):
+            h = Words(c).hashes(c.data, seed)
+            assert len(set(h.tolist())) == len({w for t in texts for w in t.split()})
+    prints = rows_of(fingerprints.with_neighbours(df))
+    assert len({r["fingerprint"] for r in prints.values()}) == len(texts) and prints[1]["near_next"] == 0
+    tok = packing.word_table(packing.TOKENIZER).tok
+    pieces_hold(packing.pack_documents(df).collect(), {i: tok.encode(t, add_special_tokens=False).ids + [2] for i, t in docs})
+    _, label = linked(docs)
+    got = rows_of(jaccard.link_documents(df))
+    assert {i: got[i]["component_id"] for i in got} == label and label[1] == 1 and label[5] == 5
+    got = rows_of(substrings.remove_passages(df))
+    assert {i: (r["n_words"], r["n_removed"], r["text"]) for i, r in got.items()} == passages(docs)
+    got = rows_of(suffixes.remove_repeats(df))
+    assert {i: (r["n_bytes"], list(r["spans"]), bytes(r["kept"])) for i, r in got.items()} == repeats(docs)
+
+
+def test_jaccard_verifies_words_not_hashes(spark, monkeypatch):
+    """With hashes of a few bits nearly all texts look alike; the words still decide."""
+    rng = np.random.default_rng(1)
+    texts = [" ".join(str(x) for x in rng.integers(0, 10 ** 6, 30)).encode() for _ in range(6)] + [b"one two", b"ONE two", b"one two three"]
+    monkeypatch.setattr(jaccard, "shingle_places", lambda *a: (lambda d, h, at: (d, np.arange(len(h), dtype=np.uint64) - np.searchsorted(d, d).astype(np.uint64), at))(
+        *fingerprints_places(*a)))
+    sets = jaccard.Sets(texts)
+    assert sets.common(0, 1)[0] == 0 and sets.common(6, 7) == (1, 1) and sets.common(6, 8)[0] == 0 and sets.common(2, 2) == (26, 26)
+
+
+def fingerprints_places(*a):
+    from pricelens.llm.text import shingle_places
+    return shingle_places(*a)
+
+
+def test_packing_forgets_words_met_once(monkeypatch):
+    """A small table of known words gives the ids of a large one."""
+    rng = np.random.default_rng(3)
+    words = [f"w{x}é7" if x % 7 == 0 else f"word{x}," if x % 3 else f"x{x}-y" for x in range(400)]
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(60)] + ["", "7 7 7", "a7b 7", "\u0085 \xa0x", "Iİ 7́"]
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 150)
+    table = packing.WordTable(packing.TOKENIZER)
+    for c in chunks(pa.array(texts, pa.large_string()), 2000):
+        for i, ids in enumerate(table.encode(c)):
+            assert ids.tolist() == table.tok.encode(texts[c.lo + i], add_special_tokens=False).ids + [2]
+    assert len(table.index) < 400 and table.at.tolist() == (np.cumsum(table.size) - table.size).tolist()
