@@ -25,7 +25,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of :func:`written` that nothing will read again."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._scratch)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def release(df: DataFrame) -> None:
@@ -113,6 +122,7 @@ def copies(docs: DataFrame) -> DataFrame:
     """(doc_id) of the documents whose text a smaller doc_id has."""
     named = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("name"))
     least = named.groupBy("name").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+    least = written(least, "copied-texts")      # with both sides read, a text that very many have is split
     return named.join(least, "name").filter("doc_id > least").select("doc_id").distinct()
 
 
@@ -122,8 +132,9 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: each replaces a node's
     links by links to its least neighbour, until nothing changes.  The number
     of steps is logarithmic; a step is two shuffles of the links.  The least
-    neighbour is an aggregate joined back, so no neighbour list is gathered
-    and a node with very many links is split like any skewed join key.
+    neighbour is an aggregate that is written, then joined: no neighbour list is
+    gathered, and as both sides of the join are read, a node with very many links is
+    split like any skewed join key.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")) \
         .filter("u > v").distinct()
@@ -131,12 +142,14 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(e)
     while mark[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").filter("v > u and v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large.distinct(), "links")
+        discard(least, e)
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        discard(least, large)
         now = _mark(e)
         if now == mark:
             break

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, components, documents, mapped, packed, record, release, written
+from pricelens.llm.common import arrow_map, arrow_types, components, discard, documents, mapped, packed, record, release, written
 from pricelens.llm.text import Words, chunks, lower_ascii, mix, shingle_places, shingles, signed, unpack
 
 SHINGLE = 5
@@ -247,14 +247,15 @@ class Sets:
         return both, a.stop - a.start + b.stop - b.start - both
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole texts have the similarity, by their words.
+def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The written pairs (a, b) whose whole texts have the similarity, by their words.
 
-    Texts travel packed; some pairs at a time, with texts of ``VERIFY_BYTES``, or one pair of longer ones.
+    Only texts that pairs name travel, packed; some pairs at a time are compared, with texts
+    of ``VERIFY_BYTES``, or one pair of longer ones.
     """
     types = arrow_types("a long, b long")
-    need = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = texts.join(need, "doc_id", "left_semi")
+    need = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared")
+    texts = packed(docs.join(need, "doc_id", "left_semi"))
 
     def run(batches):
         for batch in batches:
@@ -280,7 +281,10 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb")), "b") \
         .join(texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za")), "a")
-    return mapped(both.select("a", "b", "za", "zb"), run, "a long, b long")
+    links = written(mapped(both.select("a", "b", "za", "zb"), run, "a long, b long"), "jaccard-links")
+    discard(need)
+    release(docs)
+    return links
 
 
 def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
@@ -288,9 +292,10 @@ def open_groups(groups: DataFrame, reps: DataFrame, found: DataFrame) -> DataFra
     components; the hub is not among them, for all have been held against it."""
     own = reps.select("doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-    member = groups.select(F.xxhash64("hub", "band").alias("key"), "doc_id").join(own, "doc_id")
+    member = written(groups.select(F.xxhash64("hub", "band").alias("key"), "doc_id").join(own, "doc_id"), "members")
     several = member.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("least"),
                                         F.max("component").alias("most")).filter("least < most").select("key", "size")
+    several = written(several, "open-groups")       # with both sides read, a group of very many is split
     return member.join(several, "key").join(reps.select("doc_id", "n", "bits"), "doc_id")
 
 
@@ -389,32 +394,36 @@ def _differing_rows(bits: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarr
 def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     docs = documents(docs)
-    sets = written(describe(docs), "shingle-sets").groupBy("doc_id").agg(
-        F.max(F.struct("n", "f1", "f2", "bits")).alias("s")).select("doc_id", "s.*")
-    sets = written(sets, "shingle-sets")
-    classes = sets.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
+    first = written(describe(docs), "shingle-sets")
+    sets = written(first.groupBy("doc_id").agg(F.max(F.struct("n", "f1", "f2", "bits")).alias("s"))
+                   .select("doc_id", "s.*"), "shingle-sets")
+    discard(first)
+    classes = written(sets.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "shingle-classes")
     of = written(sets.filter("n > 0").join(classes, ["f1", "f2", "n"]).select("doc_id", "rep", "n")
-                 .unionByName(sets.filter("n = 0").select("doc_id", F.col("doc_id").alias("rep"), "n")), "shingle-classes")
-    reps = written(sets.join(of.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi"), "sets-of-classes")
-    texts = packed(docs)
-
-    groups = written(shared(signatures(docs, percent)).select("hub", F.expr(f"sig & {BANDS - 1}").alias("band"), "doc_id")
+                 .unionByName(sets.filter("n = 0").select("doc_id", F.col("doc_id").alias("rep"), "n")), "classes-of-documents")
+    named = written(classes.select(F.col("rep").alias("doc_id")), "representatives")
+    reps = written(sets.join(named, "doc_id", "left_semi"), "sets-of-classes")
+    discard(sets, classes)
+
+    # Copies would sign alike, so of a class only the least document signs.
+    signing = docs.join(named, "doc_id", "left_semi")
+    groups = written(shared(signatures(signing, percent)).select("hub", F.expr(f"sig & {BANDS - 1}").alias("band"), "doc_id")
                      .distinct(), "shared-signatures")
     release(docs)
-    # Copies sign alike, so of a class only the least document is looked at.
     stars = groups.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     tested = written(possible(stars, reps, percent), "candidates")
-    links = written(verified(tested, texts, percent), "jaccard-links")
     release(docs)
+    links = verified(tested, docs, percent)
 
     # Those who share a hub and a band, and are of several components: everyone against the others.
     # First each against the one that fits most others, as the text does that all near copies of a group
     # were made from; that leaves few components, and few pairs across them.
     for every in (False, True):
         pairs = written(across(open_groups(groups, reps, components(links)), tested, percent, every), "candidates")
-        links = links.unionByName(written(verified(pairs, texts, percent), "jaccard-links"))
-        tested = tested.unionByName(pairs)
         release(docs)
+        links = links.unionByName(verified(pairs, docs, percent))
+        tested = tested.unionByName(pairs)
+    discard(reps, groups)
     found = components(links)
 
     out = of.join(found, of["rep"] == found["id"], "left")

@@ -43,7 +43,7 @@ def remove_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, text): the words that stay, joined by one space."""
     docs = documents(docs)
     found = anchors(docs)
-    twice = found.groupBy("h").count().filter("count > 1").select("h")
+    twice = written(found.groupBy("h").count().filter("count > 1").select("h"), "repeated-anchors")     # see below
     places = written(found.join(twice, "h").groupBy("doc_id").agg(F.collect_set("place").alias("places")), "anchors")
     later = written(copies(docs), "copies")
     texts = packed(docs)

@@ -86,7 +86,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     docs = documents(docs)
     found = cores(docs)
-    twice = found.groupBy("core").count().filter("count > 1").select("core")
+    # Aggregates are written before they are joined back: with both sides read, a hot string is split.
+    twice = written(found.groupBy("core").count().filter("count > 1").select("core"), "repeated-cores")
     left = found.join(twice, "core").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
     left = written(left, "anchors")
     later = written(copies(docs), "copies")
@@ -120,7 +121,7 @@ def rerank(rows: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame |
     done = written(done, "settled")
     if last:
         return done, None
-    mixed = firsts.groupBy("core").count().filter("count > 1").select("core")
+    mixed = written(firsts.groupBy("core").count().filter("count > 1").select("core"), "mixed-cores")
     edges = firsts.join(mixed, "core").select("first.*").groupBy("doc_id").agg(
         *[F.collect_list(c).alias(c + "s") for c in ("start", "stop", "anchor")])
     return done, written(edges, "edges")
