@@ -37,6 +37,12 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def broadcast_bytes(df: DataFrame) -> int:
+    """The session's bound for broadcast sides (10 MB unless set; 0 where it forbids them)."""
+    jvm = df.sparkSession._jsparkSession.sessionState().conf()
+    return max(0, jvm.autoBroadcastJoinThreshold())
+
+
 def release(df: DataFrame) -> None:
     """Lets Spark delete the shuffle files of jobs that are over.
 

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, components, discard, documents, mapped, packed, record, release, written
+from pricelens.llm.common import arrow_map, arrow_types, broadcast_bytes, components, discard, documents, mapped, packed, record, release, written
 from pricelens.llm.text import Words, chunks, lower_ascii, mix, shingle_places, shingles, signed, unpack
 
 SHINGLE = 5
@@ -92,6 +92,14 @@ def fold(m: np.ndarray, words: int) -> np.ndarray:
 
 # ---- sets ----------------------------------------------------------------------
 
+def set_hashes(h: np.ndarray, n: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each set; its n hashes lie together in ``h``."""
+    run = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(mix(h ^ np.uint64(seed)), out=run[1:])
+    ends = np.cumsum(n)
+    return mix(run[ends] - run[ends - n])
+
+
 def describe(docs: DataFrame) -> DataFrame:
     """One row per document: size, 128-bit set hash, parity bitmap."""
     def rows(batch):
@@ -99,10 +107,7 @@ def describe(docs: DataFrame) -> DataFrame:
             doc, h, n = chunk_shingles(c)
             out = {"doc_id": batch.column(0).slice(c.lo, len(c)), "n": n}
             for name, seed in (("f1", 0x1234567), ("f2", 0x89ABCDE)):
-                run = np.zeros(len(h) + 1, np.uint64)
-                np.cumsum(mix(h ^ np.uint64(seed)), out=run[1:])
-                ends = np.cumsum(n)
-                out[name] = signed(mix(run[ends] - run[ends - n]))
+                out[name] = signed(set_hashes(h, n, seed))
             width = bitmap_width(n)
             base = np.concatenate([[0], np.cumsum(width)])
             at = base[doc] + (h & (width[doc] - 1).astype(np.uint64)).astype(np.int64)
@@ -178,11 +183,17 @@ def _sign_in_band(doc, h, n, band, differ, which) -> tuple[np.ndarray, np.ndarra
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(sig, doc_id) of every document."""
+    """(sig, doc_id) of every document, but for one of a chunk that has the set of a lesser one there."""
     def rows(batch):
         ids = batch.column(0).to_numpy()
         for c in chunks(batch.column(1)):
-            doc, sig = sign(*chunk_shingles(c), percent)
+            doc, h, n = chunk_shingles(c)
+            total = set_hashes(h, n, 0x1234567)
+            order = np.lexsort((ids[c.lo:c.hi], n, total))
+            again = np.zeros(len(n), bool)
+            again[order[1:]] = (total[order[1:]] == total[order[:-1]]) & (n[order[1:]] == n[order[:-1]])
+            doc, h = doc[~again[doc]], h[~again[doc]]
+            doc, sig = sign(doc, h, np.where(again, 0, n), percent)
             yield {"sig": signed(sig), "doc_id": ids[c.lo + doc]}
     return arrow_map(docs, rows, "sig long, doc_id long")
 
@@ -255,7 +266,11 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """
     types = arrow_types("a long, b long")
     need = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared")
-    texts = packed(docs.join(need, "doc_id", "left_semi"))
+    # A few ids go to the texts; else packed texts and ids meet by doc_id.
+    if 8 * need.count() <= broadcast_bytes(docs):
+        texts = packed(docs.join(F.broadcast(need), "doc_id", "left_semi"))
+    else:
+        texts = packed(docs).join(need, "doc_id", "left_semi")
 
     def run(batches):
         for batch in batches:
@@ -405,9 +420,8 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     reps = written(sets.join(named, "doc_id", "left_semi"), "sets-of-classes")
     discard(sets, classes)
 
-    # Copies would sign alike, so of a class only the least document signs.
-    signing = docs.join(named, "doc_id", "left_semi")
-    groups = written(shared(signatures(signing, percent)).select("hub", F.expr(f"sig & {BANDS - 1}").alias("band"), "doc_id")
+    # Copies sign alike, so of a class only the least document is looked at.
+    groups = written(shared(signatures(docs, percent)).select("hub", F.expr(f"sig & {BANDS - 1}").alias("band"), "doc_id")
                      .distinct(), "shared-signatures")
     release(docs)
     stars = groups.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
