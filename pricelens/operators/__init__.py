@@ -15,6 +15,7 @@ from pricelens.operators.anomaly import (item_stats, with_stats, flag_low, anoma
                                          run_counts, top_flags, weekday_flags)
 from pricelens.operators.ingest import (catalog, watchlist, match_keywords, first_page,
                                         keyword_first_page)
-from pricelens.operators.joins import join_checked
+from pricelens.operators.joins import join_checked, join_split
+from pricelens.operators.moments import daily_moments, merged_stats, read_moments, refresh_moments
 
 __all__ = [n for n in dir() if not n.startswith("_")]

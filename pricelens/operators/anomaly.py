@@ -34,13 +34,13 @@ def item_stats(df: DataFrame, key: str = "item_name", value: str = "price") -> D
 
 
 def with_stats(df: DataFrame, key: str = "item_name", value: str = "price",
-               max_broadcast_rows: int | None = None) -> DataFrame:
+               max_broadcast_bytes: int | None = None) -> DataFrame:
     """Join every row back to its own item's statistics.
 
     The statistics (one row per item) are checked in size: a bounded item
     set is broadcast, so the log is never shuffled; an unbounded one is
-    joined by AQE with skew splitting."""
-    return join_checked(df, item_stats(df, key, value), key, "inner", max_broadcast_rows)
+    joined with its hot items split by counts."""
+    return join_checked(df, item_stats(df, key, value), key, "inner", max_broadcast_bytes)
 
 
 def flag_low(df: DataFrame, k: float = 2.0, value: str = "price") -> DataFrame:

@@ -3,6 +3,8 @@ C05, F05) — the collector's row logic as Spark jobs."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,43 +88,51 @@ def watchlist(spark: SparkSession) -> DataFrame:
     return kws.join(F.broadcast(codes), "category", "inner")
 
 
-def _substrings(names: DataFrame, name_col: str, max_len: int) -> DataFrame:
-    """Every substring of each name of at most ``max_len`` characters, as
-    rows (``_s`` = 1-based start, ``_sub`` = the substring)."""
-    n = F.length(F.col(name_col))
-    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    return (names.withColumn("_s", F.explode(starts))
-                 .withColumn("_l", F.explode(F.sequence(
-                     F.lit(1), F.greatest(F.least(n - F.col("_s") + 1, F.lit(max_len)), F.lit(1)))))
-                 .withColumn("_sub", F.substring(F.col(name_col), F.col("_s"), F.col("_l")))
-                 .drop("_l"))
+#: Length of the indexed substrings.
+GRAM = 3
+
+
+def _grams(df: DataFrame, col: str, size: int) -> DataFrame:
+    """``df`` with ``gram``: the distinct substrings of ``size`` characters of a column, a row each."""
+    n = F.length(F.col(col))
+    starts = F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1)))
+    grams = F.array_distinct(F.transform(starts, lambda s: F.substring(F.col(col), s, F.lit(size))))
+    return df.filter(n >= size).withColumn("gram", F.explode(grams))
 
 
-def match_keywords(catalog_df: DataFrame, watch: DataFrame, prefix_len: int = 16,
-                   category_col: str = "category", name_col: str = "item_name",
-                   keyword_col: str = "keyword") -> DataFrame:
+def match_keywords(catalog_df: DataFrame, watch: DataFrame, category_col: str = "category",
+                   name_col: str = "item_name", keyword_col: str = "keyword") -> DataFrame:
     """Keyword search within a category (C05): a keyword selects every
-    catalogue name that *contains* it.
+    catalogue name that *contains* it.  Returns distinct (category, keyword, item_name).
 
     A substring test is a theta join; rather than pairing every name with
-    every keyword of its category, each (short) item name is expanded into
-    its substrings of at most ``prefix_len`` characters and the match is an
-    equi-join on (category, substring = keyword prefix), where the prefix is
-    the keyword itself when it is short.  A longer keyword meets only the
-    positions where its prefix occurs and is then verified in full at that
-    position, so the match is exact for keywords of any length.  Returns
-    distinct (category, keyword, item_name).
+    every keyword of its category, names are searched through an inverted
+    index of their substrings of ``GRAM`` characters.  Only the grams that occur in
+    keywords are indexed and counted; of a keyword's grams the one with the
+    fewest names is its key (any name that contains the keyword has them all), so
+    common grams are never joined, and the few candidates are verified in full.
+    Shorter keywords are grams themselves: those of one or two characters join the
+    names' distinct substrings of that length, and the empty one, which every
+    name contains, joins on the category alone.  No length is cut off.
     """
     names = catalog_df.select(F.col(category_col).alias("category"),
-                              F.col(name_col).alias("item_name")).distinct()
-    subs = _substrings(names, "item_name", prefix_len)
-    kw = (watch.select(F.col(category_col).alias("category"),
-                       F.col(keyword_col).alias("keyword")).distinct()
-               .filter(F.length("keyword") > 0)
-               .withColumn("_key", F.substring("keyword", 1, prefix_len)))
-    j = subs.join(kw, (subs["category"] == kw["category"]) & (subs["_sub"] == kw["_key"]))
-    full = F.substring(subs["item_name"], subs["_s"], F.length(kw["keyword"])) == kw["keyword"]
-    return j.filter(full).select(subs["category"], kw["keyword"], subs["item_name"]).distinct()
+                              F.col(name_col).alias("item_name")).filter("item_name is not null").distinct()
+    kw = watch.select(F.col(category_col).alias("category"),
+                      F.col(keyword_col).alias("keyword")).filter("keyword is not null").distinct()
+    key = ["category", "gram"]
+    wanted = _grams(kw, "keyword", GRAM)
+    postings = join_checked(_grams(names, "item_name", GRAM), wanted.select(key).distinct(), key, "left_semi")
+    held = postings.groupBy(*key).agg(F.count(F.lit(1)).alias("names"))
+    # A gram that no name has is the rarest: its keyword finds nothing.
+    rarest = (wanted.join(held, key, "left").groupBy("category", "keyword")
+              .agg(F.min(F.struct(F.coalesce("names", F.lit(0)).alias("names"), "gram")).alias("least"))
+              .filter("least.names > 0").select("category", "keyword", F.col("least.gram").alias("gram")))
+    found = [join_checked(postings, rarest, key).filter(F.contains("item_name", "keyword"))]
+    for size in range(1, GRAM):
+        short = kw.filter(F.length("keyword") == size).withColumn("gram", F.col("keyword"))
+        found.append(join_checked(_grams(names, "item_name", size), short, key))
+    found.append(join_checked(names, kw.filter("keyword = ''"), "category"))
+    return reduce(DataFrame.unionByName, [f.select("category", "keyword", "item_name") for f in found])
 
 
 def first_page(listings: DataFrame, page_size: int, key_cols: list[str],

@@ -14,7 +14,7 @@ Price logs derived from the tables (all whole tables, no sampling):
   ingredient = part, quantity = size; every part) priced against monthly
   snapshots of lineitem.
 
-Every function returns a lazy DataFrame; ``QUERIES`` maps each registered
+Every function returns a DataFrame (side tables may have been written for it); ``QUERIES`` maps each registered
 query name to ``(spark, sf_dir) -> DataFrame``.
 """
 
@@ -34,14 +34,14 @@ from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, c
                                  reset_effect, route_cost, run_counts, top_anomalies,
                                  top_discount, top_flags, weekday_delta, weekday_flags,
                                  weekday_matrix, weekday_share, weekday_trend, with_min_cost,
-                                 with_stats, join_checked, keyword_first_page)
+                                 with_stats, keyword_first_page, read_moments, refresh_moments, merged_stats)
 from pricelens.functions import fixed
 from pricelens.functions import formats as fmt
-from pricelens.plans.jobs import DAILY_TREND_SQL, _sql_list
+from pricelens.plans.jobs import CRAFT_PROFIT_SQL, DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
-from pricelens.sources import (flatten_response, load_date, read_landing, read_log,
-                               read_raw, read_recipe, register_tables, write_landing,
-                               write_parquet, write_runs)
+from pricelens.sources import (compact, flatten_response, load_date, quarantine, read_landing, read_log,
+                               read_published, read_raw, read_recipe, register_tables, stamp_run,
+                               write_landing, write_parquet, write_runs)
 from pricelens.streaming import stream_clean
 from pricelens import schemas
 
@@ -58,6 +58,9 @@ TOP_N = 20
 FLAG_TOP_N = 10
 PAGE_SIZE = 10
 RESET_DOW = 4
+RUN_TIME = "2026-05-19T15:00:00"
+PRODUCT_TYPE, ECONOMY_TYPE = "PROMO", "ECONOMY"
+PRODUCT_BRANDS = ["Brand#11", "Brand#23", "Brand#45"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -399,8 +402,7 @@ def q_load_date(spark, sf_dir):
     load_date(spark, root, out)
     load_date(spark, again, out, dates)
     load_date(spark, again, out, dates)   # idempotent: the re-run replaces, not appends
-    full = _LOG_WITH_DATE
-    return spark.read.schema(full).parquet(out)
+    return read_published(spark, out, _LOG_WITH_DATE)
 
 
 def q_parquet_roundtrip(spark, sf_dir):
@@ -438,11 +440,78 @@ def q_log_scan(spark, sf_dir):
 
 
 def q_stream_clean(spark, sf_dir):
+    """The landed events in several micro-batches, each published once, then compacted."""
     root = _landed(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    stream_clean(spark, root, out, ckpt, multi_line=False)
-    full = _LOG_WITH_DATE
-    return spark.read.schema(full).parquet(out)
+    stream_clean(spark, root, out, ckpt, multi_line=False, max_files_per_trigger=400)
+    compact(spark, out, _LOG_WITH_DATE)
+    return read_published(spark, out, _LOG_WITH_DATE)
+
+
+def q_stream_arrays(spark, sf_dir):
+    """I01 over the collector's own files: one JSON array a file."""
+    root, out, ckpt = (scratch_path(spark, n) for n in ("runs", "stream-out", "stream-ckpt"))
+    write_runs(events_raw(spark, sf_dir), root)
+    stream_clean(spark, root, out, ckpt, multi_line=True)
+    return read_published(spark, out, _LOG_WITH_DATE)
+
+
+def q_bad_files(spark, sf_dir):
+    """Landed JSON lines of which those of errors are cut off; bad records by landing date."""
+    ev = table(spark, sf_dir, "events")
+    line = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("collected_at"),
+                              F.col("event_type").alias("category"), F.col("user_id").cast("string").alias("item_name"),
+                              F.col("value").cast("string").alias("price")))
+    lines = ev.select(F.date_format("ts", "yyyy-MM-dd").alias("date"),
+                      F.when(F.col("event_type") == "error", F.substring(line, 1, 30)).otherwise(line).alias("value"))
+    root = scratch_path(spark, "landing")
+    lines.hint("rebalance", "date").write.partitionBy("date").text(root)
+    _, counts = quarantine(spark, root, scratch_path(spark, "quarantine"))
+    day = F.regexp_extract("file", "date=([^/]+)/", 1)
+    return counts.groupBy(day.alias("date")).agg(F.sum("n_bad").alias("n_bad"))
+
+
+def q_stamped_run(spark, sf_dir):
+    """Flattened listings stamped with one run time, landed with their category and read back."""
+    flat = q_flatten_response(spark, sf_dir)
+    run = stamp_run(flat.withColumn("category", F.concat(F.lit("page "), F.col("page_no").cast("string"))), RUN_TIME)
+    root = scratch_path(spark, "landing")
+    write_landing(run.select("collected_at", "category", F.col("item_name").cast("string").alias("item_name"), "grade",
+                             F.col("price").cast("string").alias("price"), "quantity", "end_date"), root)
+    return read_landing(spark, root)
+
+
+def q_product_filter(spark, sf_dir):
+    """The products' market rows, category equal and item in a list, from a log in a table."""
+    out = scratch_path(spark, "log-filter")
+    write_parquet(lineitem_log(spark, sf_dir), out)
+    log = read_log(spark, out)
+    both = market_prices(log, PRODUCT_TYPE, PRODUCT_BRANDS)
+    one = market_prices(log, ECONOMY_TYPE)
+    return both.withColumn("filter", F.lit("products")).unionByName(one.withColumn("filter", F.lit("category")))
+
+
+def q_profit_by_weekday_sql(spark, sf_dir):
+    """Q2 as SQL over the registered craft_profit table."""
+    out = scratch_path(spark, "craft-profit")
+    write_parquet(_craft_profit(spark, sf_dir), out)
+    name = "craft_profit_" + uuid.uuid4().hex[:12]
+    register_tables(spark, {name: out})
+    return spark.sql(CRAFT_PROFIT_SQL.format(table=name))
+
+
+def q_incremental_stats(spark, sf_dir):
+    """D05, D09, D10 by refresh: moments of all dates, of which the last two had wrong prices;
+    these two are read again and published, and the items' statistics merge all dates."""
+    log = events_log(spark, sf_dir).withColumn("date", F.date_format("collected_at", "yyyy-MM-dd"))
+    last = [r[0] for r in log.select("date").distinct().orderBy(F.desc("date")).limit(2).collect()]
+    path = scratch_path(spark, "moments")
+    wrong = F.when(F.col("date").isin(last), F.col("price") * 3 + 1).otherwise(F.col("price"))
+    refresh_moments(log.withColumn("price", wrong), path, None)
+    refresh_moments(log, path, last)
+    s = merged_stats(read_moments(spark, path, log.schema["item_name"].dataType))
+    return s.select("item_name", "n", F.round("avg", 6).alias("avg_price"), F.round("std", 2).alias("std_price"),
+                    F.round("r", 4).alias("r"))
 
 
 def q_flatten_response(spark, sf_dir):
@@ -526,6 +595,10 @@ QUERIES = {
     "recipe_csv": q_recipe_csv,
     "log_scan": q_log_scan,
     "stream_clean": q_stream_clean,
+    "stream_arrays": q_stream_arrays,
+    "bad_files": q_bad_files,
+    "stamped_run": q_stamped_run,
+    "product_filter": q_product_filter,
     "catalog": q_catalog,
     "watchlist_match": q_watchlist_match,
     "first_page": q_first_page,
@@ -545,10 +618,12 @@ QUERIES = {
     "route_min_cost": q_route_min_cost,
     "craft_profit": q_craft_profit,
     "profit_by_weekday": q_profit_by_weekday,
+    "profit_by_weekday_sql": q_profit_by_weekday_sql,
     "profit_matrix": q_profit_matrix,
     # Q3 correlation
     "category_corr": q_category_corr,
     "item_corr": q_item_corr,
+    "incremental_stats": q_incremental_stats,
     "corr_extremes": q_corr_extremes,
     "corr_ranked": q_corr_ranked,
     "distinct_items": q_distinct_items,

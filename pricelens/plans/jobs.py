@@ -9,12 +9,12 @@ at the written tables and a lost executor only recomputes from there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelens import schemas
-from pricelens.functions import DAY_LABELS, day_label
+from pricelens.functions import DAY_LABELS, day_label, share_pct
 from pricelens.functions import formats as fmt
 from pricelens.operators import (anomaly_by_weekday, anomaly_summary, clean, corr_by,
                                  corr_extremes, category_weekday_avg, cost_lines,
@@ -25,7 +25,8 @@ from pricelens.operators.ingest import (ANOMALY_CATEGORY, CORR_CATEGORIES,
                                         MATERIAL_CATEGORIES, PRODUCT_CATEGORY, PRODUCTS,
                                         TREND_CATEGORIES)
 from pricelens.sources import read_log, read_raw, read_recipe, write_parquet, write_report
-from pricelens.sources.tables import overwrite_dates
+from pricelens.sources.published import is_published, publish_dates, read_published
+from pricelens.sources.tables import write_counted
 
 def day_label_sql(col: str) -> str:
     """SQL CASE mapping 1..7 to the fixed weekday labels (NULL otherwise)."""
@@ -66,12 +67,12 @@ def prepare(spark: SparkSession, raw_path: str, recipe_path: str, out: str,
     """Raw JSON → ``out/auction_log`` (partitioned by date) and
     ``out/craft_profit``.  Returns the written paths and row counts (D13).
 
-    The cost chain reads the *written* log back, so lineage is cut there and
-    the counts come from Parquet footers instead of recomputing from JSON."""
+    The cost chain reads the *written* log back, so lineage is cut there; the
+    writes count their rows themselves."""
     log = clean(read_raw(spark, raw_path)).withColumn(
         "date", F.date_format("collected_at", "yyyy-MM-dd"))
     log_path, profit_path = f"{out}/auction_log", f"{out}/craft_profit"
-    write_parquet(log, log_path, partition_by=["date"])
+    log_rows = write_counted(log, log_path, partition_by=["date"])["n"]
     saved = spark.read.parquet(log_path)
     recipe = read_recipe(spark, recipe_path)
     mats = material_prices(saved, MATERIAL_CATEGORIES)
@@ -81,10 +82,9 @@ def prepare(spark: SparkSession, raw_path: str, recipe_path: str, out: str,
     # partitioned by collection date, like the log, so prepare_dates can
     # later overwrite single dates in place
     profit = profit_rows(market, best).withColumn("date", F.date_format("collected_at", "yyyy-MM-dd"))
-    write_parquet(profit, profit_path, partition_by=["date"])
+    profit_rows_written = write_counted(profit, profit_path, partition_by=["date"])["n"]
     return {"auction_log": log_path, "craft_profit": profit_path,
-            "auction_log_rows": saved.count(),
-            "craft_profit_rows": spark.read.parquet(profit_path).count()}
+            "auction_log_rows": log_rows, "craft_profit_rows": profit_rows_written}
 
 
 def prepare_dates(spark: SparkSession, log_path: str, recipe_path: str, profit_out: str,
@@ -94,33 +94,34 @@ def prepare_dates(spark: SparkSession, log_path: str, recipe_path: str, profit_o
 
     A snapshot's route costs and profit rows depend only on that snapshot's
     listings, so reading the log's ``date`` partitions for ``dates`` (pruned
-    at the file listing) and overwriting exactly those partitions of
-    ``profit_out`` (those that get no row are removed) gives the same rows as
+    at the file listing) and publishing exactly those dates of
+    ``profit_out`` in one commit (those that get no row become empty) gives the same rows as
     a full recomputation, at the cost of the new data only.  Pair it with the
     streaming ingest, which appends new dates to the log.
     """
     # The schema is given, as a log whose dates were all emptied has no file to read it from.
     schema = T.StructType(list(schemas.AUCTION_LOG.fields) + [T.StructField("date", T.StringType())])
-    log = spark.read.schema(schema).parquet(log_path).filter(F.col("date").isin(list(dates)))
+    log = read_published(spark, log_path, schema, dates) if is_published(spark, log_path) \
+        else spark.read.schema(schema).parquet(log_path).filter(F.col("date").isin(list(dates)))
     recipe = read_recipe(spark, recipe_path)
     lines = cost_lines(recipe, material_prices(log, MATERIAL_CATEGORIES), collapse=collapse)
     best = cheapest_route(route_cost(lines, recipe, require_complete=require_complete))
     profit = profit_rows(market_prices(log, PRODUCT_CATEGORY, PRODUCTS), best) \
         .withColumn("date", F.date_format("collected_at", "yyyy-MM-dd"))
-    overwrite_dates(profit, profit_out, list(dates))
+    publish_dates(profit, profit_out, list(dates))
 
 
 def daily_trend(spark: SparkSession, log_path: str,
                 categories: list[str] = TREND_CATEGORIES) -> DataFrame:
     """Q1 through ``spark.sql`` over the log registered as a view."""
-    spark.read.parquet(log_path).createOrReplaceTempView("auction_log")
+    read_log(spark, log_path).createOrReplaceTempView("auction_log")
     return spark.sql(DAILY_TREND_SQL.format(table="auction_log",
                                             categories=_sql_list(categories)))
 
 
 def craft_profit_by_weekday(spark: SparkSession, profit_path: str) -> DataFrame:
     """Q2 through ``spark.sql`` over the craft_profit table."""
-    spark.read.parquet(profit_path).createOrReplaceTempView("craft_profit")
+    read_log(spark, profit_path).createOrReplaceTempView("craft_profit")
     return spark.sql(CRAFT_PROFIT_SQL.format(table="craft_profit"))
 
 
@@ -141,16 +142,22 @@ def correlation(spark: SparkSession, log_path: str,
 def anomaly(spark: SparkSession, log_path: str, category: str = ANOMALY_CATEGORY,
             k: float = 2.0, top_n: int = 20, out: str | None = None) -> dict[str, DataFrame]:
     """Q4: outliers below avg − k·sd per item, summaries, and (with ``out``)
-    the anomaly rows written as Parquet.  The flagged set is persisted once
-    so the summaries and the write do not recompute the scan and join."""
+    the anomaly rows written as Parquet.  That write counts all rows and the
+    flagged ones as they pass, and the summaries read what it wrote, so the
+    log is scanned and joined once; without ``out`` each result scans it."""
     df = read_log(spark, log_path, [category])
     flagged = flag_low(with_stats(df), k)
-    a = anomalies(flagged)
+    a, counts = anomalies(flagged), None
     if out is not None:
-        write_parquet(a, out)
+        seen = Observation()
+        write_parquet(anomalies(flagged.observe(seen, F.count(F.lit(1)).alias("total_rows"),
+                                                F.count_if("is_anomaly").alias("anomaly_rows"))), out)
+        got = seen.get
+        counts = spark.createDataFrame([(got["total_rows"], got["anomaly_rows"])], "total_rows long, anomaly_rows long") \
+            .withColumn("anomaly_pct", share_pct("anomaly_rows", "total_rows", 2))
         a = spark.read.parquet(out)
     summary = anomaly_summary(a)
-    return {"counts": run_counts(flagged), "anomalies": a,
+    return {"counts": run_counts(flagged) if counts is None else counts, "anomalies": a,
             "top": top_anomalies(summary, top_n),
             "by_weekday": anomaly_by_weekday(a).withColumn(
                 "day_label", day_label("day_of_week", "?"))}

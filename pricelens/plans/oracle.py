@@ -146,7 +146,7 @@ rc_complete AS (
   WHERE p.n_present = n.n_needed)"""
 
 CORR = """
-  SELECT {key}, round(r, 4) + 0.0 AS r, n,
+  SELECT {key}, round(r, 4) + 0.0 AS r, n, r AS r_raw,
          CASE WHEN r IS NULL THEN NULL WHEN r > 0 THEN '양(+)' ELSE '음(-)' END AS direction,
          CASE WHEN r IS NULL THEN NULL WHEN abs(r) > 0.3 THEN '강' WHEN abs(r) > 0.1 THEN '중'
               ELSE '약' END AS strength
@@ -209,6 +209,18 @@ WHERE o_orderstatus <> 'P'""",
     "parquet_roundtrip": CLEAN_EV_DATED,
     "table_scan": f"WITH {EV}" + TREND.format(src="ev", cats=_lst(d.EVENT_TREND_TYPES)),
     "stream_clean": CLEAN_EV_DATED,
+    "stream_arrays": CLEAN_EV_DATED,
+    "bad_files": """SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_bad FROM events
+WHERE event_type = 'error' GROUP BY 1""",
+    "stamped_run": f"""SELECT '{d.RUN_TIME}' AS collected_at, 'page ' || page_no AS category,
+       CAST(item_name AS VARCHAR) AS item_name, grade, CAST(price AS VARCHAR) AS price, quantity, end_date,
+       '{d.RUN_TIME[:10]}' AS date, '{d.RUN_TIME[11:13]}' AS hour FROM ({{flat}})""",
+    "product_filter": f"""WITH {LP}
+SELECT collected_at, item_name AS result_item, price AS market_price, day_of_week, 'products' AS filter FROM lp
+WHERE category = '{d.PRODUCT_TYPE}' AND item_name IN ({_lst(d.PRODUCT_BRANDS)})
+UNION ALL
+SELECT collected_at, item_name AS result_item, price AS market_price, day_of_week, 'category' AS filter FROM lp
+WHERE category = '{d.ECONOMY_TYPE}'""",
     "recipe_csv": f"""
 SELECT p_brand AS result_item, CAST(p_partkey AS VARCHAR) AS material_name, p_size AS quantity,
        CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) * {d.FEE_PER_BRAND_NO} AS craft_fee,
@@ -280,19 +292,25 @@ FROM profit GROUP BY result_item, day_of_week, route""",
                      + ", ".join(f"round(avg(CASE WHEN day_of_week = {i} THEN profit END), 0) + 0.0 AS d{i}"
                                  for i in range(1, 8))
                      + " FROM profit GROUP BY result_item",
-    "category_corr": f"WITH {EV}" + CORR.format(key="category", having=""),
-    "item_corr": f"WITH {EV}, {ITEM_CORR} SELECT * FROM ic",
+    "category_corr": f"WITH {EV}, cc AS (" + CORR.format(key="category", having="") + ") SELECT * EXCLUDE (r_raw) FROM cc",
+    "item_corr": f"WITH {EV}, {ITEM_CORR} SELECT * EXCLUDE (r_raw) FROM ic",
+    "incremental_stats": f"""WITH {EV}
+SELECT item_name, n, round(avg_price, 6) AS avg_price, round(std_price, 2) AS std_price, round(r, 4) + 0.0 AS r
+FROM (SELECT item_name, count(*) AS n, avg(price) AS avg_price, stddev_samp(price) AS std_price,
+             covar_pop(CAST(day_of_week AS DOUBLE), CAST(price AS DOUBLE))
+               / NULLIF(stddev_pop(CAST(day_of_week AS DOUBLE)) * stddev_pop(CAST(price AS DOUBLE)), 0) AS r
+      FROM ev GROUP BY item_name)""",
     "corr_extremes": f"""WITH {EV}, {ITEM_CORR}, b AS (SELECT * FROM ic WHERE r IS NOT NULL)
-SELECT 'strong' AS list, CAST(row_number() OVER (ORDER BY abs(r) DESC, item_name) AS INTEGER) AS pos,
+SELECT 'strong' AS list, CAST(row_number() OVER (ORDER BY abs(r_raw) DESC, item_name) AS INTEGER) AS pos,
        item_name, r, n, direction
-FROM (SELECT * FROM b ORDER BY abs(r) DESC, item_name LIMIT {d.EXTREMES_K})
+FROM (SELECT * FROM b ORDER BY abs(r_raw) DESC, item_name LIMIT {d.EXTREMES_K})
 UNION ALL
-SELECT 'weak' AS list, CAST(row_number() OVER (ORDER BY abs(r) DESC, item_name) AS INTEGER) AS pos,
+SELECT 'weak' AS list, CAST(row_number() OVER (ORDER BY abs(r_raw) DESC, item_name) AS INTEGER) AS pos,
        item_name, r, n, direction
-FROM (SELECT * FROM b ORDER BY abs(r), item_name DESC LIMIT {d.EXTREMES_K})""",
+FROM (SELECT * FROM b ORDER BY abs(r_raw), item_name DESC LIMIT {d.EXTREMES_K})""",
     "corr_ranked": f"""WITH {EV}, {ITEM_CORR}
-SELECT item_name, r, n, CASE WHEN r > 0 THEN 'positive' ELSE 'negative' END AS sign,
-       abs(r) > 0.3 AS is_strong
+SELECT item_name, r, n, CASE WHEN r_raw > 0 THEN 'positive' ELSE 'negative' END AS sign,
+       abs(r_raw) > 0.3 AS is_strong
 FROM ic WHERE r IS NOT NULL""",
     "distinct_items": f"WITH {EV} SELECT DISTINCT item_name FROM ev",
     "low_outliers": f"WITH {PP}, {FLAGGED}" + OUTLIER_ROWS,
@@ -334,4 +352,6 @@ SELECT item_name,
 FROM sm""",
 }
 
-SQL["defaults"] = SQL["defaults"].format(flat=SQL["flatten_response"])
+for _name in ("defaults", "stamped_run"):
+    SQL[_name] = SQL[_name].format(flat=SQL["flatten_response"])
+SQL["profit_by_weekday_sql"] = SQL["profit_by_weekday"]

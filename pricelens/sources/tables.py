@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,13 +16,18 @@ def read_recipe(spark: SparkSession, path: str,
 
 
 def read_log(spark: SparkSession, path: str, categories: list[str] | None = None,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Parquet price log, filtered by category and projected.
 
     Both the filter and the projection reach the Parquet scan
-    (``PushedFilters: [In(category, …)]`` and a pruned ``ReadSchema``).
+    (``PushedFilters: [In(category, …)]`` and a pruned ``ReadSchema``).  Of a
+    published log only the live folders are read.
     """
-    df = spark.read.parquet(path)
+    from pricelens.sources.published import is_published, read_published
+    if is_published(spark, path):
+        df = read_published(spark, path, schema)
+    else:
+        df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     if categories is not None:
         df = df.filter(F.col("category").isin(list(categories)))
     if columns is not None:
@@ -56,44 +61,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
-def _date_files(spark: SparkSession, path: str, by: str, dates: list[str] | None = None) -> dict[str, set[str]]:
-    """File names in each ``by`` folder under ``path``, from the listing only."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if dates is None:
-        found = fs.listStatus(root) if fs.exists(root) else []
-        dates = [f.getPath().getName()[len(by) + 1:] for f in found if f.getPath().getName().startswith(f"{by}=")]
-    out = {}
-    for d in dates:
-        folder = hadoop.Path(root, f"{by}={d}")
-        if fs.exists(folder):
-            out[d] = {f.getPath().getName() for f in fs.listStatus(folder)}
-    return out
-
-
-def overwrite_dates(df: DataFrame, path: str, dates: list[str], by: str = "date") -> None:
-    """Make the ``dates`` partitions of the log at ``path`` hold the rows of ``df``.
-
-    Dynamic partition overwrite replaces the partitions that get a row.  One
-    that gets none still has the files it had before (each write names its
-    files anew), and is removed.  Other partitions stay.
+def write_counted(df: DataFrame, path: str, partition_by: list[str] | None = None, **metrics: Column) -> dict:
+    """:func:`write_parquet` that returns the rows it wrote as ``n``, and further aggregates.
+
+    They are observed after the shuffle of the write, in the tasks that write the
+    files, so nothing is read a second time and a map task that runs again counts once.
     """
-    spark = df.sparkSession
-    before = _date_files(spark, path, by, dates)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_parquet(df, path, partition_by=[by])
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for d, files in _date_files(spark, path, by, list(before)).items():
-        if files & before[d] or not files:
-            fs.delete(hadoop.Path(root, f"{by}={d}"), True)
-    spark.catalog.refreshByPath(path)
+    seen = Observation()
+    if partition_by:
+        df = balanced_for_write(df, partition_by)
+    df = df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in metrics.items()])
+    write_parquet(df, path, partition_by=partition_by, balance=False)
+    return seen.get
 
 
 def register_tables(spark: SparkSession, locations: dict[str, str],

@@ -48,11 +48,27 @@ def test_match_keywords_long_keywords_exact(spark):
     kws = [("c", "두툼한 생고기 특상"), ("c", "x" * 30), ("c", "두툼한"), ("c", "y" + "x" * 25)]
     cat = spark.createDataFrame(names, "category string, item_name string")
     kw = spark.createDataFrame(kws, "category string, keyword string")
-    got = sorted(tuple(r) for r in match_keywords(cat, kw, prefix_len=4).collect())
+    got = sorted(tuple(r) for r in match_keywords(cat, kw).collect())
     exp = sorted({(c, k, n) for c, k in kws for c2, n in names if c == c2 and k in n})
     assert got == exp
 
 
+def test_match_keywords_of_every_length(spark):
+    """Empty, one, two, three characters and more; NULLs, repeats, absent grams, code points beyond the BMP."""
+    import random
+    rnd = random.Random(5)
+    letters = "ab가😀 %_"
+    names = [(rnd.choice("cd"), "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 9)))) for _ in range(80)] + [("c", None), (None, "ab")]
+    kws = [(rnd.choice("cd"), "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 5)))) for _ in range(120)]
+    kws += [("c", ""), ("d", ""), ("e", ""), ("c", None), (None, "a"), ("c", "zzz"), ("c", "ab") , ("c", "ab")]
+    cat = spark.createDataFrame(names, "category string, item_name string")
+    kw = spark.createDataFrame(kws, "category string, keyword string")
+    got = sorted(tuple(r) for r in match_keywords(cat, kw).collect())
+    exp = sorted({(c, k, n) for c, k in kws for c2, n in names if c and c == c2 and k is not None and n is not None and k in n})
+    assert got == exp and any(k == "" for _, k, _ in got)
+    assert match_keywords(cat.limit(0), kw).count() == 0 and match_keywords(cat, kw.limit(0)).count() == 0
+
+
 def test_keyword_first_page_brute_force(spark):
     import random
     from pricelens.operators import keyword_first_page

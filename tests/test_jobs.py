@@ -7,6 +7,7 @@ import os
 import pytest
 
 from pricelens.plans import jobs
+from pricelens.sources import read_log
 
 TS = "2026-05-19T15:37:56"
 # fixed values: sample listings (category, keyword, price)
@@ -133,7 +134,7 @@ def test_prepare_dates_matches_full_recompute(spark, landed, tmp):
     jobs.prepare_dates(spark, full["auction_log"], f"{landed}/recipe.csv", inc, ["2026-05-20"])
     cols = ["result_item", "collected_at", "market_price", "craft_cost", "route", "profit"]
     a = sorted(tuple(r) for r in spark.read.parquet(full["craft_profit"]).select(*cols).collect())
-    b = sorted(tuple(r) for r in spark.read.parquet(inc).select(*cols).collect())
+    b = sorted(tuple(r) for r in read_log(spark, inc).select(*cols).collect())
     assert a == b and len(a) == 6
 
 
@@ -141,14 +142,15 @@ def test_refresh_in_place_after_prepare(spark, landed):
     from pricelens.plans.cli import run
     out = f"{landed}/inplace"
     run(spark, "prepare", f"{landed}/raw/*/*/*.json", f"{landed}/recipe.csv", out, None)
-    before = sorted(tuple(r) for r in spark.read.parquet(f"{out}/craft_profit").collect())
+    before = sorted(tuple(r) for r in read_log(spark, f"{out}/craft_profit").collect())
     run(spark, "refresh", None, f"{landed}/recipe.csv", out, None, dates=["2026-05-19"])
-    after = sorted(tuple(r) for r in spark.read.parquet(f"{out}/craft_profit").collect())
+    after = sorted(tuple(r) for r in read_log(spark, f"{out}/craft_profit").collect())
     assert before == after and len(after) == 3
 
 
 def test_prepare_dates_empties_a_date(spark, landed, tmp):
     from pricelens.sources import load_date, write_landing
+    from pricelens.sources.published import live_folders
     from pricelens import schemas
     out = jobs.prepare(spark, f"{landed}/raw/*/*/*.json", f"{landed}/recipe.csv", f"{tmp}/out")
     profit = out["craft_profit"]
@@ -157,4 +159,4 @@ def test_prepare_dates_empties_a_date(spark, landed, tmp):
     write_landing(fixed, f"{tmp}/land")
     load_date(spark, f"{tmp}/land", out["auction_log"], ["2026-05-19"])
     jobs.prepare_dates(spark, out["auction_log"], f"{landed}/recipe.csv", profit, ["2026-05-19"])
-    assert not [d for d in os.listdir(profit) if d.startswith("date=")]
+    assert live_folders(spark, profit) == {}

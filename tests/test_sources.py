@@ -5,12 +5,15 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelens import schemas
-from pricelens.sources import (flatten_response, load_date, read_landing, read_raw,
+from pricelens.sources import (flatten_response, load_date, read_landing, read_log, read_raw,
                                read_recipe, register_tables, stamp_run, write_landing,
                                write_parquet, write_report)
 
+LOG = T.StructType([*schemas.AUCTION_LOG.fields, T.StructField("date", T.StringType())])
+
 
 def test_flatten_response_cases(spark):
     resp = [
@@ -91,7 +94,7 @@ def test_load_date_idempotent_and_missing(spark, tmp):
     load_date(spark, f"{tmp}/land", f"{tmp}/log", ["2026-05-19"])
     load_date(spark, f"{tmp}/land", f"{tmp}/log", ["2026-05-19"])       # re-run replaces
     load_date(spark, f"{tmp}/land", f"{tmp}/log", ["2026-05-20"])
-    got = sorted((r.item_name, str(r.date)) for r in spark.read.parquet(f"{tmp}/log").collect())
+    got = sorted((r.item_name, str(r.date)) for r in read_log(spark, f"{tmp}/log", schema=LOG).collect())
     assert got == [("a", "2026-05-19"), ("b", "2026-05-20")]
     with pytest.raises(FileNotFoundError):
         load_date(spark, f"{tmp}/land", f"{tmp}/log", ["2030-01-01"])
@@ -107,7 +110,7 @@ def test_load_date_empties_a_date(spark, tmp):
     write_landing(spark.createDataFrame(fixed[:2], schemas.RAW_AUCTION), f"{tmp}/two")
     load_date(spark, f"{tmp}/land", f"{tmp}/log")
     def left():
-        return sorted(r.item_name for r in spark.read.parquet(f"{tmp}/log").collect())
+        return sorted(r.item_name for r in read_log(spark, f"{tmp}/log", schema=LOG).collect())
     load_date(spark, f"{tmp}/one", f"{tmp}/log", ["2026-05-19"])
     assert left() == ["b", "d"]
     load_date(spark, f"{tmp}/two", f"{tmp}/log")                               # all landed dates
@@ -139,7 +142,7 @@ def test_write_runs_one_array_per_file(spark, tmp):
     rows = [(f"2026-05-19T{h:02d}:00:00", "c", f"i{i}", "g", str(i + 1), 0, "")
             for h in (10, 11) for i in range(25)]
     df = spark.createDataFrame(rows, schemas.RAW_AUCTION)
-    write_runs(df, f"{tmp}/runs", rows_per_file=10)
+    write_runs(df, f"{tmp}/runs", target_bytes=1000)
     files = [os.path.join(d, f) for d, _, fs in os.walk(f"{tmp}/runs") for f in fs
              if f.endswith(".txt")]
     for f in files:
@@ -157,7 +160,7 @@ def test_load_date_from_collector_arrays(spark, tmp):
             ("2026-05-20T11:00:00", "c", "b", "g", "11", 0, "")]
     write_runs(spark.createDataFrame(rows, schemas.RAW_AUCTION), f"{tmp}/runs")
     load_date(spark, f"{tmp}/runs", f"{tmp}/log", ["2026-05-20"], multi_line=True)
-    got = [(r.item_name, r.price, str(r.date)) for r in spark.read.parquet(f"{tmp}/log").collect()]
+    got = [(r.item_name, r.price, str(r.date)) for r in read_log(spark, f"{tmp}/log", schema=LOG).collect()]
     assert got == [("b", 11, "2026-05-20")]
 
 
@@ -179,3 +182,84 @@ def test_load_date_today_missing_raises(spark, tmp):
     write_landing(spark.createDataFrame(rows, schemas.RAW_AUCTION), f"{tmp}/land")
     with pytest.raises(FileNotFoundError):
         load_date(spark, f"{tmp}/land", f"{tmp}/log", "today")
+
+
+def test_publish_is_all_or_nothing(spark, tmp, monkeypatch):
+    """A crash between staging and commit leaves the old dates; commits of two writers both hold."""
+    from pricelens.sources import publish_dates, published, read_published, vacuum
+    rows = lambda *r: spark.createDataFrame(list(r), "item string, date string")
+    out = f"{tmp}/log"
+    left = lambda: sorted((r.item, str(r.date)) for r in read_published(spark, out).collect())
+    publish_dates(rows(("a", "2026-05-19"), ("b", "2026-05-20")), out, ["2026-05-19", "2026-05-20"])
+    with monkeypatch.context() as m:
+        m.setattr(published, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            publish_dates(rows(("x", "2026-05-19")), out, ["2026-05-19", "2026-05-20"])
+    assert left() == [("a", "2026-05-19"), ("b", "2026-05-20")]
+    # another writer commits while this one has read the last manifest
+    found = published.stage(rows(("c", "2026-05-19")), out, "one")
+    last, once = published._last, []
+    def interrupted(folder, by):
+        got = last(folder, by)
+        if not once:
+            once.append(1)
+            publish_dates(rows(("d", "2026-05-21")), out, ["2026-05-21"])
+        return got
+    with monkeypatch.context() as m:
+        m.setattr(published, "_last", interrupted)
+        published.commit(spark, out, "one", found, ["2026-05-19", "2026-05-20"])
+    assert left() == [("c", "2026-05-19"), ("d", "2026-05-21")]
+    assert read_published(spark, out, dates=["2026-05-21"]).count() == 1
+    vacuum(spark, out)
+    assert left() == [("c", "2026-05-19"), ("d", "2026-05-21")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_plain_log_is_taken_over(spark, tmp):
+    from pricelens.sources import publish_dates
+    df = spark.createDataFrame([("a", "2026-05-19"), ("b", "2026-05-20")], "item_name string, date string")
+    write_parquet(df, f"{tmp}/log", partition_by=["date"])
+    publish_dates(df.filter("item_name = 'b'").withColumn("item_name", F.lit("c")), f"{tmp}/log", ["2026-05-20"])
+    assert sorted((r.item_name, str(r.date)) for r in read_log(spark, f"{tmp}/log").collect()) == [("a", "2026-05-19"), ("c", "2026-05-20")]
+
+
+def test_write_runs_bounds_files_in_bytes(spark, tmp):
+    """Rows in random order and a hot hour: ceil(bytes / target) files an hour; an odd time is landed, too."""
+    from pricelens.sources import write_runs
+    rows = [(f"2026-05-19T{10 + (i % 10 == 0):02d}:00:00", "c", f"item {i:04d}", "g", str(i), 0, "") for i in range(2000)]
+    df = spark.createDataFrame(rows + [("no time", "c", "odd", "g", "1", 0, "")], schemas.RAW_AUCTION).orderBy(F.rand(3))
+    write_runs(df, f"{tmp}/runs", target_bytes=20_000)
+    size = df.select(F.col("collected_at"), F.octet_length(F.to_json(F.struct("*"))).alias("b")).groupBy("collected_at").agg(
+        (F.sum("b") + F.count("b")).alias("b"))
+    for r in size.collect():
+        hour = f"hour={r.collected_at[11:13]}" if r.collected_at != "no time" else "hour=__HIVE"
+        files = [os.path.join(d, f) for d, _, fs in os.walk(f"{tmp}/runs") for f in fs if f.endswith(".txt") and hour in d]
+        assert len(files) == -(-r.b // 20_000)
+        assert all(os.path.getsize(f) < 20_000 * 1.35 for f in files)
+    assert read_raw(spark, f"{tmp}/runs/*/*/*.txt").count() == 2001
+
+
+def test_quarantine_names_bad_files(spark, tmp):
+    from pricelens.sources import quarantine
+    os.makedirs(f"{tmp}/land")
+    good = json.dumps({"collected_at": "2026-05-19T10:00:00", "category": "c", "item_name": "a", "price": "1"})
+    for name, lines in (("a.json", [good, good]), ("b.json", [good, good[:20], "nonsense"]), ("c.json", ["{"])):
+        with open(f"{tmp}/land/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    rows, counts = quarantine(spark, f"{tmp}/land", f"{tmp}/bad")
+    assert rows.count() == 3 and rows.columns == [f.name for f in schemas.RAW_AUCTION.fields]
+    assert sorted((r.file.split("/")[-1], r.n_bad, r.n_rows) for r in counts.collect()) == [("b.json", 2, 3), ("c.json", 1, 1)]
+    assert sorted(r.corrupt for r in spark.read.parquet(f"{tmp}/bad").collect()) == sorted([good[:20], "nonsense", "{"])
+    os.makedirs(f"{tmp}/runs")
+    for name, text in (("a.json", f"[{good},\n{good}]"), ("b.json", f"[{good},"), ("c.json", "[]")):
+        with open(f"{tmp}/runs/{name}", "w") as f:
+            f.write(text)
+    rows, counts = quarantine(spark, f"{tmp}/runs", f"{tmp}/bad-runs", multi_line=True)
+    assert rows.count() == 2 and [(r.file.split("/")[-1], r.n_bad) for r in counts.collect()] == [("b.json", 1)]
+
+
+def test_write_counted(spark, tmp):
+    from pricelens.sources.tables import write_counted
+    df = spark.range(100).selectExpr("id", "id % 3 AS d")
+    assert write_counted(df, f"{tmp}/t", ["d"], big=F.count_if(F.col("id") > 90)) == {"n": 100, "big": 9}
+    assert write_counted(df.limit(0), f"{tmp}/u") == {"n": 0} and spark.read.parquet(f"{tmp}/t").count() == 100
