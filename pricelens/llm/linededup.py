@@ -1,24 +1,25 @@
 """Dropping lines that many documents share.
 
-Method: a sharded minimal perfect hash.  The keys of shared lines (at least
-``MIN_DOCS`` documents) are dealt to shards by hash; each shard is one row
-holding a minimal perfect hash over its keys and, in the order of that hash,
-a compact fingerprint array, a count array and the array of the documents
-that keep the line.  Documents probe those arrays with the hashes of their
-lines: the shard's arrays and the probes meet in one task, no line text and
-no line table is joined.
+Method: a sharded minimal perfect hash over all distinct line hashes.  The keys of
+all lines are dealt to shards by one half of their 128-bit hash; each shard is one row
+holding a minimal perfect hash over the other halves and, in the order of that hash,
+a fingerprint array (the first half), a count array (the documents holding the line) and the
+array of the documents that keep it.  Documents probe those arrays with the hashes of
+their lines, and the probe reads the count: the shard's arrays and the probes meet in
+one task, no line text and no line table is joined.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends and with A-Z
 lower-cased.  Scale: the distinct (line, document) pairs are counted by a
 two-step aggregate (first per line and document, so a line found in a third
 of all documents is pre-aggregated in many tasks); a shard holds about
-``SHARD_KEYS`` keys however many there are; every shard is given out
-``REPLICAS`` times and a probe goes to the copy its document falls to, so a
-hot line's probes are split.  Text moves once, dealt by doc_id.
+``SHARD_KEYS`` keys however many there are, and the sum of its counts is the number of
+probes it will get: it is given out once for every ``SHARD_PROBES`` of them and a probe
+goes to the copy its document falls to, so a hot line's probes are split as often as its count asks for.
+Text moves once, dealt by doc_id.
 
 Defined results: a null or empty text is one empty line; a null doc_id is left
-out; of rows that repeat a doc_id the greatest text stands; ties (a document holding
-a key twice) count once, and the keeper keeps all its copies; an empty table gives
+out; rows that repeat a doc_id are one document when lines are counted and are each
+rewritten; ties (a document holding a key twice) count once, and the keeper keeps all its copies; an empty table gives
 no rows.
 """
 
@@ -31,16 +32,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_map, arrow_types, documents, mapped, record, written
+from pricelens.llm.common import (arrow_map, arrow_types, broadcast_bytes, discard, documents, mapped, record,
+                                   written)
 from pricelens.llm.text import mix
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 SHARD_KEYS = 20_000
-REPLICAS = 16
+SHARD_PROBES = 2 * SHARD_KEYS
 GAMMA = 1.5
 STRIP = b" \t\n\x0b\x0c\r"
-INDEX = "shard int, words binary, sizes binary, ranks binary, fingerprints binary, counts binary, keepers binary"
+INDEX = "shard int, probes long, words binary, sizes binary, ranks binary, fingerprints binary, counts binary, keepers binary"
 
 
 def line_keys(text: str | None, min_chars: int) -> list[tuple[int, int, int]]:
@@ -60,8 +62,8 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     """(doc_id, text, n_lines, n_dropped, *carry): the text that stays of every document."""
     docs = documents(docs, *carry)
     keys = line_hashes(docs, min_chars)
-    index, shards = build_index(keys, min_docs)
-    hits = probe(keys, index, shards).groupBy("doc_id").agg(F.collect_set("hi").alias("dropped"))
+    index, shards = build_index(keys)
+    hits = probe(keys, index, shards, min_docs).groupBy("doc_id").agg(F.collect_set("hi").alias("dropped"))
     hits = hits.withColumnRenamed("doc_id", "hit")
     rewrite = F.arrow_udf(lambda t, d: _rewrite(t, d, min_chars), "text string, n_lines long, n_dropped long")
     out = docs.join(hits, docs["doc_id"] == hits["hit"], "left").withColumn("new", rewrite("text", "dropped"))
@@ -99,27 +101,27 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     return arrow_map(docs, rows, "hi long, lo long, doc_id long")
 
 
-def build_index(keys: DataFrame, min_docs: int) -> tuple[DataFrame, int]:
-    """(a row of arrays per shard of the keys found in ``min_docs`` documents, shards)."""
-    shared = keys.groupBy("hi", "lo").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper")) \
-        .filter(F.col("n") >= min_docs)
-    shared = written(shared, "shared-lines")
-    shards = max(1, -(-shared.count() // SHARD_KEYS))
-    index = shared.withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int")) \
+def build_index(keys: DataFrame) -> tuple[DataFrame, int]:
+    """(a row of arrays per shard of all distinct keys, shards)."""
+    counted = keys.groupBy("hi", "lo").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keeper"))
+    counted = written(counted, "line-counts")
+    shards = max(1, -(-counted.count() // SHARD_KEYS))
+    index = counted.withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int")) \
         .groupBy("shard").applyInArrow(_shard, INDEX)
-    return written(index, "line-index"), shards
+    index = written(index, "line-index").withColumn("replicas", F.ceil(F.col("probes") / SHARD_PROBES).cast("int"))
+    discard(counted)
+    return index, shards
 
 
 def _shard(rows: pa.Table) -> pa.Table:
-    hi = rows["hi"].to_numpy().view(np.uint64)
-    levels = perfect_hash(hi)
-    slot = locate(hi, levels)
-    order = np.empty(len(hi), np.int64)
-    order[slot] = np.arange(len(hi))
-    cols = {"shard": [rows["shard"][0].as_py()], "words": [levels[0].tobytes()], "sizes": [levels[1].tobytes()],
-            "ranks": [levels[2].tobytes()]}
-    for name, col, kind in (("fingerprints", "lo", np.int64), ("counts", "n", np.int64), ("keepers", "keeper", np.int64)):
-        cols[name] = [rows[col].to_numpy().astype(kind)[order].tobytes()]
+    lo = rows["lo"].to_numpy().view(np.uint64)
+    levels = perfect_hash(lo)
+    order = np.empty(len(lo), np.int64)
+    order[locate(lo, levels)] = np.arange(len(lo))
+    cols = {"shard": [rows["shard"][0].as_py()], "probes": [int(rows["n"].to_numpy().sum())],
+            "words": [levels[0].tobytes()], "sizes": [levels[1].tobytes()], "ranks": [levels[2].tobytes()]}
+    for name, col in (("fingerprints", "hi"), ("counts", "n"), ("keepers", "keeper")):
+        cols[name] = [rows[col].to_numpy().astype(np.int64)[order].tobytes()]
     return pa.Table.from_batches([record(cols, arrow_types(INDEX))])
 
 
@@ -164,22 +166,27 @@ def locate(keys: np.ndarray, levels: tuple[np.ndarray, np.ndarray, np.ndarray])
     return out
 
 
-def probe(keys: DataFrame, index: DataFrame, shards: int) -> DataFrame:
+def probe(keys: DataFrame, index: DataFrame, shards: int, min_docs: int) -> DataFrame:
     """(hi, doc_id) of the lines a document loses.
 
-    A shard's arrays come first in their task, the probes stream past them.
+    A shard's arrays come first in their task, the probes stream past them.  Only shards with
+    a hot line are given out more than once; how often is looked up by the probes, in a broadcast
+    only where that small table lies under the session's bound.
     """
-    arrays = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("replica"),
-                          F.struct("words", "sizes", "ranks", "fingerprints", "keepers").alias("arrays"))
-    probes = keys.select(F.pmod("hi", F.lit(shards)).cast("int").alias("shard"),
-                         F.pmod(F.xxhash64("doc_id"), F.lit(REPLICAS)).cast("int").alias("replica"),
-                         "hi", "lo", "doc_id")
+    arrays = index.select("shard", F.explode(F.sequence(F.lit(0), F.col("replicas") - 1)).alias("replica"),
+                          F.struct("words", "sizes", "ranks", "fingerprints", "counts", "keepers").alias("arrays"))
+    probes = keys.select(F.pmod("hi", F.lit(shards)).cast("int").alias("shard"), "hi", "lo", "doc_id")
+    hot = written(index.filter("replicas > 1").select("shard", "replicas"), "hot-shards")
+    small = hot.count() * 16 <= broadcast_bytes(hot)
+    probes = probes.join(F.broadcast(hot) if small else hot, "shard", "left") \
+        .withColumn("replica", F.pmod(F.xxhash64("doc_id"), F.coalesce("replicas", F.lit(1))).cast("int")).drop("replicas")
     both = arrays.unionByName(probes, allowMissingColumns=True).repartition("shard", "replica") \
         .sortWithinPartitions("shard", "replica", F.col("arrays").isNull())
-    return mapped(both.select("shard", "replica", "arrays", "hi", "lo", "doc_id"), _probe, "hi long, doc_id long")
+    return mapped(both.select("shard", "replica", "arrays", "hi", "lo", "doc_id"),
+                  lambda batches: _probe(batches, min_docs), "hi long, doc_id long")
 
 
-def _probe(batches):
+def _probe(batches, min_docs: int):
     place = arrays = None
     for batch in batches:
         heads = np.flatnonzero(pc.is_valid(batch.column("arrays")).to_numpy(zero_copy_only=False))
@@ -191,7 +198,7 @@ def _probe(batches):
                 arrays = Arrays(part.column("arrays")[0].as_py())
                 part = part.slice(1)
             if part.num_rows and arrays is not None:
-                yield arrays.losers(part, place)
+                yield arrays.losers(part, place, min_docs)
 
 
 class Arrays:
@@ -201,13 +208,16 @@ class Arrays:
         self.levels = (np.frombuffer(row["words"], np.uint8), np.frombuffer(row["sizes"], np.int64),
                        np.frombuffer(row["ranks"], np.int64))
         self.fingerprints = np.frombuffer(row["fingerprints"], np.int64)
+        self.counts = np.frombuffer(row["counts"], np.int64)
         self.keepers = np.frombuffer(row["keepers"], np.int64)
 
-    def losers(self, batch: pa.RecordBatch, place: tuple[int, int]) -> pa.RecordBatch:
-        """The probes of this shard whose line stays in another document."""
+    def losers(self, batch: pa.RecordBatch, place: tuple[int, int], min_docs: int) -> pa.RecordBatch:
+        """The probes of this shard whose line ``min_docs`` documents hold and another one keeps."""
         shard, replica, hi, lo, doc = (batch.column(n).to_numpy() for n in ("shard", "replica", "hi", "lo", "doc_id"))
-        at = locate(hi.view(np.uint64), self.levels)
+        at = locate(lo.view(np.uint64), self.levels)
         at[(shard != place[0]) | (replica != place[1])] = -1
         lose = at >= 0
-        lose[lose] = (self.fingerprints[at[lose]] == lo[lose]) & (self.keepers[at[lose]] != doc[lose])
+        found = at[lose]
+        lose[lose] = (self.fingerprints[found] == hi[lose]) & (self.counts[found] >= min_docs) \
+            & (self.keepers[found] != doc[lose])
         return record({"hi": hi[lose], "doc_id": doc[lose]}, arrow_types("hi long, doc_id long"))

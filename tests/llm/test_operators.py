@@ -233,6 +233,28 @@ def test_line_dedup_odd(spark, empty):
     assert None not in got and linededup.drop_shared_lines(empty).count() == 0
 
 
+def test_line_index_holds_all_lines_and_splits_hot_shards(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "SHARD_KEYS", 50)
+    monkeypatch.setattr(linededup, "SHARD_PROBES", 100)
+    hot, warm = "a hot line that one thousand documents hold, each once", "a line that exactly four documents hold, one too few"
+    rows = [(i, f"line of document {i} alone, long enough to count\n{hot}" + (f"\n{warm}" if i < 4 else "")) for i in range(1000)]
+    rows.append((7, rows[7][1]))        # a repeated row is no further document
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = linededup.line_hashes(docs, linededup.MIN_CHARS)
+    index, shards = linededup.build_index(keys)
+    got = index.collect()
+    counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in got])
+    assert shards == 21 and sorted(counts.tolist()) == [1] * 1000 + [4, 1000]
+    assert sorted(r["replicas"] for r in got)[-1] >= 10 and sorted(r["replicas"] for r in got)[0] == 1
+    for least, lost in ((5, {hot}), (4, {hot, warm})):
+        out = linededup.drop_shared_lines(docs, min_docs=least).collect()
+        assert len(out) == 1001
+        keeper = {hot: 999, warm: 3}
+        for r in out:
+            want = [x for x in rows[r["doc_id"]][1].split("\n") if x not in lost or keeper[x] == r["doc_id"]]
+            assert r["text"].split("\n") == want
+
+
 def test_minimal_perfect_hash():
     keys = np.random.default_rng(4).integers(0, 1 << 63, 20_000).astype(np.uint64)
     keys = np.unique(keys)
