@@ -1,6 +1,6 @@
 """Toxicity of texts: linear classifier over character n-grams, naive Bayes scaled.
 
-Method: the features of a text are the hashed character n-grams (3 to 5 bytes,
+Method: the features of a text are the hashed character n-grams (3 to 5 code points,
 A-Z lower-cased) it holds, each once.  Every feature is scaled by its naive
 Bayes log-count ratio r between toxic and other training texts, and a logistic
 regression with an L2 penalty is fitted on the scaled features, so a feature
@@ -16,7 +16,8 @@ one pass over whole texts without a shuffle; a text's cost is its length.
 Defined results: null and empty texts have no features and get the score of
 the bias alone; a null doc_id is left out; without training rows of both
 labels every score is the share of toxic labels (0 without any); repeated
-rows are scored each; an empty table gives no rows.
+rows are scored each; bytes that are no UTF-8 count as characters of their own kind; a very
+long text is scored whole (about 60 bytes of memory for each of its bytes); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,22 +39,39 @@ PENALTY = 3e-3
 STEPS = 80
 
 
+def characters(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """(a number for each code point, its bytes; the offsets of the documents among them)."""
+    data = lower_ascii(c.data)
+    first = (data & 0xC0) != 0x80
+    first[c.offsets[:-1][c.offsets[:-1] < len(data)]] = True     # no character spans documents
+    at = np.flatnonzero(first)
+    chars, more = data[at].astype(np.uint64), np.ones(len(at), bool)
+    for k in range(1, 4):
+        more &= at + k < len(data)
+        more[more] = ~first[at[more] + k]
+        if not more.any():
+            break
+        chars[more] = chars[more] << np.uint64(8) | data[at[more] + k]
+    return chars, np.searchsorted(at, c.offsets)
+
+
 def features(c: Chunk) -> list[np.ndarray]:
     """The distinct hashed n-grams of every document of a chunk, rising."""
-    data = lower_ascii(c.data).astype(np.uint64)
-    n = len(data)
+    chars, offsets = characters(c)
+    n = len(chars)
     slots = np.empty((len(LENGTHS), n), np.int32)
     value = np.zeros(n, np.uint64)
     row = 0
     for k in range(max(LENGTHS)):
-        value[:n - k] = (value[:n - k] << np.uint64(8)) | data[k:]
+        m = max(n - k, 0)
+        value[:m] = value[:m] * np.uint64(0xD6E8FEB86659FD93) + chars[k:]
         if k + 1 in LENGTHS:
             h = (value ^ np.uint64((k + 1) << 56)) * np.uint64(0x9E3779B97F4A7C15)
             slots[row] = (h >> np.uint64(64 - BITS)).astype(np.int32)
             row += 1
     seen = np.zeros(1 << BITS, bool)
     out = []
-    for a, b in zip(c.offsets[:-1].tolist(), c.offsets[1:].tolist()):
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         for row, k in enumerate(LENGTHS):
             seen[slots[row, a:max(a, b - k + 1)]] = True
         f = np.flatnonzero(seen)
