@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, category_weekday_avg,
+from pricelens.operators import (anomalies, anomaly_by_weekday, anomaly_summary, catalog, category_weekday_avg,
                                  cheapest_route, clean, corr_by, corr_extremes, corr_ranked,
                                  cost_lines, distinct_items, first_page, flag_low,
                                  low_outliers, market_prices, match_keywords, material_prices,
@@ -35,12 +35,13 @@ from pricelens.operators import (anomaly_by_weekday, anomaly_summary, catalog, c
                                  top_discount, top_flags, weekday_delta, weekday_flags,
                                  weekday_matrix, weekday_share, weekday_trend, with_min_cost,
                                  with_stats, keyword_first_page, read_moments, refresh_moments, merged_stats)
-from pricelens.functions import fixed
+from pricelens.functions import day_label, fixed
 from pricelens.functions import formats as fmt
+from pricelens.plans import jobs
 from pricelens.plans.jobs import CRAFT_PROFIT_SQL, DAILY_TREND_SQL, _sql_list
 from pricelens.session import scratch_path
-from pricelens.sources import (compact, flatten_response, load_date, quarantine, read_landing, read_log,
-                               read_published, read_raw, read_recipe, register_tables, stamp_run,
+from pricelens.sources import (compact, flatten_response, load_date, merge_report, quarantine, read_landing, read_log,
+                               read_published, read_raw, read_recipe, read_report, register_tables, stamp_run,
                                write_landing, write_parquet, write_runs)
 from pricelens.streaming import stream_clean
 from pricelens import schemas
@@ -354,6 +355,18 @@ def q_report_lines(spark, sf_dir):
         "avg_discount_pct", "min_anomaly_price").alias("line"))
 
 
+def q_written_report(spark, sf_dir):
+    """Q4's report (A06): its sections written as text, merged into one text, and that read back by line."""
+    flagged = _flagged(spark, sf_dir)
+    low = anomalies(flagged)
+    parts = {"counts": run_counts(flagged), "top": top_anomalies(anomaly_summary(low), TOP_N),
+             "by_weekday": anomaly_by_weekday(low).withColumn("day_label", day_label("day_of_week", "?"))}
+    sections, whole = scratch_path(spark, "report_sections"), scratch_path(spark, "report")
+    jobs.anomaly_report(spark, parts, sections)
+    merge_report(spark, sections, whole)
+    return read_report(spark, whole)
+
+
 # ---- cleaning, sources, sinks, streaming ---------------------------------------
 
 _LOG_WITH_DATE = T.StructType(list(schemas.AUCTION_LOG.fields)
@@ -640,4 +653,5 @@ QUERIES = {
     "outlier_rate": q_outlier_rate,
     "report_lines": q_report_lines,
     "corr_report_lines": q_corr_report_lines,
+    "written_report": q_written_report,
 }

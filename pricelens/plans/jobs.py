@@ -166,7 +166,7 @@ def anomaly(spark: SparkSession, log_path: str, category: str = ANOMALY_CATEGORY
 def anomaly_report(spark: SparkSession, parts: dict[str, DataFrame], path: str) -> list[str]:
     """Q4's text report written by executors."""
     counts = parts["counts"].select(F.format_string(
-        "  전체 레코드: %d건 / 이상치 탐지: %d건", "total_rows", "anomaly_rows").alias("line"))
+        fmt.ANOMALY_COUNT_LINE, "total_rows", "anomaly_rows").alias("line"))
     top = parts["top"].select("anomaly_count", "item_name", F.format_string(
         "  " + fmt.ANOMALY_ITEM_LINE,
         "item_name", "anomaly_count", F.col("avg_price").cast("long"),
@@ -174,9 +174,9 @@ def anomaly_report(spark: SparkSession, parts: dict[str, DataFrame], path: str)
     by_day = parts["by_weekday"].select("day_of_week", F.format_string(
         fmt.ANOMALY_WEEKDAY_LINE, "day_label", "day_of_week", "anomaly_count").alias("line"))
     return write_report([
-        ("[Q4] 이상치 탐지 결과", counts, []),
-        ("[아이템별 이상치 발생 빈도 Top 20]", top, [F.desc("anomaly_count"), "item_name"]),
-        ("[요일별 이상치 발생 빈도]", by_day, ["day_of_week"]),
+        (fmt.ANOMALY_TITLES[0], counts, []),
+        (fmt.ANOMALY_TITLES[1], top, [F.desc("anomaly_count"), "item_name"]),
+        (fmt.ANOMALY_TITLES[2], by_day, ["day_of_week"]),
     ], path)
 
 
@@ -201,8 +201,8 @@ def correlation_report(spark: SparkSession, parts: dict[str, DataFrame], path: s
     avg = parts["category_weekday_avg"].select("category", "day_of_week", F.format_string(
         fmt.CATEGORY_AVG_LINE, "category", "day_of_week", "avg_price").alias("line"))
     return write_report([
-        ("[1] 카테고리별 요일-가격 상관계수", cat, ["category"]),
-        ("  상관관계 강한 상위", strong, ["pos"]),
-        ("  상관관계 약한 하위", weak, ["pos"]),
-        ("[3] 요일별 카테고리 평균가", avg, ["category", "day_of_week"]),
+        (fmt.CORR_TITLES[0], cat, ["category"]),
+        (fmt.CORR_TITLES[1], strong, ["pos"]),
+        (fmt.CORR_TITLES[2], weak, ["pos"]),
+        (fmt.CORR_TITLES[3], avg, ["category", "day_of_week"]),
     ], path)

@@ -344,6 +344,18 @@ SELECT item_name,
               coalesce(printf('{fmt.R_FORMAT}', r), '{fmt.R_UNDEFINED}'),
               coalesce(direction, '{fmt.R_UNDEFINED}'), n) AS line
 FROM ic""",
+    "written_report": f"""WITH {PP}, {FLAGGED}, {SUMMARY}, {BYDAY},
+top AS (SELECT *, row_number() OVER (ORDER BY anomaly_count DESC, item_name) AS pos FROM sm),
+lines AS (
+  SELECT 0 AS section, 0 AS pos, '{fmt.ANOMALY_TITLES[0]}' AS line
+  UNION ALL SELECT 0, 1, printf('{fmt.ANOMALY_COUNT_LINE}', count(*), CAST(count_if(is_anomaly) AS BIGINT)) FROM fl
+  UNION ALL SELECT 1, 0, '{fmt.ANOMALY_TITLES[1]}'
+  UNION ALL SELECT 1, pos, printf('  {fmt.ANOMALY_ITEM_LINE}', CAST(item_name AS VARCHAR), anomaly_count,
+              CAST(trunc(avg_price) AS BIGINT), avg_discount_pct, min_anomaly_price) FROM top WHERE pos <= 20
+  UNION ALL SELECT 2, 0, '{fmt.ANOMALY_TITLES[2]}'
+  UNION ALL SELECT 2, day_of_week, printf('{fmt.ANOMALY_WEEKDAY_LINE}', coalesce({LABEL.format(c='day_of_week')}, '?'),
+              day_of_week, anomaly_count) FROM bd)
+SELECT row_number() OVER (ORDER BY section, pos) AS line_no, line FROM lines""",
     "report_lines": f"""WITH {PP}, {FLAGGED}, {SUMMARY}
 SELECT item_name,
        printf('{fmt.ANOMALY_ITEM_LINE}',

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricelens.operators.joins import join_checked
+
 
 def write_report(sections: list[tuple[str, DataFrame, list]], path: str) -> list[str]:
     """Write report sections as UTF-8 text.
@@ -24,3 +26,34 @@ def write_report(sections: list[tuple[str, DataFrame, list]], path: str) -> list
         out.orderBy("_h", *sort_exprs).select("line").write.mode("overwrite").text(folder)
         folders.append(folder)
     return folders
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line): a written report with its global line numbers, from 1.
+
+    Section folders follow their number, part files theirs, pieces of a file their
+    offset, and lines of a piece are read in order.  So the lines of every
+    piece are counted, a running sum over the pieces (one row for each piece of a
+    file that one task reads, not one per line) says where each begins, and a line's number is
+    that plus its place in the piece: no sort and no single task over the lines.
+    A path without section folders is read as one section; an empty one gives no rows.
+    """
+    def number(pattern: str):
+        return F.coalesce(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast("long"), F.lit(0))
+
+    lines = spark.read.option("recursiveFileLookup", "true").schema("value string").text(path).select(
+        number(r"/section=(\d+)/[^/]*$").alias("section"), number(r"part-(\d+)[^/]*$").alias("part"),
+        number(r"-c(\d+)[^/]*$").alias("chunk"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
+    key = ["section", "part", "chunk", "block"]
+    pieces = lines.groupBy(*key).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*key, "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return join_checked(lines, pieces, key).select(
+        (F.col("before") + F.col("id") - F.col("first") + 1).alias("line_no"), "line")
+
+
+def merge_report(spark: SparkSession, path: str, out: str) -> None:
+    """Write the sections of a report under ``path`` as one text under ``out``,
+    whose part files in the order of their names are the whole report."""
+    read_report(spark, path).orderBy("line_no").select("line").write.mode("overwrite").text(out)

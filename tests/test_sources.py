@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pricelens import schemas
 from pricelens.sources import (flatten_response, load_date, read_landing, read_log, read_raw,
                                read_recipe, register_tables, stamp_run, write_landing,
-                               write_parquet, write_report)
+                               write_parquet, write_report, merge_report, read_report)
 
 LOG = T.StructType([*schemas.AUCTION_LOG.fields, T.StructField("date", T.StringType())])
 
@@ -137,6 +137,24 @@ def test_write_report(spark, tmp):
     assert text.split("\n")[:4] == ["title", "one", "two", "three"]
 
 
+def test_report_read_and_merged_in_order(spark, tmp):
+    """Line numbers over sections, many part files and files read in several pieces."""
+    body = spark.range(3000).selectExpr("id o", "concat('  line ', id, ' ', repeat('é', 20)) line")
+    write_report([("A", body, ["o"]), ("nothing", body.limit(0), ["o"]), ("B", body, [F.desc("o")]),
+                  ("blank", spark.createDataFrame([(1, ""), (2, " ")], "o int, line string"), ["o"])], f"{tmp}/rep")
+    texts = [f"  line {i} " + "é" * 20 for i in range(3000)]
+    want = list(enumerate(["A", *texts, "nothing", "B", *texts[::-1], "blank", "", " "], 1))
+    assert sorted(tuple(r) for r in read_report(spark, f"{tmp}/rep").collect()) == want
+    merge_report(spark, f"{tmp}/rep", f"{tmp}/whole")
+    files = sorted(f for f in os.listdir(f"{tmp}/whole") if f.startswith("part-"))
+    whole = "".join(open(os.path.join(f"{tmp}/whole", f), encoding="utf-8").read() for f in files)
+    assert whole.split("\n")[:-1] == [x for _, x in want]
+    for size in ("4k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        assert sorted(tuple(r) for r in read_report(spark, f"{tmp}/whole").collect()) == want
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_write_runs_one_array_per_file(spark, tmp):
     from pricelens.sources import write_runs
     rows = [(f"2026-05-19T{h:02d}:00:00", "c", f"i{i}", "g", str(i + 1), 0, "")
