@@ -14,7 +14,7 @@ from pricelens.operators.anomaly import (item_stats, with_stats, flag_low, anoma
                                          top_discount, anomaly_by_weekday, weekday_share,
                                          run_counts, top_flags, weekday_flags)
 from pricelens.operators.ingest import (catalog, watchlist, match_keywords, first_page,
-                                        keyword_first_page)
+                                        keyword_first_page, page_bounds)
 from pricelens.operators.joins import join_checked, join_split
 from pricelens.operators.moments import daily_moments, merged_stats, read_moments, refresh_moments
 

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricelens.operators.joins import join_checked
+from pricelens.operators.joins import join_checked, max_broadcast_bytes, value_bytes
+from pricelens.session import scratch_path
 
 # ---- fixed values: market category codes and the watch-list ----------------
 CATEGORY_CODES = {
@@ -148,9 +149,34 @@ def first_page(listings: DataFrame, page_size: int, key_cols: list[str],
                     .filter(F.col("rank") <= page_size))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def page_bounds(listings: DataFrame, matches: DataFrame, page_size: int, name_cols: list[str],
+                keyword_cols: list[str], price_col: str) -> DataFrame:
+    """(*name_cols, bound): the highest price with which a name's listing can
+    reach the first page of any of its keywords; NULL where nothing bounds it.
+
+    Each name offers one listing at its least price, so the ``page_size``-th
+    smallest of the least prices of a keyword's names is a price that at least
+    ``page_size`` listings don't exceed: a dearer one is on no page of that keyword.  A
+    keyword of fewer names bounds nothing, and a name is held to the highest bound
+    of its keywords.  The least prices are partial sums in the scan; what is
+    joined and ranked has one row per name and per match, not per listing.
+    """
+    least = listings.groupBy(*name_cols).agg(F.min(price_col).alias("_least"))
+    kth = (first_page(join_checked(matches, least, name_cols), page_size, keyword_cols, ["_least", *name_cols])
+           .filter(F.col("rank") == page_size).select(*keyword_cols, F.col("_least").alias("_kth")))
+    return (join_checked(matches, kth, keyword_cols, "left").groupBy(*name_cols)
+            .agg(F.when(F.count(F.lit(1)) == F.count("_kth"), F.max("_kth")).alias("bound")))
+
+
 def keyword_first_page(listings: DataFrame, matches: DataFrame, page_size: int,
                        name_cols: list[str], keyword_cols: list[str],
-                       order_cols: list) -> DataFrame:
+                       order_cols: list, price_col: str | None = None) -> DataFrame:
     """First page per search keyword over the listings of every name the
     keyword matches (C05 + F05), without pairing all listings with keywords.
 
@@ -161,7 +187,17 @@ def keyword_first_page(listings: DataFrame, matches: DataFrame, page_size: int,
     with a partial limit before its shuffle — and only those rows meet the
     keyword matches and the final per-keyword page.  Exact for a total
     order (``order_cols`` must break all ties).
+
+    With ``price_col`` (the column that ``order_cols`` starts with, rising) listings over their name's
+    :func:`page_bounds`, and those of names without a keyword, leave in the scan's own stage, before that shuffle, where
+    the bounds are small enough to be broadcast.  That costs another scan of the names and prices, and changes no result.
     """
+    if price_col is not None:
+        matches = _stored(matches, "matches")
+        bounds = _stored(page_bounds(listings, matches, page_size, name_cols, keyword_cols, price_col), "page-bounds")
+        if value_bytes(bounds) <= max_broadcast_bytes(listings):
+            listings = listings.join(F.broadcast(bounds), name_cols).filter(
+                F.col("bound").isNull() | F.col(price_col).isNull() | (F.col(price_col) <= F.col("bound"))).drop("bound")
     per_name = first_page(listings, page_size, name_cols, order_cols).drop("rank")
     j = join_checked(per_name, matches, name_cols, "inner")
     return first_page(j, page_size, keyword_cols, order_cols)

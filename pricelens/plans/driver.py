@@ -590,7 +590,7 @@ def q_first_page(spark, sf_dir):
     m = match_keywords(_catalog(spark, sf_dir), _part_keywords(spark, sf_dir))
     page = keyword_first_page(listings, m, PAGE_SIZE, ["category", "item_name"],
                               ["category", "keyword"],
-                              ["price", "item_name", "l_orderkey", "l_linenumber"])
+                              ["price", "item_name", "l_orderkey", "l_linenumber"], "price")
     return page.select("category", "keyword", "rank", "item_name", "price", "l_orderkey",
                        "l_linenumber")
 

@@ -69,6 +69,31 @@ def test_match_keywords_of_every_length(spark):
     assert match_keywords(cat.limit(0), kw).count() == 0 and match_keywords(cat, kw.limit(0)).count() == 0
 
 
+def test_first_page_bounds_cut_listings_exactly(spark):
+    """Same pages with bounds: null prices (first), ties at the bound, keywords of few names, names of no keyword."""
+    import random
+    from pricelens.operators import keyword_first_page, page_bounds
+    rnd = random.Random(11)
+    names = [f"n{i}" for i in range(30)]
+    listings = [(n, rnd.choice([None, *range(1, 40)]) if n != "n3" else None, i)
+                for i, n in enumerate(rnd.choice(names) for _ in range(900))]
+    matches = [(k, n) for k, ns in (("many", names[:20]), ("some", names[3:9]), ("few", names[20:22]), ("both", names[18:29]))
+               for n in ns]
+    ldf = spark.createDataFrame(listings, "item_name string, price long, id int")
+    mdf = spark.createDataFrame(matches, "keyword string, item_name string")
+    args = [mdf, 5, ["item_name"], ["keyword"]]
+    order = ["price", "item_name", "id"]
+    cols = ["item_name", "price", "id", "keyword", "rank"]
+    plain = sorted(map(str, keyword_first_page(ldf, *args, order).select(cols).collect()))
+    assert sorted(map(str, keyword_first_page(ldf, *args, order, "price").select(cols).collect())) == plain
+    bound = {r["item_name"]: r["bound"] for r in page_bounds(ldf, *args, "price").collect()}
+    assert set(bound) == {n for _, n in matches} and bound["n20"] is None and bound["n21"] is None
+    left = [x for x in listings if x[0] in bound and (bound[x[0]] is None or x[1] is None or x[1] <= bound[x[0]])]
+    assert len(left) < len(listings) / 2
+    none = keyword_first_page(ldf.limit(0), *args, order, "price")
+    assert none.count() == 0 and keyword_first_page(ldf, mdf.limit(0), *args[1:], order, "price").count() == 0
+
+
 def test_keyword_first_page_brute_force(spark):
     import random
     from pricelens.operators import keyword_first_page
