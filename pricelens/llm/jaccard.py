@@ -4,11 +4,14 @@ Method: universe-partition pigeonhole.  Sets fall into size bands (powers of
 two); a band parts the universe of shingle hashes into segments.  Two sets at
 similarity >= t differ in at most H = floor((1-t)/(1+t) * (r+s)) shingles, so of
 any H+1 segments in which one of them has shingles, in at least one both have
-the same subset.  Allocation by cost: a set of size n signs only the first H+1
-segments in which it has shingles at all, H being the most it can differ from
-a partner; both sets of a pair sign the segments up to where the lesser one
-stops, so a shared signature is certain, with as few signatures as the bound
-allows.  A pair belongs to the band of its smaller set, so a set just above a
+the same subset.  Allocation by cost: the segments of a band have an order, by how
+many pairs of sets share a subset there, counted over at most about ``SAMPLE``
+documents with different sets (:func:`allocation`).  A set of size n signs only the
+first H+1 segments of that order in which it has shingles at all, H being the most it can
+differ from a partner; both sets of a pair sign the segments up to where the lesser one
+stops, so a shared signature is certain in whatever order, with as few signatures as the bound
+allows and with what many documents share signed last.  Bands of sets of ``1 << ALLOCATED`` shingles
+and more keep their segments in the order of the hashes.  A pair belongs to the band of its smaller set, so a set just above a
 band's edge signs in the band below, too.  A set with too few filled segments
 for that (small ones) also signs the one-deletion neighbourhood of every
 segment: then a segment that differs by one shingle is a match and half as
@@ -53,6 +56,10 @@ PERCENT = 80
 TILE = 1024
 BANDS = 64
 VERIFY_BYTES = 1 << 20
+#: The allocation is counted over about so many documents, whatever the input (all, if fewer) ...
+SAMPLE = 20_000
+#: ... for the bands up to this one: at most 0.68 * 2**ALLOCATED + 4 * ALLOCATED numbers go to the tasks.
+ALLOCATED = 13
 META = "doc_id long, n long, f1 long, f2 long, bits binary"
 
 
@@ -126,20 +133,75 @@ def segments_of_bands() -> np.ndarray:
     return np.array([max(1, -(-68 * 2 ** t // 100) + 4) for t in range(BANDS // 2)], np.int64)
 
 
-def sign(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) of a chunk's sets; the lowest bits of a signature are its band."""
+def cost_order(counts: list[tuple[int, int, int]]) -> list[np.ndarray]:
+    """The place of each segment in the order of its band, cheapest first, from (band, segment, cost)
+    of those that cost anything; of equal ones the lower number comes first."""
+    costs = [np.zeros(m, np.float64) for m in segments_of_bands()[:ALLOCATED]]
+    for band, seg, cost in counts:
+        costs[band][seg] = cost
+    return [np.argsort(np.argsort(c, kind="stable"), kind="stable") for c in costs]
+
+
+def allocation(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> list[np.ndarray]:
+    """The order of the segments of each band: by the pairs of documents that have the same subset there.
+
+    Counted over the representatives ``reps`` whose hashes are lowest, about ``SAMPLE`` of them, so at most
+    that many ids are broadcast; only the order depends on it, no result does.
+    """
+    n = reps.count()
+    some = reps.select("doc_id")
+    if n > SAMPLE:
+        some = some.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(SAMPLE / n * (1 << 40)))
+
+    def rows(batch):
+        for c in chunks(batch.column(1)):
+            doc, h, n = chunk_shingles(c)
+            for band, differ, which in bands_of(n, percent):
+                which = which & (differ > 0) & (band < ALLOCATED)
+                part = doc[which[doc]]
+                rdoc, rseg, _, total = filled_segments(part, h[which[doc]], band)
+                yield {"band": band[rdoc], "seg": rseg, "subset": signed(total)}
+    subsets = arrow_map(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id", "left_semi"), rows,
+                        "band long, seg long, subset long")
+    costs = subsets.groupBy("band", "seg", "subset").count().filter("count > 1") \
+        .groupBy("band", "seg").agg(F.sum(F.expr("count * (count - 1)")).alias("cost"))
+    return cost_order([tuple(r) for r in costs.collect()])      # one row a segment of an allocated band
+
+
+def bands_of(n: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(band, most differences, whether it signs there) of sets of sizes n: in their own band, and
+    in the band below, as the larger set of a pair."""
     band = np.zeros(len(n), np.int64)
     band[n > 0] = np.floor(np.log2(n[n > 0])).astype(np.int64)
-    largest = n * 100 // percent
-    out = [_sign_in_band(doc, h, n, band, most_different(n, largest, percent), n > 0)]
-    # A partner in the band below: as the larger set of the pair.
     edge = 1 << band
     below = (n > 0) & (-(-n * percent // 100) < edge) & (band > 0)
-    out.append(_sign_in_band(doc, h, n, band - 1, most_different(n, edge - 1, percent), below))
+    return [(band, most_different(n, n * 100 // percent, percent), n > 0),
+            (band - 1, most_different(n, edge - 1, percent), below)]
+
+
+def filled_segments(doc: np.ndarray, h: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(document, segment, first row, hash of the subset) of the segments that documents, sorted with
+    their shingles, fill in a ``band`` each."""
+    m = segments_of_bands()[band[doc]].astype(np.uint64)
+    seg = ((h >> np.uint64(32)) * m >> np.uint64(32)).astype(np.int64)      # rises with the hash
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (seg[1:] != seg[:-1])
+    start = np.flatnonzero(new)
+    total = np.add.reduceat(mix(h), start) if len(start) else np.zeros(0, np.uint64)
+    return doc[start], seg[start], start, total
+
+
+def sign(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int,
+         order: list[np.ndarray] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(document, signature) of a chunk's sets; the lowest bits of a signature are its band.
+
+    ``order`` has the places of a band's segments; a band without one goes by number.
+    """
+    out = [_sign_in_band(doc, h, band, differ, which, order) for band, differ, which in bands_of(n, percent)]
     return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
 
 
-def _sign_in_band(doc, h, n, band, differ, which) -> tuple[np.ndarray, np.ndarray]:
+def _sign_in_band(doc, h, band, differ, which, order) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the documents ``which`` in a band each.
 
     Sets that can differ in nothing are equal; their class is known already.
@@ -149,17 +211,17 @@ def _sign_in_band(doc, h, n, band, differ, which) -> tuple[np.ndarray, np.ndarra
     doc, h = doc[keep], h[keep]
     if not len(doc):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    m = segments_of_bands()[band[doc]].astype(np.uint64)
-    seg = ((h >> np.uint64(32)) * m >> np.uint64(32)).astype(np.int64)      # rises with the hash
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (seg[1:] != seg[:-1])
-    start = np.flatnonzero(new)
+    rdoc, rseg, start, total = filled_segments(doc, h, band)
     each = mix(h)
-    total = np.add.reduceat(each, start)
-    rdoc, rseg = doc[start], seg[start]
-    first = np.searchsorted(rdoc, np.arange(len(n) + 1))
+    first = np.searchsorted(rdoc, np.arange(len(band) + 1))
     filled = np.diff(first)
-    place = np.arange(len(start)) - first[rdoc]
+    rank = rseg.copy()
+    for t in np.unique(band[rdoc]).tolist():
+        if t < len(order):
+            at = np.flatnonzero(band[rdoc] == t)
+            rank[at] = order[t][rseg[at]]
+    place = np.empty(len(start), np.int64)
+    place[np.lexsort((rank, rdoc))] = np.arange(len(start)) - first[rdoc]
     salt = mix((rseg.astype(np.uint64) << np.uint64(8)) + band[rdoc].astype(np.uint64) + np.uint64(1))
     plain = place <= differ[rdoc]
     docs, sigs = [rdoc[plain]], [mix(total[plain] + salt[plain])]
@@ -182,18 +244,18 @@ def _sign_in_band(doc, h, n, band, differ, which) -> tuple[np.ndarray, np.ndarra
     return docs, sigs & ~np.uint64(BANDS - 1) | band[docs].astype(np.uint64)
 
 
-def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT, order: list[np.ndarray] = ()) -> DataFrame:
     """(sig, doc_id) of every document, but for one of a chunk that has the set of a lesser one there."""
     def rows(batch):
         ids = batch.column(0).to_numpy()
         for c in chunks(batch.column(1)):
             doc, h, n = chunk_shingles(c)
             total = set_hashes(h, n, 0x1234567)
-            order = np.lexsort((ids[c.lo:c.hi], n, total))
+            alike = np.lexsort((ids[c.lo:c.hi], n, total))
             again = np.zeros(len(n), bool)
-            again[order[1:]] = (total[order[1:]] == total[order[:-1]]) & (n[order[1:]] == n[order[:-1]])
+            again[alike[1:]] = (total[alike[1:]] == total[alike[:-1]]) & (n[alike[1:]] == n[alike[:-1]])
             doc, h = doc[~again[doc]], h[~again[doc]]
-            doc, sig = sign(doc, h, np.where(again, 0, n), percent)
+            doc, sig = sign(doc, h, np.where(again, 0, n), percent, order)
             yield {"sig": signed(sig), "doc_id": ids[c.lo + doc]}
     return arrow_map(docs, rows, "sig long, doc_id long")
 
@@ -421,7 +483,7 @@ def link_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     discard(sets, classes)
 
     # Copies sign alike, so of a class only the least document is looked at.
-    groups = written(shared(signatures(docs, percent)).select("hub", F.expr(f"sig & {BANDS - 1}").alias("band"), "doc_id")
+    groups = written(shared(signatures(docs, percent, allocation(docs, reps, percent))).select("hub", F.expr(f"sig & {BANDS - 1}").alias("band"), "doc_id")
                      .distinct(), "shared-signatures")
     release(docs)
     stars = groups.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()

@@ -375,7 +375,8 @@ def test_signatures_never_miss(monkeypatch):
             continue
         doc = np.repeat([0, 1], [len(a), len(b)])
         h = np.concatenate([np.sort(a), np.sort(b)])
-        d, sig = jaccard.sign(doc, h, np.array([len(a), len(b)]), 80)
+        order = [rng.permutation(m) for m in jaccard.segments_of_bands()[:int(rng.integers(0, 10))]]
+        d, sig = jaccard.sign(doc, h, np.array([len(a), len(b)]), 80, order)
         assert set(sig[d == 0].tolist()) & set(sig[d == 1].tolist())
 
 
@@ -469,6 +470,28 @@ def test_words_that_polynomials_confuse(spark, bits):
     assert {i: (r["n_bytes"], list(r["spans"]), bytes(r["kept"])) for i, r in got.items()} == repeats(docs)
 
 
+def test_jaccard_allocation_by_cost(spark, empty, monkeypatch):
+    """Segments where many share a subset sign last; the result does not depend on the sample."""
+    assert [r.tolist() for r in jaccard.cost_order([(0, 1, 5), (0, 3, 2)])[:1]] == [[0, 4, 1, 3, 2]]
+    rng = np.random.default_rng(5)
+    passage = [str(x) for x in rng.integers(0, 10 ** 6, 60)]
+    docs = [(i, " ".join(passage + [str(x) for x in rng.integers(0, 10 ** 6, 60)])) for i in range(300)]
+    docs += [(1000 + i, " ".join([*t.split()[:-3], "a", "b", "c"])) for i, t in docs[:40]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    first = spark.createDataFrame([(i,) for i, _ in docs], "doc_id long")
+    order = jaccard.allocation(df, first)
+
+    def candidates(order):
+        return jaccard.shared(jaccard.signatures(df, 80, order)).select("hub", "doc_id").distinct().count()
+    assert candidates(order) <= candidates(())
+    assert any((r != np.arange(len(r))).any() for r in order)
+    assert all((r == np.arange(len(r))).all() for r in jaccard.allocation(empty, first.limit(0)))
+    _, label = linked(docs)
+    monkeypatch.setattr(jaccard, "SAMPLE", 50)      # the whole sample is for the other tests
+    got = rows_of(jaccard.link_documents(df))
+    assert {i: got[i]["component_id"] for i in got} == label
+
+
 def test_jaccard_verifies_words_not_hashes(spark, monkeypatch):
     """With hashes of a few bits nearly all texts look alike; the words still decide."""
     rng = np.random.default_rng(1)
