@@ -55,22 +55,14 @@ def runs(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.n
     with one anchor, as byte places in the chunk; and the prefix sums used."""
     data, offs = c.data, c.offsets
     sums = prefix(byte_table(3)[data], 3)
-    n = len(data) - GRAM + 1
     empty = np.zeros(0, np.int64)
     if len(data) < WINDOW:
         return empty, empty, empty, empty, sums
-    at = np.arange(n)
-    low = np.uint64((1 << PLACE_BITS) - 1)
-    least = (span_hash(sums, at, at + GRAM, 3) & ~low) | (at.astype(np.uint64) & low)
-    width, wide = 1, WINDOW - GRAM + 1
-    while 2 * width <= wide:
-        least = np.minimum(least[:len(least) - width], least[width:])
-        width *= 2
-    least = np.minimum(least[:len(least) - (wide - width)], least[wide - width:])
+    least = anchors(sums, len(data) - WINDOW + 1)
     # least[p]: the anchor of the window at p, for every window inside one document
     doc = np.repeat(np.arange(len(c)), np.diff(offs))[:len(least)]
     start = np.flatnonzero(np.arange(len(least)) + WINDOW <= offs[doc + 1])
-    anchor = (least[start] & low).astype(np.int64)
+    anchor = least[start]
     doc = doc[start]
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
@@ -79,6 +71,29 @@ def runs(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.n
     return doc[first], start[first], start[last], anchor[first], sums
 
 
+def anchors(sums: np.ndarray, n: int) -> np.ndarray:
+    """The place of the least-hashed gram, the leftmost on a tie, of each of ``n`` windows one after the other.
+
+    Places are counted from the start of a stretch of at most 2**``PLACE_BITS`` grams, so that
+    they fit beside the same bits of the hashes in a text of any length.
+    """
+    wide = WINDOW - GRAM + 1
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    out = np.empty(n, np.int64)
+    step = (1 << PLACE_BITS) - wide + 1
+    for lo in range(0, n, step):
+        hi = min(n, lo + step)
+        at = np.arange(lo, hi + wide - 1)
+        least = (span_hash(sums, at, at + GRAM, 3) & ~low) | (at - lo).astype(np.uint64)
+        width = 1
+        while 2 * width <= wide:
+            least = np.minimum(least[:len(least) - width], least[width:])
+            width *= 2
+        least = np.minimum(least[:len(least) - (wide - width)], least[wide - width:])
+        out[lo:hi] = lo + (least & low).astype(np.int64)
+    return out
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): the bytes that stay.
 

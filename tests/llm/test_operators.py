@@ -425,6 +425,17 @@ def test_suffixes_against_all_windows(spark, documents, odd, empty):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_suffixes_anchors_in_stretches(monkeypatch):
+    """Texts longer than a stretch of places have the anchors that they have as one stretch."""
+    rng = np.random.default_rng(8)
+    texts = ["ab" * 300, "".join(rng.choice(list("abc "), 2000)), "x" * 900, "".join(rng.choice(list("ab"), 99)), ""] * 2
+    (c,) = chunks(pa.array(texts, pa.large_string()))
+    whole = suffixes.runs(c)
+    for bits in (7, 8, 11):
+        monkeypatch.setattr(suffixes, "PLACE_BITS", bits)
+        assert all((a == b).all() for a, b in zip(whole, suffixes.runs(c)))
+
+
 def test_suffixes_periodic_texts(spark):
     rng = np.random.default_rng(3)
     docs = []
