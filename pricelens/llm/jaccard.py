@@ -5,8 +5,8 @@ two); a band parts the universe of shingle hashes into segments.  Two sets at
 similarity >= t differ in at most H = floor((1-t)/(1+t) * (r+s)) shingles, so of
 any H+1 segments in which one of them has shingles, in at least one both have
 the same subset.  Allocation by cost: the segments of a band have an order, by how
-many pairs of sets share a subset there, counted over at most about ``SAMPLE``
-documents with different sets (:func:`allocation`).  A set of size n signs only the
+many pairs of sets share a subset there, counted over all documents with different sets
+(:func:`allocation`).  A set of size n signs only the
 first H+1 segments of that order in which it has shingles at all, H being the most it can
 differ from a partner; both sets of a pair sign the segments up to where the lesser one
 stops, so a shared signature is certain in whatever order, with as few signatures as the bound
@@ -56,8 +56,8 @@ PERCENT = 80
 TILE = 1024
 BANDS = 64
 VERIFY_BYTES = 1 << 20
-#: The allocation is counted over about so many documents, whatever the input (all, if fewer) ...
-SAMPLE = 20_000
+#: A bound for trials on the documents that the allocation is counted over; without one, over all ...
+SAMPLE: int | None = None
 #: ... for the bands up to this one: at most 0.68 * 2**ALLOCATED + 4 * ALLOCATED numbers go to the tasks.
 ALLOCATED = 13
 META = "doc_id long, n long, f1 long, f2 long, bits binary"
@@ -145,13 +145,14 @@ def cost_order(counts: list[tuple[int, int, int]]) -> list[np.ndarray]:
 def allocation(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> list[np.ndarray]:
     """The order of the segments of each band: by the pairs of documents that have the same subset there.
 
-    Counted over the representatives ``reps`` whose hashes are lowest, about ``SAMPLE`` of them, so at most
-    that many ids are broadcast; only the order depends on it, no result does.
+    Counted over all representatives ``reps``; only the order depends on it, no result does.  The lowest bits of
+    a subset's name tell its band and segment.
     """
-    n = reps.count()
     some = reps.select("doc_id")
-    if n > SAMPLE:
+    if SAMPLE and (n := reps.count()) > SAMPLE:
         some = some.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(SAMPLE / n * (1 << 40)))
+    first = np.concatenate([[0], np.cumsum(segments_of_bands()[:ALLOCATED])])
+    places = 1 << int(first[-1]).bit_length()
 
     def rows(batch):
         for c in chunks(batch.column(1)):
@@ -160,12 +161,17 @@ def allocation(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> list
                 which = which & (differ > 0) & (band < ALLOCATED)
                 part = doc[which[doc]]
                 rdoc, rseg, _, total = filled_segments(part, h[which[doc]], band)
-                yield {"band": band[rdoc], "seg": rseg, "subset": signed(total)}
-    subsets = arrow_map(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id", "left_semi"), rows,
-                        "band long, seg long, subset long")
-    costs = subsets.groupBy("band", "seg", "subset").count().filter("count > 1") \
-        .groupBy("band", "seg").agg(F.sum(F.expr("count * (count - 1)")).alias("cost"))
-    return cost_order([tuple(r) for r in costs.collect()])      # one row a segment of an allocated band
+                place = (first[band[rdoc]] + rseg).astype(np.uint64)
+                yield {"subset": signed(mix(total ^ mix(place)) & ~np.uint64(places - 1) | place)}
+    subsets = arrow_map(docs.select("doc_id", "text").join(some, "doc_id", "left_semi"), rows, "subset long")
+    costs = subsets.groupBy("subset").count().filter("count > 1") \
+        .groupBy(F.expr(f"subset & {places - 1}").alias("place")).agg(F.sum(F.expr("count * (count - 1)")).alias("cost"))
+    out = []
+    for place, cost in costs.collect():     # one row a segment of an allocated band
+        band = int(np.searchsorted(first, place, "right")) - 1
+        out.append((band, place - int(first[band]), cost))
+    release(docs)
+    return cost_order(out)
 
 
 def bands_of(n: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:

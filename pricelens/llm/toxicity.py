@@ -7,11 +7,14 @@ regression with an L2 penalty is fitted on the scaled features, so a feature
 weighs r times what the regression gives it; features with |r| under
 ``MIN_RATIO`` tell nothing and weigh 0.
 
-Training reads labelled rows only; at most about ``SAMPLE`` of them, chosen by
-hash (the documented bound), so what reaches the driver is bounded.  Each label
-gets half of them, or what the other leaves: a rare label keeps its rows.  Drawn
-rows weigh as many as they stand for, so the labels' shares stay.  Scoring is
-one pass over whole texts without a shuffle; a text's cost is its length.
+Training reads every labelled row.  Tasks count the features of their texts by label,
+then write the telling ones of each text as a table (about 2 KB a text of 500 words), and
+each step of the regression is a pass over that table: tasks add up the gradient of
+their rows, slices of it are summed by key, and the driver gets the sum, ``2**BITS`` numbers
+whatever the number of rows.  A row's error counts in units of ``UNIT``, so sums
+are exact and neither files nor partitions change the model.  Up to ``LOCAL`` labelled
+documents take the same steps on the driver.  Scoring is one pass over whole texts
+without a shuffle; a text's cost is its length.
 
 Defined results: null and empty texts have no features and get the score of
 the bias alone; a null doc_id is left out; without training rows of both
@@ -22,21 +25,26 @@ long text is scored whole (about 60 bytes of memory for each of its bytes); an e
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import documents
+from pricelens.llm.common import arrow_types, discard, documents, mapped, record, release, written
 from pricelens.llm.text import Chunk, chunks, give_back, lower_ascii
 
-SAMPLE = 4000
+LOCAL = 4000
 BITS = 18
 LENGTHS = (3, 4, 5)
 ALPHA = 1.0
 MIN_RATIO = 0.4
 PENALTY = 3e-3
 STEPS = 80
+UNIT = 2.0 ** -26       # sums of errors under 1 are exact up to 2**27 rows
+SLICE = 1 << 13
+TIDY = 8                # steps after which their shuffle files are given up
 
 
 def characters(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -93,6 +101,41 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.array(out, float) + self.bias, -30, 30)))
 
 
+def constant(share: float) -> Model:
+    p = min(max(share, 1e-12), 1 - 1e-12)
+    return Model(np.zeros(1 << BITS), np.log(p / (1 - p)))
+
+
+def log_ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float) -> np.ndarray:
+    """Naive Bayes log-count ratios of the features from the texts of each label that hold them."""
+    return np.log((ALPHA + toxic) / (n_toxic + 2 * ALPHA)) - np.log((ALPHA + other) / (n_other + 2 * ALPHA))
+
+
+def errors(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
+
+
+def descend(share: float, curve: Callable, slope: Callable) -> tuple[np.ndarray, float]:
+    """(weights of the scaled features, bias) by accelerated gradient steps.
+
+    ``curve(v)`` is X'GXv for the scaled features X and row weights G, ``slope(w, b)`` the log loss's gradient by w and b.
+    """
+    v = np.random.default_rng(3).standard_normal(1 << BITS)
+    for _ in range(8):      # the largest curvature, by power iteration
+        v /= np.linalg.norm(v)
+        v = curve(v)
+    step = 1 / (0.3 * np.linalg.norm(v) + PENALTY + 0.25)
+    w, b = np.zeros(1 << BITS), np.log(share / (1 - share))
+    pw, pb, t = w, b, 1.0
+    for _ in range(STEPS):
+        nt = (1 + (1 + 4 * t * t) ** 0.5) / 2
+        mw, mb = w + (t - 1) / nt * (w - pw), b + (t - 1) / nt * (b - pb)
+        dw, db = slope(mw, mb)
+        pw, pb, t = w, b, nt
+        w, b = mw - step * (dw + PENALTY * mw), mb - step * db
+    return w, b
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | None = None) -> Model:
     """Naive Bayes ratios, then logistic regression by accelerated gradient steps.
 
@@ -103,12 +146,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | None =
     g = g / max(g.sum(), 1e-12)
     share = float(g @ y)
     if not 0 < share < 1:
-        p = min(max(share, 1e-12), 1 - 1e-12)
-        return Model(np.zeros(1 << BITS), np.log(p / (1 - p)))
-    toxic, other = np.full(1 << BITS, ALPHA), np.full(1 << BITS, ALPHA)
+        return constant(share)
+    toxic, other = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for f, label in zip(rows, y):
         (toxic if label else other)[f] += 1
-    ratio = np.log(toxic / (y.sum() + 2 * ALPHA)) - np.log(other / ((1 - y).sum() + 2 * ALPHA))
+    ratio = log_ratios(toxic, other, y.sum(), (1 - y).sum())
     telling = np.abs(ratio) >= MIN_RATIO
     size = np.array([int(telling[f].sum()) for f in rows])
     cuts = np.concatenate([[0], np.cumsum(size)])
@@ -133,36 +175,128 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | None =
             out += np.bincount(idx[cuts[lo]:cuts[hi]], weights=np.repeat(e[lo:hi], size[lo:hi]), minlength=1 << BITS)
         return ratio * out
 
-    v = np.random.default_rng(3).standard_normal(1 << BITS)
-    for _ in range(8):      # the largest curvature, by power iteration
-        v /= np.linalg.norm(v)
-        v = backward(g * forward(v))
-    step = 1 / (0.3 * np.linalg.norm(v) + PENALTY + 0.25)
-    w, b = np.zeros(1 << BITS), np.log(share / (1 - share))
-    pw, pb, t = w, b, 1.0
-    for _ in range(STEPS):
-        nt = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        mw, mb = w + (t - 1) / nt * (w - pw), b + (t - 1) / nt * (b - pb)
-        e = g * (1 / (1 + np.exp(-np.clip(forward(mw) + mb, -30, 30))) - y)
-        pw, pb, t = w, b, nt
-        w, b = mw - step * (backward(e) + PENALTY * mw), mb - step * e.sum()
+    def slope(w, b):
+        e = g * errors(forward(w) + b, y)
+        return backward(e), e.sum()
+
+    w, b = descend(share, lambda v: backward(g * forward(v)), slope)
+    return Model(np.where(telling, ratio * w, 0), b)
+
+
+def total(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], n: int) -> np.ndarray:
+    """The sum of all batches' vectors of ``n`` numbers; ``add`` adds a batch's own to the vector it is given."""
+    types = arrow_types("at long, v binary")
+
+    def partial(batches):
+        out = None
+        for batch in batches:
+            if out is None:
+                out = np.zeros(n)
+            add(batch, out)
+        if out is not None:
+            at = range(0, n, SLICE)
+            yield record({"at": list(at), "v": [out[k:k + SLICE].tobytes() for k in at]}, types)
+
+    def merge(batches):
+        out = {}
+        for batch in batches:
+            for at, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                out[at] = out.get(at, 0) + np.frombuffer(v)
+        yield record({"at": list(out), "v": [v.tobytes() for v in out.values()]}, types)
+
+    slices = mapped(rows, partial, "at long, v binary").repartition("at")
+    got = mapped(slices, merge, "at long, v binary").toArrow()
+    out = np.zeros(n)
+    for at, v in zip(got["at"].to_pylist(), got["v"].to_pylist()):
+        out[at:at + SLICE] = np.frombuffer(v)
+    return out
+
+
+def fit_all(rows: DataFrame) -> Model:
+    """:func:`fit` on all rows of (text, toxic), by passes over them."""
+    n = 1 << BITS
+
+    def count(batch, out):
+        toxic = batch.column(1).to_numpy()
+        for c in chunks(batch.column(0)):
+            for f, label in zip(features(c), toxic[c.lo:c.hi].tolist()):
+                out[:n][f] += label
+                out[n:2 * n][f] += 1 - label
+        out[2 * n] += toxic.sum()
+        out[2 * n + 1] += (1 - toxic).sum()
+
+    counts = total(rows.select("text", "toxic"), count, 2 * n + 2)
+    n_toxic, n_other = counts[2 * n:].tolist()
+    size = n_toxic + n_other
+    if not 0 < n_toxic < size:
+        return constant(n_toxic / max(size, 1))
+    ratio = log_ratios(counts[:n], counts[n:2 * n], n_toxic, n_other)
+    telling = np.abs(ratio) >= MIN_RATIO
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(telling)
+    types = arrow_types("toxic binary, size binary, f binary")
+
+    def extract(batches):
+        for batch in batches:
+            toxic = batch.column(1).to_numpy().astype(np.uint8)
+            for c in chunks(batch.column(0)):
+                found = [f[shared.value[f]].astype(np.int32) for f in features(c)]
+                yield record({"toxic": [toxic[c.lo:c.hi].tobytes()], "size": [np.array([len(f) for f in found], np.int32).tobytes()],
+                              "f": [np.concatenate(found).tobytes()]}, types)
+
+    # one row a chunk of texts
+    table = written(mapped(rows.select("text", "toxic"), extract, "toxic binary, size binary, f binary"), "telling-features")
+    passes = 0
+
+    def step(w, b=None):
+        """Sums over rows of each feature's errors, and of all errors; the errors are the products if there is no bias."""
+        nonlocal passes
+        weights = context.broadcast(ratio * w)
+
+        def add(batch, out):
+            for toxic, size, f in zip(*(column.to_pylist() for column in batch.columns)):
+                y, f = np.frombuffer(toxic, np.uint8), np.frombuffer(f, np.int32)
+                of = np.repeat(np.arange(len(y)), np.frombuffer(size, np.int32))
+                e = np.bincount(of, weights.value[f], len(y))
+                e = np.rint((e if b is None else errors(e + b, y)) / UNIT)
+                out[:n] += np.bincount(f, e[of], n)
+                out[n] += e.sum()
+
+        out = total(table, add, n + 1) * (UNIT / size)
+        weights.destroy()
+        passes += 1
+        if passes % TIDY == 0:
+            release(table)
+        return ratio * out[:n], out[n]
+
+    w, b = descend(n_toxic / size, lambda v: step(v)[0], step)
+    shared.destroy()
+    discard(table)
     return Model(np.where(telling, ratio * w, 0), b)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fits on at most about ``sample`` of the rows of (doc_id, toxic) in ``labels``.
+def train(docs: DataFrame, labels: DataFrame, sample: int | None = None) -> Model:
+    """Fits on all rows of (doc_id, toxic) in ``labels``.
 
-    Of a label that has more rows than its part, those whose hash lies under its share are taken.
+    With ``sample``, for trials, on at most about so many: of a label that has more rows than its part, those
+    whose hash lies under its share are taken, and weigh as many as they stand for.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")) \
         .filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = written(marked, "toxic-labels")
     sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     n = sum(sizes.values())
+    if sample is None and n > LOCAL:
+        model = fit_all(documents(docs).join(marked, "doc_id"))
+        discard(marked)
+        return model
+    sample = LOCAL if sample is None else sample
     share = {k: min(1.0, max(sample // 2, sample - (n - size)) / size) for k, size in sizes.items()}
+    drawn = marked
     if n > sample:
-        marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-                               < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * 2.0 ** 40)
-    rows = documents(docs).join(F.broadcast(marked), "doc_id")     # at most about ``sample`` rows of two numbers
+        drawn = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+                              < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * 2.0 ** 40)
+    rows = documents(docs).join(F.broadcast(drawn), "doc_id")     # at most about ``sample`` rows of two numbers
 
     def extract(batches):
         for batch in batches:
@@ -179,6 +313,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     del got
     model = fit([flat[ends[i]:ends[i + 1]] for i in order.tolist()], toxic, np.array([1 / share[k] for k in toxic.tolist()]))
     del raw, buf, flat
+    discard(marked)
     give_back()
     return model
 

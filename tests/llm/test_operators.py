@@ -307,6 +307,25 @@ def test_toxicity_draws_each_label(spark, monkeypatch):
     assert np.mean([r["score"] for r in toxicity.score(docs, model).collect()]) < 0.05
 
 
+def test_toxicity_learns_from_all_rows(spark, monkeypatch):
+    """More rows than the driver fits: every one counts, as on the driver, however they are dealt."""
+    monkeypatch.setattr(toxicity, "STEPS", 6)
+    texts = spark.range(5000).selectExpr("id doc_id", "if(id = 7, null, concat('text number ', id * id, if(id % 20 = 0, ' vile', ' kind'))) text")
+    docs = texts.unionByName(texts.filter("doc_id in (20, 31)")).unionByName(texts.limit(1).selectExpr("null doc_id", "'no id' text"))
+    labels = spark.range(5000).selectExpr("id doc_id", "if(id = 9, null, cast(id % 20 = 0 as int)) toxic")
+    model = toxicity.train(docs, labels)
+    rows = [(r["text"], r["doc_id"] % 20 == 0) for r in docs.filter("doc_id is not null and doc_id != 9").collect()]
+    want = toxicity.fit([f for c in chunks(pa.array([t for t, _ in rows], pa.string())) for f in toxicity.features(c)],
+                        np.array([y for _, y in rows], float))
+    assert np.abs(model.weights - want.weights).max() < 1e-6 and abs(model.bias - want.bias) < 1e-6
+    again = toxicity.train(docs.repartition(7), labels)
+    assert (again.weights == model.weights).all() and again.bias == model.bias
+    without = toxicity.train(docs, labels.filter("doc_id != 4999"))       # one row less is another model
+    assert (without.weights != model.weights).any()
+    one = toxicity.train(docs, labels.filter("toxic = 0"))
+    assert max(r["score"] for r in toxicity.score(docs, one).collect()) < 0.01
+
+
 def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (5, 1), (2, None), (None, 1), (7, 0), (7, 0)], "doc_id long, toxic int")
     got = toxicity.score(odd, toxicity.train(odd, labels)).collect()
@@ -481,6 +500,21 @@ def test_words_that_polynomials_confuse(spark, bits):
     assert {i: (r["n_bytes"], list(r["spans"]), bytes(r["kept"])) for i, r in got.items()} == repeats(docs)
 
 
+def test_jaccard_allocation_counts_all_documents(spark):
+    """The two documents among 21,000 that share a passage are last by hash; its segments sign last."""
+    last = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).desc()
+    two = [r["doc_id"] for r in spark.range(21_000).toDF("doc_id").orderBy(last).limit(2).collect()]
+    passage = " ".join(f"w{k}" for k in range(12))
+    docs = spark.range(21_000).toDF("doc_id").withColumn("text", F.when(
+        F.col("doc_id").isin(two), F.concat_ws(" ", F.lit(passage), F.concat(F.lit("a"), "doc_id"), F.lit("c d e f g")))
+        .otherwise(F.expr("concat_ws(' ', transform(sequence(1, 18), k -> concat('x', hash(doc_id, k))))")))
+    reps = docs.select("doc_id")
+    order = jaccard.allocation(docs, reps)
+    few = jaccard.allocation(docs.filter(F.col("doc_id").isin(two)), reps.filter(F.col("doc_id").isin(two)))
+    assert any((r != np.arange(len(r))).any() for r in few)
+    assert [r.tolist() for r in order] == [r.tolist() for r in few]
+
+
 def test_jaccard_allocation_by_cost(spark, empty, monkeypatch):
     """Segments where many share a subset sign last; the result does not depend on the sample."""
     assert [r.tolist() for r in jaccard.cost_order([(0, 1, 5), (0, 3, 2)])[:1]] == [[0, 4, 1, 3, 2]]
