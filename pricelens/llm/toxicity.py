@@ -11,7 +11,7 @@ Training reads every labelled row.  Tasks count the features of their texts by l
 then write the telling ones of each text as a table (about 2 KB a text of 500 words), and
 each step of the regression is a pass over that table: tasks add up the gradient of
 their rows, slices of it are summed by key, and the driver gets the sum, ``2**BITS`` numbers
-whatever the number of rows.  A row's error counts in units of ``UNIT``, so sums
+whatever the number of rows (from up to ``FEW`` tasks it sums them itself).  A row's error counts in units of ``UNIT``, so sums
 are exact and neither files nor partitions change the model.  Up to ``LOCAL`` labelled
 documents take the same steps on the driver.  Scoring is one pass over whole texts
 without a shuffle; a text's cost is its length.
@@ -44,6 +44,7 @@ PENALTY = 3e-3
 STEPS = 80
 UNIT = 2.0 ** -26       # sums of errors under 1 are exact up to 2**27 rows
 SLICE = 1 << 13
+FEW = 16                # tasks whose vectors, 2 MB each, the driver sums itself
 TIDY = 8                # steps after which their shuffle files are given up
 
 
@@ -183,8 +184,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | None =
     return Model(np.where(telling, ratio * w, 0), b)
 
 
-def total(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], n: int) -> np.ndarray:
-    """The sum of all batches' vectors of ``n`` numbers; ``add`` adds a batch's own to the vector it is given."""
+def total(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], n: int, few: bool = False) -> np.ndarray:
+    """The sum of all batches' vectors of ``n`` numbers; ``add`` adds a batch's own to the vector it is given.
+
+    Slices of the tasks' vectors are summed by key, or on the driver where the tasks are ``few``.
+    """
     types = arrow_types("at long, v binary")
 
     def partial(batches):
@@ -204,11 +208,12 @@ def total(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], n:
                 out[at] = out.get(at, 0) + np.frombuffer(v)
         yield record({"at": list(out), "v": [v.tobytes() for v in out.values()]}, types)
 
-    slices = mapped(rows, partial, "at long, v binary").repartition("at")
-    got = mapped(slices, merge, "at long, v binary").toArrow()
-    out = np.zeros(n)
+    got = mapped(rows, partial, "at long, v binary")
+    if not few:
+        got = mapped(got.repartition("at"), merge, "at long, v binary")
+    got, out = got.toArrow(), np.zeros(n)
     for at, v in zip(got["at"].to_pylist(), got["v"].to_pylist()):
-        out[at:at + SLICE] = np.frombuffer(v)
+        out[at:at + SLICE] += np.frombuffer(v)
     return out
 
 
@@ -246,6 +251,7 @@ def fit_all(rows: DataFrame) -> Model:
 
     # one row a chunk of texts
     table = written(mapped(rows.select("text", "toxic"), extract, "toxic binary, size binary, f binary"), "telling-features")
+    few = table.rdd.getNumPartitions() <= FEW
     passes = 0
 
     def step(w, b=None):
@@ -262,10 +268,10 @@ def fit_all(rows: DataFrame) -> Model:
                 out[:n] += np.bincount(f, e[of], n)
                 out[n] += e.sum()
 
-        out = total(table, add, n + 1) * (UNIT / size)
+        out = total(table, add, n + 1, few) * (UNIT / size)
         weights.destroy()
         passes += 1
-        if passes % TIDY == 0:
+        if not few and passes % TIDY == 0:
             release(table)
         return ratio * out[:n], out[n]
 
