@@ -110,17 +110,22 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, z): every row with its text packed."""
+    def rows(batch):
+        ids, texts = batch.column(0), batch.column(1)
+        for c in chunks(texts):
+            yield {"doc_id": ids.slice(c.lo, len(c)), "z": [pack(c.raw(i)) for i in range(len(c))]}
+    return arrow_map(docs.select("doc_id", "text"), rows, "doc_id long, z binary")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """(doc_id, z): one packed text per doc_id, dealt by doc_id.
 
     Rows that repeat a doc_id become one; of different texts the greatest
     packed one stays, so a rerun gives the same.
     """
-    def rows(batch):
-        ids, texts = batch.column(0), batch.column(1)
-        for c in chunks(texts):
-            yield {"doc_id": ids.slice(c.lo, len(c)), "z": [pack(c.raw(i)) for i in range(len(c))]}
-    z = arrow_map(docs.select("doc_id", "text"), rows, "doc_id long, z binary")
+    z = packed_rows(docs)
     return z.repartition("doc_id").groupBy("doc_id").agg(F.max("z").alias("z"))
 
 

@@ -252,6 +252,20 @@ def unpack(z: bytes) -> bytes:
     return _unpacker().decompress(z)
 
 
+def unpacked(z: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    """As :func:`chunks`, of packed texts."""
+    lo = 0
+    while lo < len(z):
+        raw: list[bytes] = []
+        room = size
+        while lo + len(raw) < len(z) and (not raw or room > 0):
+            raw.append(unpack(z[lo + len(raw)].as_py()))
+            room -= len(raw[-1])
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+        yield Chunk(lo, lo + len(raw), np.frombuffer(b"".join(raw), np.uint8), offsets)
+        lo += len(raw)
+
+
 @lru_cache(maxsize=1)
 def _packer():
     return zstandard.ZstdCompressor(level=1)

@@ -7,12 +7,13 @@ regression with an L2 penalty is fitted on the scaled features, so a feature
 weighs r times what the regression gives it; features with |r| under
 ``MIN_RATIO`` tell nothing and weigh 0.
 
-Training reads every labelled row.  Tasks count the features of their texts by label,
-then write the telling ones of each text as a table (about 2 KB a text of 500 words), and
-each step of the regression is a pass over that table: tasks add up the gradient of
-their rows, slices of it are summed by key, and the driver gets the sum, ``2**BITS`` numbers
-whatever the number of rows (from up to ``FEW`` tasks it sums them itself).  A row's error counts in units of ``UNIT``, so sums
-are exact and neither files nor partitions change the model.  Up to ``LOCAL`` labelled
+Training reads every labelled row.  Texts meet their labels once, packed, and are written; tasks
+count the features of these texts by label, then write the telling ones of each text as a table
+(about 2 KB a text of 500 words), and each step of the regression is a pass over that table, by a task a
+core: tasks add up the gradient of their rows by the telling features, slices of it are summed by key, and the
+driver gets the sum, at most ``2**BITS`` numbers whatever the number of rows (from up to ``FEW`` tasks it sums
+them itself).  A row's error counts in units of ``UNIT``, so sums are exact and neither files nor partitions
+change the model.  Up to ``LOCAL`` labelled
 documents take the same steps on the driver.  Scoring is one pass over whole texts
 without a shuffle; a text's cost is its length.
 
@@ -32,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.llm.common import arrow_types, discard, documents, mapped, record, release, written
-from pricelens.llm.text import Chunk, chunks, give_back, lower_ascii
+from pricelens.llm.common import arrow_types, discard, documents, mapped, packed_rows, record, release, written
+from pricelens.llm.text import Chunk, chunks, give_back, lower_ascii, unpacked
 
 LOCAL = 4000
 BITS = 18
@@ -217,63 +218,76 @@ def total(rows: DataFrame, add: Callable[[pa.RecordBatch, np.ndarray], None], n:
     return out
 
 
+def labelled(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """(z, toxic): the packed texts of the rows of ``docs`` that ``marked`` labels.
+
+    They are dealt by doc_id at any size: no label is broadcast, and the rows lie evenly.
+    """
+    return packed_rows(documents(docs)).join(marked.hint("merge"), "doc_id").select("z", "toxic")
+
+
 def fit_all(rows: DataFrame) -> Model:
-    """:func:`fit` on all rows of (text, toxic), by passes over them."""
+    """:func:`fit` on all rows of a table (z, toxic) of packed texts, by passes over it."""
     n = 1 << BITS
 
     def count(batch, out):
         toxic = batch.column(1).to_numpy()
-        for c in chunks(batch.column(0)):
+        for c in unpacked(batch.column(0)):
             for f, label in zip(features(c), toxic[c.lo:c.hi].tolist()):
                 out[:n][f] += label
                 out[n:2 * n][f] += 1 - label
         out[2 * n] += toxic.sum()
         out[2 * n + 1] += (1 - toxic).sum()
 
-    counts = total(rows.select("text", "toxic"), count, 2 * n + 2)
+    counts = total(rows, count, 2 * n + 2)
     n_toxic, n_other = counts[2 * n:].tolist()
     size = n_toxic + n_other
     if not 0 < n_toxic < size:
         return constant(n_toxic / max(size, 1))
     ratio = log_ratios(counts[:n], counts[n:2 * n], n_toxic, n_other)
     telling = np.abs(ratio) >= MIN_RATIO
+    most = int(telling.sum())
     context = rows.sparkSession.sparkContext
     shared = context.broadcast(telling)
     types = arrow_types("toxic binary, size binary, f binary")
 
     def extract(batches):
+        number = (np.cumsum(shared.value) - 1).astype(np.int32)     # among the telling ones
         for batch in batches:
             toxic = batch.column(1).to_numpy().astype(np.uint8)
-            for c in chunks(batch.column(0)):
-                found = [f[shared.value[f]].astype(np.int32) for f in features(c)]
+            for c in unpacked(batch.column(0)):
+                found = [number[f[shared.value[f]]] for f in features(c)]
                 yield record({"toxic": [toxic[c.lo:c.hi].tobytes()], "size": [np.array([len(f) for f in found], np.int32).tobytes()],
                               "f": [np.concatenate(found).tobytes()]}, types)
 
     # one row a chunk of texts
-    table = written(mapped(rows.select("text", "toxic"), extract, "toxic binary, size binary, f binary"), "telling-features")
-    few = table.rdd.getNumPartitions() <= FEW
+    table = written(mapped(rows, extract, "toxic binary, size binary, f binary"), "telling-features")
+    release(rows)
+    dealt = table.coalesce(context.defaultParallelism)        # a step's vectors are as many as there are cores
+    few = dealt.rdd.getNumPartitions() <= FEW
     passes = 0
 
     def step(w, b=None):
         """Sums over rows of each feature's errors, and of all errors; the errors are the products if there is no bias."""
         nonlocal passes
-        weights = context.broadcast(ratio * w)
+        weights = context.broadcast((ratio * w)[telling])
 
         def add(batch, out):
-            for toxic, size, f in zip(*(column.to_pylist() for column in batch.columns)):
-                y, f = np.frombuffer(toxic, np.uint8), np.frombuffer(f, np.int32)
-                of = np.repeat(np.arange(len(y)), np.frombuffer(size, np.int32))
-                e = np.bincount(of, weights.value[f], len(y))
-                e = np.rint((e if b is None else errors(e + b, y)) / UNIT)
-                out[:n] += np.bincount(f, e[of], n)
-                out[n] += e.sum()
-
-        out = total(table, add, n + 1, few) * (UNIT / size)
+            y, sizes, f = (np.frombuffer(b"".join(column.to_pylist()), kind) for column, kind in zip(batch.columns, (np.uint8, np.int32, np.int32)))
+            of = np.repeat(np.arange(len(y)), sizes)
+            e = np.bincount(of, weights.value[f], len(y))
+            e = np.rint((e if b is None else errors(e + b, y)) / UNIT)
+            out[:most] += np.bincount(f, e[of], most)
+            out[most] += e.sum()
+
+        got = total(dealt, add, most + 1, few) * (UNIT / size)
+        out = np.zeros(n)
+        out[telling] = got[:most]
         weights.destroy()
         passes += 1
         if not few and passes % TIDY == 0:
             release(table)
-        return ratio * out[:n], out[n]
+        return ratio * out, got[most]
 
     w, b = descend(n_toxic / size, lambda v: step(v)[0], step)
     shared.destroy()
@@ -293,8 +307,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int | None = None) -> Mode
     sizes = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     n = sum(sizes.values())
     if sample is None and n > LOCAL:
-        model = fit_all(documents(docs).join(marked, "doc_id"))
-        discard(marked)
+        rows = written(labelled(docs, marked), "labelled-texts")
+        release(rows)
+        model = fit_all(rows)
+        discard(marked, rows)
         return model
     sample = LOCAL if sample is None else sample
     share = {k: min(1.0, max(sample // 2, sample - (n - size)) / size) for k, size in sizes.items()}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from pricelens.llm import (fingerprints, jaccard, langid, lattice, linededup, mixing, packing, queries, sql, substrings,
                            suffixes, toxicity)
-from pricelens.llm.text import Words, chunks
+from pricelens.llm.text import Words, chunks, pack, unpacked
 
 from .conftest import DIR, ODD
 
@@ -326,6 +326,33 @@ def test_toxicity_learns_from_all_rows(spark, monkeypatch):
     assert max(r["score"] for r in toxicity.score(docs, one).collect()) < 0.01
 
 
+def test_toxicity_moves_texts_once_and_steps_by_cores(spark, monkeypatch):
+    """Texts go through one shuffle, packed; the passes read written tables, a step's with no more tasks than cores."""
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    plans = []
+    def seen(of, at):
+        def call(df, *more):
+            plans.append((at, df._jdf.queryExecution().optimizedPlan().toString(), df.rdd.getNumPartitions()))
+            return of(df, *more)
+        return call
+    monkeypatch.setattr(toxicity, "written", seen(toxicity.written, "written"))
+    monkeypatch.setattr(toxicity, "total", seen(toxicity.total, "total"))
+    docs = spark.range(6000, numPartitions=40).selectExpr("id doc_id", "concat('text number ', id * id, if(id % 20 = 0, ' vile', ' kind')) text")
+    toxicity.train(docs, spark.range(6000).selectExpr("id doc_id", "cast(id % 20 = 0 as int) toxic"))
+    joins = [plan for at, plan, _ in plans if "Join" in plan]
+    assert len(joins) == 1 and "z#" in joins[0].split("Join")[0] and "text#" not in joins[0].split("Join")[0]
+    assert not any("Join" in plan for at, plan, _ in plans if at == "total")
+    steps = [n for at, _, n in plans if at == "total"][1:]
+    assert len(steps) == 10 and max(steps) <= spark.sparkContext.defaultParallelism
+
+
+def test_unpacked_are_the_texts():
+    texts = ["", "one", "Ä" * 40, "x" * 100, ""]
+    got = list(unpacked(pa.array([pack(t.encode()) for t in texts]), 50))
+    assert [(c.lo, c.hi) for c in got] == [(0, 3), (3, 4), (4, 5)]
+    assert [c.raw(i).decode() for c in got for i in range(len(c))] == texts and not list(unpacked(pa.array([], pa.binary())))
+
+
 def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (5, 1), (2, None), (None, 1), (7, 0), (7, 0)], "doc_id long, toxic int")
     got = toxicity.score(odd, toxicity.train(odd, labels)).collect()
